@@ -30,7 +30,9 @@ def row_hash_strict(columns: Sequence[str]) -> Column:
 def seeded_code(seed: int, key: Column) -> Column:
     """A bigint that orders rows at random, the same way wherever they are."""
     digest = F.md5(F.concat(F.lit(f"{seed}|"), key.cast("string")))
-    return F.conv(F.substring(digest, 1, CODE_BITS // 4), 16, 10).cast("bigint")
+    code = F.conv(F.substring(digest, 1, CODE_BITS // 4), 16, 10).cast("bigint")
+    # Never NULL, so a join on a part of it needs no NULL filter that would hash every row again.
+    return F.coalesce(code, F.lit(0).cast("bigint"))
 
 
 def content_number(columns: Sequence[str]) -> Column:

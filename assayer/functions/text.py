@@ -10,19 +10,20 @@ from assayer.functions.numbers import ratio
 # ASCII punctuation, white space, sentence ends, vowels counted as syllable cores.
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 WHITE_SPACE = " \t\n\r\f"
-WORD = r"\S+"
+GAP = r"\s+"
 SENTENCE_END = r"[.!?]+"
 SYLLABLE = r"[aeiouy]+"
-# A word with at least three vowel runs, matched whole.
-LONG_WORD = r"[^aeiouy\s]*[aeiouy]+[^aeiouy\s]+[aeiouy]+[^aeiouy\s]+[aeiouy]+\S*"
+# A word with at least three vowel runs, matched whole; the runs never need to give a letter back.
+LONG_WORD = r"[^aeiouy\s]*+[aeiouy]++[^aeiouy\s]++[aeiouy]++[^aeiouy\s]++[aeiouy]++\S*+"
 
 
-def _matches(text: Column, pattern: str) -> Column:
-    return F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+def words(text: Column) -> Column:
+    return F.array_remove(F.split(text, GAP), "")
 
 
 def _count(text: Column, pattern: str) -> Column:
-    return F.size(_matches(text, pattern)).cast("bigint")
+    # A split makes one piece more than there are matches, and is twice as fast as extracting them.
+    return (F.size(F.split(text, pattern)) - 1).cast("bigint")
 
 
 def _length(text: Column) -> Column:
@@ -38,7 +39,7 @@ def with_stylometrics(df: DataFrame, text: str = "text_content") -> DataFrame:
     source = F.col(text)
     # The words are extracted once; both the count and the vocabulary are taken from them.
     return (
-        df.withColumn("_words", _matches(F.lower(source), WORD))
+        df.withColumn("_words", words(F.lower(source)))
         .withColumn("word_count", F.size("_words").cast("bigint"))
         .withColumn("character_count", _length(source))
         .withColumn("sentence_count", sentence_count(source))
@@ -81,7 +82,7 @@ def with_readability(df: DataFrame, text: str = "text_content", english: Column
 
 def with_burstiness(df: DataFrame, text: str = "text_content") -> DataFrame:
     """Spread of the sentence lengths: population deviation over mean, from exact integer sums."""
-    lengths = F.transform(F.split(F.col(text), SENTENCE_END), lambda s: _count(s, WORD))
+    lengths = F.transform(F.split(F.col(text), SENTENCE_END), lambda s: F.size(words(s)).cast("bigint"))
     zero = F.lit(0).cast("bigint")
     n, total, squares = F.col("_n"), F.col("_total"), F.col("_squares")
     return (

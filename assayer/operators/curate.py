@@ -131,6 +131,10 @@ def stratified_folds(
 # ---------------------------------------------------------------------------
 
 
+def batch_ids(n_batches: int) -> list[str]:
+    return [f"batch_{i:02d}_of_{n_batches:02d}" for i in range(1, n_batches + 1)]
+
+
 def batch_borders(df: DataFrame, ordinal: str, n_batches: int) -> list:
     """The last ordinal of every batch but the last; all batches but the last have N div n rows."""
     rows = df.agg(F.count(ordinal)).first()[0]

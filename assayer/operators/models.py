@@ -29,6 +29,8 @@ from assayer.spec import ModelSpec, Settings, TableSpec
 
 MAX_BINS = 256  # candidate splits per feature
 
+PARALLEL_FITS = 8  # independent fits submitted at a time
+
 _FEATURES = "_features"
 
 
@@ -118,6 +120,15 @@ def model_input(curated: DataFrame, spec: TableSpec, *keep: str) -> DataFrame:
     return fill_zero(chosen, features)
 
 
+def training_table(rows: DataFrame, name: str = "train", path: str | None = None) -> DataFrame:
+    """`rows` written in files of the advisory partition size.
+
+    A fit reads its input once per iteration, so one shuffle that evens out many small files (or a
+    few large ones) pays for itself.
+    """
+    return written(rows.hint("rebalance"), name, path)
+
+
 def fit(train: DataFrame, spec: TableSpec, model: ModelSpec, seed: int = 42, rows: int | None = None) -> PipelineModel:
     features = [c for c in spec.features if c in train.columns]
     rows = train.count() if rows is None else rows
@@ -149,9 +160,9 @@ def _in_parallel(jobs: Sequence, parallelism: int) -> list:
 
 
 def fit_all(
-    train: DataFrame, spec: TableSpec, models: Sequence[ModelSpec], settings: Settings, parallelism: int = 4
+    train: DataFrame, spec: TableSpec, models: Sequence[ModelSpec], settings: Settings, parallelism: int = PARALLEL_FITS
 ) -> dict[str, PipelineModel]:
-    """`train` should be a written table: each fit reads it."""
+    """`train` should be a `training_table`: each fit reads it."""
     rows = train.count()
     fitted = _in_parallel([lambda m=m: fit(train, spec, m, settings.seed, rows) for m in models], parallelism)
     return {m.name: f for m, f in zip(models, fitted)}
@@ -167,10 +178,10 @@ def evaluate(fitted: dict[str, PipelineModel], test: DataFrame, key: str) -> Dat
 
 
 def cv_scores(
-    train: DataFrame, spec: TableSpec, models: Sequence[ModelSpec], settings: Settings, parallelism: int = 4
+    train: DataFrame, spec: TableSpec, models: Sequence[ModelSpec], settings: Settings, parallelism: int = PARALLEL_FITS
 ) -> DataFrame:
     """(classifier, fold, metric, value) of stratified k-fold cross-validation."""
-    folded = written(stratified_folds(train, "label", spec.key, settings.seed, settings.folds), "folds")
+    folded = training_table(stratified_folds(train, "label", spec.key, settings.seed, settings.folds), "folds")
     sizes = {row[0]: row[1] for row in folded.groupBy("_fold").count().collect()}
     total = sum(sizes.values())
 

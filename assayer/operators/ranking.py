@@ -87,42 +87,57 @@ def order_statistics(
     return {(s.column, s.rank): s.answer for s in searches}
 
 
-def _narrow(df: DataFrame, searches: list[_Search], accuracy: int) -> None:
-    def around(s: _Search) -> Column:
-        middle, slack = (s.rank - s.below - 0.5) / s.inside, 1.5 / accuracy
-        shares = F.array(F.lit(max(0.0, middle - slack)), F.lit(min(1.0, middle + slack)))
-        return F.percentile_approx(s.value(), shares, accuracy)
-
-    guesses = df.agg(*[around(s).alias(f"g{i}") for i, s in enumerate(searches)]).first()
-    counts = df.agg(
-        *[
-            F.count_if(compare(s.value(), F.lit(bound))).alias(f"c{i}_{j}")
-            for i, (s, (lo, hi)) in enumerate(zip(searches, guesses))
-            for j, (compare, bound) in enumerate([(Column.__lt__, lo), (Column.__le__, lo), (Column.__lt__, hi), (Column.__le__, hi)])
-        ]
-    ).first()
-    for i, (s, (lo, hi)) in enumerate(zip(searches, guesses)):
-        under_lo, upto_lo, under_hi, upto_hi = counts[4 * i : 4 * i + 4]
-        rank = s.rank - s.below
-        if rank <= under_lo:
-            s.shrink(s.low, lo, s.below, under_lo)
-        elif rank <= upto_lo:
-            s.settle(lo)
-        elif rank <= under_hi:
-            s.shrink(lo, hi, s.below + upto_lo, under_hi - upto_lo)
-        elif rank <= upto_hi:
-            s.settle(hi)
-        else:
-            s.shrink(hi, s.high, s.below + upto_hi, s.inside - upto_hi)
-
-
-def _finish(df: DataFrame, searches: list[_Search]) -> None:
+def _by_bracket(searches: list[_Search]) -> list[list[_Search]]:
     brackets: dict[tuple, list[_Search]] = {}
     for s in searches:
         brackets.setdefault(s.bracket, []).append(s)
-    numbered = list(brackets.values())
+    return list(brackets.values())
+
+
+def _narrow(df: DataFrame, searches: list[_Search], accuracy: int) -> None:
+    """One approximate and one exact aggregate over every bracket that is still wide."""
+    groups, slack = _by_bracket(searches), 1.5 / accuracy
+
+    def around(group: list[_Search]) -> Column:
+        middles = [(s.rank - s.below - 0.5) / s.inside for s in group]
+        shares = [F.lit(share) for m in middles for share in (max(0.0, m - slack), min(1.0, m + slack))]
+        return F.percentile_approx(group[0].value(), F.array(*shares), accuracy)
+
+    guesses = df.agg(*[around(group).alias(f"g{i}") for i, group in enumerate(groups)]).first()
+    bounds = [sorted(set(guess)) for guess in guesses]
+    counted = [
+        F.count_if(compare(group[0].value(), F.lit(bound)))
+        for group, values in zip(groups, bounds)
+        for bound in values
+        for compare in (Column.__lt__, Column.__le__)
+    ]
+    counts = iter(df.agg(*[c.alias(f"c{i}") for i, c in enumerate(counted)]).first())
+    for group, guess, values in zip(groups, guesses, bounds):
+        ahead = {bound: (next(counts), next(counts)) for bound in values}
+        for i, s in enumerate(group):
+            _place(s, *[(bound, *ahead[bound]) for bound in guess[2 * i : 2 * i + 2]])
+
+
+def _place(s: _Search, low: tuple[object, int, int], high: tuple[object, int, int]) -> None:
+    """Moves a search by two values, each with the rows under it and the rows up to it."""
+    (lo, under_lo, upto_lo), (hi, under_hi, upto_hi) = low, high
+    rank = s.rank - s.below
+    if rank <= under_lo:
+        s.shrink(s.low, lo, s.below, under_lo)
+    elif rank <= upto_lo:
+        s.settle(lo)
+    elif rank <= under_hi:
+        s.shrink(lo, hi, s.below + upto_lo, under_hi - upto_lo)
+    elif rank <= upto_hi:
+        s.settle(hi)
+    else:
+        s.shrink(hi, s.high, s.below + upto_hi, s.inside - upto_hi)
+
 
-    entries = [F.struct(F.lit(i).alias("bracket"), group[0].value().alias("value")) for i, group in enumerate(numbered)]
+def _finish(df: DataFrame, searches: list[_Search]) -> None:
+    """Counts what is left in the brackets by value, and reads the ranks off the running counts."""
+    groups = _by_bracket(searches)
+    entries = [F.struct(F.lit(i).alias("bracket"), group[0].value().alias("value")) for i, group in enumerate(groups)]
     by_value = (
         df.select(F.explode(F.array(*entries)).alias("entry"))
         .select("entry.*")
@@ -131,15 +146,14 @@ def _finish(df: DataFrame, searches: list[_Search]) -> None:
         .agg(F.count(F.lit(1)).alias("n"))
     )
     # One window group per bracket; each holds at most the distinct values of `rows_at_once` rows.
-    upto = F.sum("n").over(Window.partitionBy("bracket").orderBy("value"))
-    spans = by_value.withColumn("upto", upto)
+    spans = by_value.withColumn("upto", F.sum("n").over(Window.partitionBy("bracket").orderBy("value")))
     wanted = [
         (F.col("bracket") == i) & (F.col("upto") - F.col("n") < s.rank - s.below) & (F.col("upto") >= s.rank - s.below)
-        for i, group in enumerate(numbered)
+        for i, group in enumerate(groups)
         for s in group
     ]
     for row in spans.where(reduce(Column.__or__, wanted)).collect():
-        for s in numbered[row.bracket]:
+        for s in groups[row.bracket]:
             if row.upto - row.n < s.rank - s.below <= row.upto:
                 s.settle(row.value)
 
@@ -174,7 +188,7 @@ def rows_at_ranks(df: DataFrame, group: str, code: str, key: str, ranks: DataFra
         .agg(F.count(F.lit(1)).alias("_n"))
         .withColumn("_before", upto - F.col("_n"))
     )
-    wanted = spans.join(ranks, group).where(
+    wanted = spans.join(F.broadcast(ranks), group).where(
         (F.col("_rank") > F.col("_before")) & (F.col("_rank") <= F.col("_before") + F.col("_n"))
     )
     hit = wanted.groupBy(group, "_bucket", "_before").agg(F.collect_set("_rank").alias("_ranks"))
@@ -192,27 +206,33 @@ def rows_at_ranks(df: DataFrame, group: str, code: str, key: str, ranks: DataFra
 # ---------------------------------------------------------------------------
 
 
-def running_totals(df: DataFrame, order: str, totals: dict[str, str], by: Sequence[str] = ()) -> DataFrame:
-    """Adds inclusive running sums `{new: summed}` along `order` within `by`.
+def running_totals(
+    df: DataFrame, order: str, totals: dict[str, str], by: Sequence[str] = (), overall: dict[str, str] | None = None
+) -> DataFrame:
+    """Adds inclusive running sums `{new: summed}` along `order` within `by`, and `overall` sums of `by`.
 
     `df` has one row per (by, order), so no order value is hot. The table is range-partitioned and
     written with its range number; sums per range give the offset at which the window inside a
     range starts, so no task ever holds more than one range of one group.
     """
+    by, overall = list(by), overall or {}
     ranged = written(df.repartitionByRange(order).withColumn("_range", F.spark_partition_id()), "ranged")
-    by = list(by)
 
+    zero, summed = F.lit(0).cast("bigint"), sorted({*totals.values(), *overall.values()})
     ahead = Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    per_range = ranged.groupBy(*by, "_range").agg(*[F.sum(c).alias(f"_sum_{new}") for new, c in totals.items()])
-    zero = F.lit(0).cast("bigint")
-    offsets = per_range.select(
-        *by, "_range", *[F.coalesce(F.sum(f"_sum_{new}").over(ahead), zero).alias(f"_from_{new}") for new in totals]
+    offsets = (
+        ranged.groupBy(*by, "_range")
+        .agg(*[F.sum(c).alias(f"_sum_{c}") for c in summed])
+        .select(
+            *by,
+            "_range",
+            *[F.coalesce(F.sum(f"_sum_{c}").over(ahead), zero).alias(f"_from_{new}") for new, c in totals.items()],
+            *[F.sum(f"_sum_{c}").over(Window.partitionBy(*by)).alias(new) for new, c in overall.items()],
+        )
     )
     along = Window.partitionBy(*by, "_range").orderBy(order)
-    return (
-        ranged.join(offsets, [*by, "_range"])
-        .select(*df.columns, *[(F.sum(c).over(along) + F.col(f"_from_{new}")).alias(new) for new, c in totals.items()])
-    )
+    running = [(F.sum(c).over(along) + F.col(f"_from_{new}")).alias(new) for new, c in totals.items()]
+    return ranged.join(offsets, [*by, "_range"]).select(*df.columns, *running, *overall)
 
 
 def competition_rank(df: DataFrame, value: str, name: str = "rank") -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from assayer.functions.numbers import ratio_or_zero
 from assayer.operators.ranking import running_totals
+from assayer.scratch import written
 
 METRICS = ("accuracy", "f1_weighted", "f1_macro", "f1_binary", "roc_auc")
 
@@ -16,12 +17,13 @@ METRICS = ("accuracy", "f1_weighted", "f1_macro", "f1_binary", "roc_auc")
 def confusion_matrix(scored: DataFrame, by: Sequence[str] = ("classifier",)) -> DataFrame:
     """(by.., label, prediction, n) over the full grid of the classes that occur in `by`."""
     by = list(by)
-    counts = (
+    counted = (
         scored.where(F.col("label").isNotNull() & F.col("prediction").isNotNull())
         .groupBy(*by, "label", "prediction")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    # The sets hold classes, not rows: the counts have one row per pair of classes.
+    # One row per pair of classes, read for the classes and for the counts.
+    counts = written(counted, "pairs")
     classes = counts.groupBy(*by).agg(
         F.array_union(F.collect_set("label"), F.collect_set("prediction")).alias("_classes")
     )
@@ -93,14 +95,20 @@ def classification_report(confusion: DataFrame, by: Sequence[str] = ("classifier
 
 
 def _curve(scored: DataFrame, by: Sequence[str], positive: int) -> DataFrame:
-    """Per distinct score: positives and negatives at it, and negatives and positives up to it."""
+    """Per distinct score: positives and negatives at it, up to it, and in all."""
     is_positive = F.col("label") == positive
     per_score = (
         scored.where(F.col("label").isNotNull() & F.col("score").isNotNull())
         .groupBy(*by, "score")
         .agg(F.count_if(is_positive).alias("positives"), F.count_if(~is_positive).alias("negatives"))
     )
-    return running_totals(per_score, "score", {"positives_upto": "positives", "negatives_upto": "negatives"}, by)
+    return running_totals(
+        per_score,
+        "score",
+        {"positives_upto": "positives", "negatives_upto": "negatives"},
+        by,
+        {"all_positives": "positives", "all_negatives": "negatives"},
+    )
 
 
 def roc_auc(scored: DataFrame, by: Sequence[str] = ("classifier",), positive: int = 1) -> DataFrame:
@@ -126,19 +134,15 @@ def threshold_sweep(scored: DataFrame, by: Sequence[str] = ("classifier",), posi
     A row is predicted positive at `score >= threshold`; every distinct score is a threshold.
     """
     by = list(by)
-    curve = _curve(scored, by, positive)
-    sizes = scored.where(F.col("label").isNotNull() & F.col("score").isNotNull()).groupBy(*by).agg(
-        F.count_if(F.col("label") == positive).alias("_positives"), F.count_if(F.col("label") != positive).alias("_negatives")
-    )
     kept_out = F.col("negatives_upto") - F.col("negatives")
-    found = F.col("_positives") - F.col("positives_upto") + F.col("positives")
-    return curve.join(sizes, by).select(
+    found = F.col("all_positives") - F.col("positives_upto") + F.col("positives")
+    return _curve(scored, by, positive).select(
         *by,
         F.col("score").alias("threshold"),
         found.alias("true_positives"),
-        (F.col("_negatives") - kept_out).alias("false_positives"),
-        ratio_or_zero(found.cast("double"), F.col("_positives").cast("double")).alias("recall_positive"),
-        ratio_or_zero(kept_out.cast("double"), F.col("_negatives").cast("double")).alias("recall_negative"),
+        (F.col("all_negatives") - kept_out).alias("false_positives"),
+        ratio_or_zero(found.cast("double"), F.col("all_positives").cast("double")).alias("recall_positive"),
+        ratio_or_zero(kept_out.cast("double"), F.col("all_negatives").cast("double")).alias("recall_negative"),
     )
 
 

@@ -71,13 +71,24 @@ def quarantine_log(quarantined: DataFrame, day: Column) -> DataFrame:
     )
 
 
-def fit_medians(df: DataFrame, columns: Sequence[str], **limits: int) -> dict[str, float]:
-    """Medians of the columns that have NULLs to fill; an all-NULL column has none."""
+def fit_medians(
+    df: DataFrame, columns: Sequence[str], fit_on: DataFrame | None = None, **limits: int
+) -> dict[str, float]:
+    """Medians, over the rows of `fit_on`, of the columns of `df` that have NULLs to fill.
+
+    A column without any value has no median.
+    """
     columns = _present_columns(df, columns)
     if not columns:
         return {}
-    values, missing = medians(df, columns, **limits)
-    return {c: values[c] for c in columns if missing[c] and values[c] is not None}
+    if fit_on is None:
+        values, missing = medians(df, columns, **limits)
+        gaps = [c for c in columns if missing[c]]
+    else:
+        counted = df.agg(*[F.count_if(F.col(c).isNull()) for c in columns]).first()
+        gaps = [c for c, n in zip(columns, counted) if n]
+        values = medians(fit_on, gaps, **limits)[0] if gaps else {}
+    return {c: values[c] for c in gaps if values[c] is not None}
 
 
 def fill_medians(df: DataFrame, values: dict[str, float]) -> DataFrame:
@@ -86,8 +97,11 @@ def fill_medians(df: DataFrame, values: dict[str, float]) -> DataFrame:
 
 
 def impute_median(df: DataFrame, columns: Sequence[str], fit_on: DataFrame | None = None, **limits: int) -> DataFrame:
-    """Fit and fill. `fit_on` narrows the rows the medians come from, say to a training split."""
-    return fill_medians(df, fit_medians(df if fit_on is None else fit_on, columns, **limits))
+    """Fit and fill. `fit_on` narrows the rows the medians come from, say to a training split.
+
+    `df` should be a written table: it is read to fit and to fill.
+    """
+    return fill_medians(df, fit_medians(df, columns, fit_on, **limits))
 
 
 def fill_zero(df: DataFrame, columns: Sequence[str]) -> DataFrame:

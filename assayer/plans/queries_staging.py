@@ -14,6 +14,7 @@ from assayer.operators.ranking import medians
 from assayer.plans import inputs, workspace
 from assayer.plans.registry import query, r, with_
 from assayer.plans.shared_sql import LABELLED, RAW, SOURCE, TO_RAW, TO_STAGING, UNIQUE
+from assayer.scratch import written
 from assayer.spec import DOUBLE, LONG
 
 _COUNTS = "word_count, character_count, sentence_count"
@@ -157,7 +158,7 @@ def impute_median(spark: SparkSession, folder: str) -> DataFrame:
     unique = ops.deduplicate(workspace.raw(spark, folder), "_row_key")
     clean, _ = ops.split_on_target(unique, "label")
     columns = ["flesch_reading_ease", "gunning_fog_index"]
-    filled = ops.impute_median(clean.select("_row_key", *columns), columns)
+    filled = ops.impute_median(written(clean.select("_row_key", *columns), "clean"), columns)
     return filled.select("_row_key", *[rounded(F.col(c), 6).alias(c) for c in columns])
 
 

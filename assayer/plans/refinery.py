@@ -151,7 +151,7 @@ class Refinery:
         done = set() if force else self._saved_models()
         missing = [m for m in self.classifiers if m.name not in done]
         if missing:
-            train = written(self._model_rows("train"), "train")
+            train = models.training_table(self._model_rows("train"))
             if cross_validation:
                 scores = models.cv_scores(train, self.spec, missing, self.settings)
                 summary = scoring.cv_summary(scores).withColumn("run_id", F.lit(self.run.run_id))

@@ -8,7 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assayer.operators.curate import make_batches
+from assayer.operators.curate import batch_ids, make_batches
+from assayer.scratch import written
 from assayer.sources import ledger
 from assayer.sources.audit import Run, with_audit
 from assayer.sources.files import replace_partitions
@@ -36,14 +37,16 @@ class Landing:
         return ledger.visible(self.rows(spark), self.entries(spark))
 
 
-def _land(audited: DataFrame, landing: Landing, run: Run, kind: str) -> None:
-    """Writes the batches, then commits what was written."""
+def _land(audited: DataFrame, landing: Landing, run: Run, kind: str) -> list[str]:
+    """Writes the batches, then commits what was written, and names it."""
     spark = audited.sparkSession
     replace_partitions(audited, landing.raw, *PARTITIONS)
-    batches = [row[0] for row in audited.select("_batch_id").distinct().collect()] if kind == "incremental" else ["full"]
-    written = landing.rows(spark).where((F.col("_pipeline_run_id") == run.run_id) & F.col("_batch_id").isin(*batches))
-    counts = written.groupBy(F.col("_batch_id").alias("batch_id"), F.col("_source_file").alias("source_file"))
-    ledger.commit(counts.agg(F.count(F.lit(1)).alias("rows")), landing.ledger, kind, run)
+    mine = landing.rows(spark).where(F.col("_pipeline_run_id") == run.run_id)
+    mine = mine.where(F.col("_batch_id") == "full" if kind == "full" else F.col("_batch_id") != "full")
+    counts = mine.groupBy(F.col("_batch_id").alias("batch_id"), F.col("_source_file").alias("source_file"))
+    entries = written(counts.agg(F.count(F.lit(1)).alias("rows")), "entries")
+    ledger.commit(entries, landing.ledger, kind, run)
+    return sorted(row[0] for row in entries.select("batch_id").distinct().collect())
 
 
 def ingest_full(
@@ -73,15 +76,17 @@ def ingest_batches(
     checksum: str | Column | None = None,
     hashed: Sequence[str] | None = None,
 ) -> list[str]:
-    """Lands the batches of a source that are not committed yet, and names them."""
+    """Lands the batches of a source that are not committed yet, and names them.
+
+    Batches of the same run that an earlier attempt committed are named and committed once more,
+    which changes nothing for a reader.
+    """
     spark = source.sparkSession
+    done = landing.entries(spark).where(F.col("kind") == "incremental").select("batch_id").distinct()
+    if not force and {row[0] for row in done.collect()} >= set(batch_ids(n_batches)):
+        return []
     batched = make_batches(source, ordinal, n_batches, "_batch_id")
     if not force:
-        done = landing.entries(spark).where(F.col("kind") == "incremental")
         batched = ledger.uncommitted(batched, done)
     audited = with_audit(batched, run, F.col("_batch_id"), source_file, checksum, hashed)
-    if audited.isEmpty():
-        return []
-    _land(audited, landing, run, "incremental")
-    fresh = landing.entries(spark).where((F.col("kind") == "incremental") & (F.col("run_id") == run.run_id))
-    return sorted(row[0] for row in fresh.select("batch_id").distinct().collect())
+    return [] if audited.isEmpty() else _land(audited, landing, run, "incremental")

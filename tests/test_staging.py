@@ -1,0 +1,84 @@
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from assayer.operators import staging
+from assayer.plans import inputs
+from assayer.plans.refinery import to_staging
+from assayer.spec import Rule, Settings
+
+EDGES = [(3, "a", None, "h1"), (1, "a", None, "h1"), (2, "b", "x", "h2"), (4, None, "x", None), (5, None, "y", None)]
+
+
+def test_first_row_of_each_hash_is_kept(spark):
+    df = spark.createDataFrame(EDGES, "ord int, a string, b string, _row_hash string").repartition(3)
+    kept = staging.deduplicate(df, "ord").collect()
+    # Missing hashes equal each other.
+    assert sorted(r.ord for r in kept) == [1, 2, 4]
+
+
+def test_without_a_hash_the_full_row_counts(spark):
+    df = spark.createDataFrame([(2, "a", None), (1, "a", None), (3, "a", "x")], "ord int, a string, b string")
+    assert sorted(tuple(r) for r in staging.deduplicate(df, "ord").fillna("-").collect()) == [(1, "a", "-"), (3, "a", "x")]
+
+
+@pytest.mark.parametrize("partitions", [1, 7])
+def test_a_hot_key_survives_once(spark, partitions):
+    df = spark.range(3000).select(
+        F.col("id").alias("ord"), F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("_row_hash")
+    )
+    kept = staging.deduplicate(df.repartition(partitions), "ord")
+    assert kept.count() == 2001
+    assert kept.where("_row_hash = 'hot'").first().ord == 0
+
+
+def test_copies_of_two_batches_are_kept_once(spark):
+    df = spark.createDataFrame([(1, "full", "h"), (1, "batch_01", "h")], "ord int, _batch_id string, _row_hash string")
+    assert [r._batch_id for r in staging.deduplicate(df, ["ord", "_batch_id"]).collect()] == ["batch_01"]
+
+
+def test_imputation(spark):
+    df = spark.createDataFrame([(1, None, None), (2, 1.0, None), (4, 4.0, None), (7, None, None), (None, 2.0, None)], "n bigint, x double, z double")
+    out = staging.impute_median(df, ["n", "x", "z", "absent"])
+    # The median of the whole numbers is 3.0; the column becomes a double because it had gaps.
+    assert dict(out.dtypes) == {"n": "double", "x": "double", "z": "double"}
+    assert [tuple(r) for r in out.collect()] == [(1.0, 2.0, None), (2.0, 1.0, None), (4.0, 4.0, None), (7.0, 2.0, None), (3.0, 2.0, None)]
+
+
+def test_whole_numbers_without_gaps_keep_their_type(spark):
+    df = spark.createDataFrame([(1, 1.0), (2, None)], "n bigint, x double")
+    assert dict(staging.impute_median(df, ["n", "x"]).dtypes) == {"n": "bigint", "x": "double"}
+
+
+def test_medians_of_other_rows(spark):
+    df = spark.createDataFrame([("train", 1.0), ("train", 3.0), ("test", 100.0), ("test", None)], "s string, x double")
+    out = staging.impute_median(df, ["x"], fit_on=df.where("s = 'train'"))
+    assert sorted(r.x for r in out.collect()) == [1.0, 2.0, 3.0, 100.0]
+
+
+def test_quarantine_keeps_the_row_as_json(spark):
+    df = spark.createDataFrame([(1, None, "f.csv"), (2, 0, "f.csv")], "k int, label int, _source_file string")
+    clean, bad = staging.split_on_target(df, "label")
+    log = staging.quarantine_log(bad, F.lit("2024-01-31 10:00:00")).first()
+    assert clean.count() == 1 and log.reason == "null_target" and str(log.quarantine_date) == "2024-01-31"
+    assert json.loads(log.raw_data) == {"k": 1, "label": None, "_source_file": "f.csv"}
+
+
+def test_staging_rejects_by_contract_too(spark):
+    raw = inputs.raw(spark, "/root/testdata/sf0.001")
+    rules = [Rule("word_count", minimum=50, on_violation="quarantine")]
+    plain, _ = to_staging(raw, inputs.SPEC, Settings(), inputs.RUN)
+    clean, bad = to_staging(raw, inputs.SPEC, Settings(), inputs.RUN, rules)
+    short = plain.where("word_count < 50").count()
+    assert clean.count() == plain.count() - short
+    assert bad.where("_quarantine_reason = 'word_count:range'").count() == short > 0
+    assert clean.where("flesch_reading_ease is null").count() == 0
+
+
+@pytest.mark.parametrize("partitions", [1, 9])
+def test_staging_does_not_depend_on_partitions(spark, rows, partitions):
+    raw = inputs.raw(spark, "/root/testdata/sf0.001").repartition(partitions)
+    out, _ = to_staging(raw, inputs.SPEC, Settings(), inputs.RUN)
+    base, _ = to_staging(inputs.raw(spark, "/root/testdata/sf0.001"), inputs.SPEC, Settings(), inputs.RUN)
+    assert out.exceptAll(base).isEmpty() and base.exceptAll(out).isEmpty()
