@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 from multiprocessing.pool import ThreadPool
 
@@ -18,7 +18,7 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assayer.operators.curate import stratified_folds
@@ -150,11 +150,11 @@ def score(fitted: PipelineModel, rows: DataFrame, name: str, key: str, *keep: st
     )
 
 
-def _in_parallel(jobs: Sequence, parallelism: int) -> list:
+def _in_parallel(spark: SparkSession, jobs: Sequence[Callable], parallelism: int) -> list:
     """Fits that do not depend on each other are submitted together, as CrossValidator does."""
     pool = ThreadPool(min(parallelism, len(jobs)) or 1)
     try:
-        return pool.map(inheritable_thread_target(lambda job: job()), jobs)
+        return pool.map(inheritable_thread_target(spark)(lambda job: job()), jobs)
     finally:
         pool.close()
 
@@ -164,7 +164,7 @@ def fit_all(
 ) -> dict[str, PipelineModel]:
     """`train` should be a `training_table`: each fit reads it."""
     rows = train.count()
-    fitted = _in_parallel([lambda m=m: fit(train, spec, m, settings.seed, rows) for m in models], parallelism)
+    fitted = _in_parallel(train.sparkSession, [lambda m=m: fit(train, spec, m, settings.seed, rows) for m in models], parallelism)
     return {m.name: f for m, f in zip(models, fitted)}
 
 
@@ -191,7 +191,7 @@ def cv_scores(
         held_out = folded.where(F.col("_fold") == fold)
         return score(fitted, held_out, model.name, spec.key).withColumn("fold", F.lit(fold))
 
-    parts = _in_parallel([lambda m=m, f=f: one(m, f) for m in models for f in sorted(sizes)], parallelism)
+    parts = _in_parallel(train.sparkSession, [lambda m=m, f=f: one(m, f) for m in models for f in sorted(sizes)], parallelism)
     scored = written(reduce(DataFrame.unionByName, parts), "cv")
     by = ["classifier", "fold"]
     wanted = ["accuracy", "f1_weighted", "roc_auc"]

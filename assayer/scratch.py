@@ -12,6 +12,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
+_LOCAL: dict[str, str] = {}  # the folder of each local application that names none
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -21,9 +22,10 @@ def shared_folder(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {_SETTING} to a folder that every executor can reach")
-    folder = tempfile.mkdtemp(prefix="assayer-")
-    spark.conf.set(_SETTING, folder)
-    return folder
+    application = spark.sparkContext.applicationId
+    if application not in _LOCAL:
+        _LOCAL[application] = tempfile.mkdtemp(prefix="assayer-")
+    return _LOCAL[application]
 
 
 def new_path(spark: SparkSession, name: str) -> str:

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from assayer.operators.curate import batch_ids, make_batches
 from assayer.scratch import written
@@ -25,10 +26,10 @@ class Landing:
     ledger: str
 
     def rows(self, spark: SparkSession) -> DataFrame:
-        # Without inference, a run id made of digits stays text.
-        return spark.read.option("mergeSchema", False).parquet(self.raw).withColumns(
-            {c: F.col(c).cast("string") for c in PARTITIONS}
-        )
+        # Partition values are read as text: a run id may be made of digits, with leading zeros.
+        inferred = spark.read.parquet(self.raw).schema
+        text = [T.StructField(f.name, T.StringType()) if f.name in PARTITIONS else f for f in inferred]
+        return spark.read.schema(T.StructType(text)).parquet(self.raw)
 
     def entries(self, spark: SparkSession) -> DataFrame:
         return ledger.read(spark, self.ledger)
