@@ -49,6 +49,13 @@ def apply_codes(df: DataFrame, column: str, codes: DataFrame, unseen: str = "err
     return joined.withColumn(column, code).select(*df.columns)
 
 
+def restore_classes(df: DataFrame, column: str, codes: DataFrame) -> DataFrame:
+    """Codes replaced by their classes, say to partition a published table by readable names."""
+    known = codes.select(F.col("code").alias("_code_of_class"), F.col("class").alias("_class"))
+    joined = df.join(known, F.col(column) == F.col("_code_of_class"), "left")
+    return joined.withColumn(column, F.col("_class")).select(*df.columns)
+
+
 def label_encode(df: DataFrame, column: str) -> DataFrame:
     return apply_codes(df, column, fit_codes(df, column))
 

@@ -63,14 +63,15 @@ def order_statistics(
     ranks: dict[str, Sequence[int]],
     counts: dict[str, int],
     rows_at_once: int = 1_000_000,
-    accuracy: int = 10_000,
+    accuracy: int = 1_000,
 ) -> dict[tuple[str, int], object]:
     """The exact value at each 1-based rank of each column, NULLs left out.
 
     A bracket around every rank is narrowed by approximate percentiles and verified by exact
     counts until it holds at most `rows_at_once` rows; those are then counted by value. A round is
     two aggregates over all columns together and shrinks a bracket about `accuracy / 3` times, so
-    10**11 rows take two rounds. A value shared by very many rows is settled by its count.
+    10**11 rows take two rounds. A value shared by very many rows is settled by its count. The
+    accuracy is modest because one task merges the percentile sketches of all others.
     `counts` holds the number of non-NULL rows of each column.
     """
     searches = [_Search(c, r, counts[c]) for c, wanted in ranks.items() for r in sorted(set(wanted))]
@@ -137,9 +138,11 @@ def _place(s: _Search, low: tuple[object, int, int], high: tuple[object, int, in
 def _finish(df: DataFrame, searches: list[_Search]) -> None:
     """Counts what is left in the brackets by value, and reads the ranks off the running counts."""
     groups = _by_bracket(searches)
-    entries = [F.struct(F.lit(i).alias("bracket"), group[0].value().alias("value")) for i, group in enumerate(groups)]
+    values = [group[0].value() for group in groups]
+    entries = [F.struct(F.lit(i).alias("bracket"), value.alias("value")) for i, value in enumerate(values)]
     by_value = (
-        df.select(F.explode(F.array(*entries)).alias("entry"))
+        df.where(reduce(Column.__or__, [value.isNotNull() for value in values]))
+        .select(F.explode(F.array(*entries)).alias("entry"))
         .select("entry.*")
         .where(F.col("value").isNotNull())
         .groupBy("bracket", "value")

@@ -31,6 +31,13 @@ def label_encode(spark: SparkSession, folder: str) -> DataFrame:
     return ops.label_encode(documents, "source")
 
 
+@query("label_decode", "SELECT doc_id, lang, source FROM documents")
+def label_decode(spark: SparkSession, folder: str) -> DataFrame:
+    documents = inputs.table(spark, folder, "documents").select("doc_id", "lang", "source")
+    codes = ops.fit_codes(documents, "source")
+    return ops.restore_classes(ops.apply_codes(documents, "source", codes), "source", codes)
+
+
 @query(
     "stratified_split",
     with_(split("orders", "o_orderstatus", "o_orderkey"), select="SELECT o_orderkey, o_orderstatus, _split FROM split"),

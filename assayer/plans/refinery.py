@@ -10,14 +10,16 @@ import json
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from assayer.operators import checks, contract, curate, models, reports, scoring, staging
 from assayer.scratch import written
-from assayer.sources import files, landing as lands, ledger, tables
+from assayer.sources import files, fingerprint, landing as lands, ledger, tables
 from assayer.sources.audit import Run
 from assayer.spec import CLASSIFIERS, RANGE_RULES, STYLOMETRY, ModelSpec, Rule, Settings, TableSpec
+from assayer.streaming.increments import ingest_arrivals
 
 
 @dataclass(frozen=True)
@@ -82,6 +84,32 @@ class Refinery:
     def ingest_full(self, source: DataFrame, force: bool = False, **identity) -> DataFrame:
         return lands.ingest_full(source, self.warehouse.landing, self.run, force, hashed=self.spec.hashed, **identity)
 
+    def verify_sources(self, path: str, manifest: DataFrame, pattern: str = "*") -> DataFrame:
+        """Every file against its declared checksum; anything but a match stops the run."""
+        checksums = written(fingerprint.file_checksums(self.spark, path, pattern), "checksums")
+        verified = fingerprint.verify_sources(checksums, manifest)
+        fingerprint.require_match(verified)
+        return verified
+
+    def ingest_csv(
+        self, path: str, columns: Sequence[str], manifest: DataFrame | None = None, force: bool = False, pattern: str = "*.csv"
+    ) -> DataFrame:
+        """A folder of CSV files as one full run; with a manifest, only if every file matches it."""
+        rows = files.read_csv(self.spark, path, list(columns), position=self.spec.key)
+        rows = rows.withColumn("_file", F.col("_metadata.file_name"))
+        checksum: Column | None = None
+        if manifest is not None:
+            sums = self.verify_sources(path, manifest, pattern).select(F.col("file").alias("_file"), F.col("sha256").alias("_sum"))
+            rows, checksum = rows.join(sums, "_file", "left"), F.col("_sum")
+        return self.ingest_full(rows, force, source_file=F.col("_file"), checksum=checksum)
+
+    def ingest_arrivals(self, source: str, schema: T.StructType, **how) -> None:
+        """Files that arrived since the last call, each landed once."""
+        checkpoint = self.warehouse.path("checkpoints", "arrivals")
+        ingest_arrivals(
+            self.spark, source, schema, self.warehouse.landing, self.run, checkpoint, hashed=self.spec.hashed, **how
+        )
+
     def ingest_increment(self, source: DataFrame, force: bool = False, **identity) -> list[str]:
         return lands.ingest_batches(
             source, self.spec.key, self.settings.n_batches, self.warehouse.landing, self.run, force,

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from assayer.sources.audit import public_columns
 
 # A CSV file with line breaks inside quotes cannot be split, so files are kept small enough
 # to be read by one task each.
-ROWS_PER_CSV_FILE = 1_000_000
+ROWS_PER_CSV_FILE = 50_000
 
 _CSV = {
     "header": True,
@@ -21,10 +22,16 @@ _CSV = {
 }
 
 
-def read_csv(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
-    """All columns as text; casts come later (`cast_declared`). Free text may span lines."""
+def read_csv(spark: SparkSession, path: str, columns: list[str], position: str | None = None) -> DataFrame:
+    """All columns as text; casts come later (`cast_declared`). Free text may span lines.
+
+    `position` names an ordinal to be added: unique, and ascending in reading order. Positions
+    depend on how files are packed into tasks, so they are fixed by landing the rows; where a
+    key must not depend on the files at all, the row hash is one.
+    """
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    return spark.read.schema(schema).options(**_CSV, multiLine=True, mode="FAILFAST").csv(path)
+    rows = spark.read.schema(schema).options(**_CSV, multiLine=True, mode="FAILFAST").csv(path)
+    return rows if position is None else rows.withColumn(position, F.monotonically_increasing_id())
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

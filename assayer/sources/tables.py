@@ -22,10 +22,18 @@ def load_table(df: DataFrame, path: str, if_exists: str = "replace") -> None:
 
 
 def load_jdbc(df: DataFrame, url: str, table: str, if_exists: str = "replace", **properties: str) -> None:
-    """One transaction per partition, so at most JDBC_CONNECTIONS of them write at once."""
-    writer = df.coalesce(JDBC_CONNECTIONS).write.format("jdbc").mode(_mode(if_exists))
-    options = {"url": url, "dbtable": table, "batchsize": JDBC_ROWS_PER_INSERT, "truncate": "true", **properties}
-    writer.options(**options).save()
+    """Inserts in batches over at most JDBC_CONNECTIONS connections, as a database allows only so many.
+
+    `df` should be a written table, so that nothing but the inserts runs on those few tasks.
+    """
+    options = {
+        "url": url,
+        "dbtable": table,
+        "batchsize": JDBC_ROWS_PER_INSERT,
+        "numPartitions": JDBC_CONNECTIONS,
+        "truncate": "true",
+    }
+    df.write.format("jdbc").mode(_mode(if_exists)).options(**{**options, **properties}).save()
 
 
 def load_curated(curated: DataFrame, folder: str, if_exists: str = "replace") -> list[str]:

@@ -46,11 +46,14 @@ def _land_batch(
     entries = landing.entries(spark)
     if ledger.is_committed(entries, KIND, batch_id=batch_id):
         return
-    done = entries.where(F.col("kind") == KIND).select(F.col("source_file").alias("_source_file"))
-    fresh = batch.join(done, "_source_file", "left_anti")
-    files = written(fresh.groupBy(F.col("_source_file").alias("source_file")).agg(F.count(F.lit(1)).alias("rows")), "files")
+    done = entries.where(F.col("kind") == KIND).select("source_file")
+    counts = batch.groupBy(F.col("_source_file").alias("source_file")).agg(F.count(F.lit(1)).alias("rows"))
+    files = written(counts.join(done, "source_file", "left_anti"), "files")
     if files.isEmpty():
         return
+    # At most as many names as files in a micro-batch, which the source bounds.
+    names = F.broadcast(files.select(F.col("source_file").alias("_source_file")))
+    fresh = batch.join(names, "_source_file", "left_semi")
     audited = with_audit(fresh, run, batch_id, F.col("_source_file"), hashed=hashed)
     if order is not None:
         audited = keep_first(audited, "_row_hash", order)

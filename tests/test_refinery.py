@@ -3,11 +3,12 @@ import dataclasses
 import pytest
 from pyspark.sql import functions as F
 
-from assayer import ModelSpec, Refinery, Run, Settings, Warehouse
+from assayer import ModelSpec, Refinery, Run, Settings, Warehouse, to_staging
 from assayer.operators.checks import QualityGateError
 from assayer.operators.reports import run_log_status
 from assayer.plans import inputs
-from assayer.spec import CONTRACT_RULES
+from assayer.sources import files, fingerprint
+from assayer.spec import CONTRACT_RULES, STYLOMETRY
 
 FOLDER = "/root/testdata/sf0.001"
 MODELS = (ModelSpec("LogisticRegression", {"C": 1.0}), ModelSpec("DecisionTree", {"max_depth": 3}))
@@ -101,3 +102,62 @@ def test_failed_stage_is_logged(spark, tmp_path, source):
         broken.run_all(source)
     state = run_log_status(spark.read.parquet(broken.warehouse.path("run_log"))).first()
     assert (state.status, state.stage) == ("FAILED", "checks") and "minimum required: 1200" in state.notes
+
+
+COLUMNS = ["text_content", "content_type", *STYLOMETRY.numeric, "label"]
+
+
+@pytest.fixture(scope="module")
+def csv_folder(spark, tmp_path_factory):
+    """1367 rows like the published source: two classes of 684 and 683, some missing values."""
+    folder = tmp_path_factory.mktemp("csv") / "source"
+    i = F.col("id")
+    kinds = F.element_at(F.array(*map(F.lit, ["essay", "news", "blog", "email"])), (i % 4 + 1).cast("int"))
+    measures = [
+        (F.pmod(F.hash(i, F.lit(c)), F.lit(1000)) + 1 if STYLOMETRY.types[c] == "bigint" else F.pmod(F.hash(i, F.lit(c)), F.lit(1000)) / 1000.0).alias(c)
+        for c in STYLOMETRY.numeric
+    ]
+    rows = spark.range(1367).select(
+        F.concat(F.lit('He said "hi", then\nleft '), i).alias("text_content"), kinds.alias("content_type"), *measures, (i % 2).alias("label")
+    )
+    gaps = {c: F.when(F.pmod(F.hash(c), F.lit(20)) > 0, F.col(c).cast("string")).otherwise("N/A") for c in ("flesch_reading_ease", "sentiment_score")}
+    files.export_csv(rows.withColumns(gaps).select(COLUMNS).repartition(3), str(folder))
+    return str(folder)
+
+
+def test_published_volumes_from_csv(spark, csv_folder, tmp_path):
+    refinery = Refinery(spark, Warehouse(str(tmp_path)), Run("r1", "2026-10-09 14:53:13"))
+    sums = fingerprint.file_checksums(spark, csv_folder, "*.csv")
+    manifest = sums.select("file", F.col("sha256").alias("expected"))
+    raw = refinery.ingest_csv(csv_folder, COLUMNS, manifest)
+    assert raw.count() == 1367 and raw.where("length(_source_checksum) = 64 and _source_file like '%.csv'").count() == 1367
+    staging = refinery.to_staging()
+    assert staging.count() == 1367 and staging.where("flesch_reading_ease is null or sentiment_score is null").isEmpty()
+    assert staging.schema["word_count"].dataType.simpleString() == "bigint"
+    report = refinery.run_checks()
+    # One schema, 16 completeness, 1 uniqueness, 7 ranges, 1 domain, 1 freshness, 1 balance, 1 row count.
+    assert report.count() == 29 and report.where("status = 'FAIL'").isEmpty()
+    curated = refinery.to_curated()
+    assert {r._split: r["count"] for r in curated.groupBy("_split").count().collect()} == {"train": 1093, "test": 274}
+    assert {r.label: r["count"] for r in curated.where("_split = 'test'").groupBy("label").count().collect()} == {0: 137, 1: 137}
+    split = spark.read.json(refinery.warehouse.path("manifest", "r1", "split")).first()
+    assert (split.random_seed, split.train_rows, split.test_rows, split.stratified) == (42, 1093, 274, True)
+
+
+def test_changed_source_is_refused(spark, csv_folder, tmp_path):
+    refinery = Refinery(spark, Warehouse(str(tmp_path)), Run("r1", "2026-10-09 14:53:13"))
+    manifest = fingerprint.file_checksums(spark, csv_folder, "*.csv").select("file", F.lit("0" * 64).alias("expected"))
+    with pytest.raises(fingerprint.SourceMismatchError, match="MISMATCH"):
+        refinery.ingest_csv(csv_folder, COLUMNS, manifest)
+    assert refinery.warehouse.landing.entries(spark).isEmpty()
+
+
+def test_arrivals_feed_staging(spark, tmp_path):
+    refinery = Refinery(spark, Warehouse(str(tmp_path / "w")), Run("r1", "2024-01-31 00:00:00"), inputs.SPEC)
+    source = inputs.source(spark, FOLDER)
+    source.write.parquet(str(tmp_path / "in"))
+    refinery.ingest_full(source)
+    refinery.ingest_arrivals(str(tmp_path / "in"), source.schema)
+    assert refinery.warehouse.landing.visible(spark).count() == 2 * source.count()
+    alone, _ = to_staging(inputs.raw(spark, FOLDER), inputs.SPEC, Settings(), inputs.RUN)
+    assert refinery.to_staging().count() == alone.count()
