@@ -21,8 +21,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assayer.operators.curate import stratified_folds
-from assayer.operators.scoring import long_metrics, metrics
+from assayer.operators.curate import stratified_folds, stratified_split
+from assayer.operators.scoring import balanced_threshold, long_metrics, metrics, threshold_sweep
 from assayer.operators.staging import fill_zero
 from assayer.scratch import written
 from assayer.spec import ModelSpec, Settings, TableSpec
@@ -198,6 +198,26 @@ def cv_scores(
     return long_metrics(metrics(scored, by).select(*by, *wanted), by)
 
 
+def calibrate_threshold(
+    train: DataFrame, spec: TableSpec, model: ModelSpec, settings: Settings
+) -> tuple[PipelineModel, float]:
+    """A model of the inner training split, and the threshold that balances its recalls on the rest.
+
+    The inner split has the proportions of the outer one.
+    """
+    inner = training_table(
+        stratified_split(train, "label", spec.key, settings.seed, settings.test_size, name="_inner"), "inner"
+    )
+    fitted = fit(inner.where(F.col("_inner") == "train"), spec, model, settings.seed)
+    validation = score(fitted, inner.where(F.col("_inner") == "test"), model.name, spec.key)
+    return fitted, balanced_threshold(threshold_sweep(validation)).first().threshold
+
+
+def with_threshold(scored: DataFrame, threshold: float) -> DataFrame:
+    """Predictions at `score >= threshold` instead of the model's own."""
+    return scored.withColumn("prediction", (F.col("score") >= F.lit(threshold)).cast("int"))
+
+
 # ---------------------------------------------------------------------------
 # models as artifacts
 # ---------------------------------------------------------------------------

@@ -271,7 +271,11 @@ def to_staging(
     if rejecting:
         labelled, broken = contract.split_by_contract(labelled, rejecting)
         quarantined = quarantined.unionByName(broken)
-    stamped = staging.impute_median(labelled, spec.numeric).withColumns(
+    fit_on = None
+    if settings.medians_from == "train":
+        split = curate.stratified_split(labelled, spec.target, spec.key, settings.seed, settings.test_size)
+        fit_on = split.where(F.col("_split") == "train")
+    stamped = staging.impute_median(labelled, spec.numeric, fit_on).withColumns(
         {
             "_staged_at_utc": F.lit(run.at).cast("timestamp"),
             "_staging_version": F.lit(settings.staging_version),

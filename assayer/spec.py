@@ -77,6 +77,7 @@ class Settings:
     metric: str = "f1_weighted"
     tolerance: float = 0.02
     staging_version: str = "1.0"
+    medians_from: str = "all"  # or "train": only the rows that will be in the training split
 
 
 # The stylometric table, its declared types and its feature order.

@@ -85,3 +85,12 @@ def test_evaluation_of_several_models(data):
     fitted = models.fit_all(data, SPEC, specs, Settings())
     out = {r.classifier: r for r in models.evaluate(fitted, data, "k").collect()}
     assert set(out) == {"LogisticRegression", "SVC"} and all(r.roc_auc > 0.9 for r in out.values())
+
+
+def test_threshold_is_calibrated_on_an_inner_split(data):
+    model = ModelSpec("LogisticRegression", SMALL["LogisticRegression"])
+    fitted, threshold = models.calibrate_threshold(data, SPEC, model, Settings())
+    assert 0.0 < threshold < 1.0
+    moved = models.with_threshold(models.score(fitted, data, "LogisticRegression", "k"), threshold)
+    assert scoring.metrics(moved).first().accuracy > 0.9
+    assert moved.where((F.col("score") >= threshold) != (F.col("prediction") == 1)).isEmpty()

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from assayer.operators import staging
+from assayer.operators.curate import stratified_split
 from assayer.plans import inputs
 from assayer.plans.refinery import to_staging
 from assayer.spec import Rule, Settings
@@ -82,3 +83,14 @@ def test_staging_does_not_depend_on_partitions(spark, rows, partitions):
     out, _ = to_staging(raw, inputs.SPEC, Settings(), inputs.RUN)
     base, _ = to_staging(inputs.raw(spark, "/root/testdata/sf0.001"), inputs.SPEC, Settings(), inputs.RUN)
     assert out.exceptAll(base).isEmpty() and base.exceptAll(out).isEmpty()
+
+
+def test_medians_of_the_training_rows(spark):
+    raw = inputs.raw(spark, "/root/testdata/sf0.001")
+    out, _ = to_staging(raw, inputs.SPEC, Settings(medians_from="train"), inputs.RUN)
+    gaps = raw.where("flesch_reading_ease is null").select("_row_key")
+    filled = out.join(gaps, "_row_key").select("flesch_reading_ease").distinct().collect()
+    clean = out.join(gaps, "_row_key", "left_anti")
+    split = stratified_split(out, "label", "_row_key").where("_split = 'train'").select("_row_key")
+    expected = clean.join(split, "_row_key").agg(F.median("flesch_reading_ease")).first()[0]
+    assert len(filled) == 1 and filled[0][0] == pytest.approx(expected)
