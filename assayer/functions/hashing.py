@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-CODE_BITS = 60  # bits of the md5 digest that order rows
+CODE_DIGITS = 15  # hex digits of the md5 digest that order rows
 
 _MISSING = "<NA>"
 
@@ -28,11 +28,10 @@ def row_hash_strict(columns: Sequence[str]) -> Column:
 
 
 def seeded_code(seed: int, key: Column) -> Column:
-    """A bigint that orders rows at random, the same way wherever they are."""
+    """Hex text that orders rows at random, the same way wherever they are."""
     digest = F.md5(F.concat(F.lit(f"{seed}|"), key.cast("string")))
-    code = F.conv(F.substring(digest, 1, CODE_BITS // 4), 16, 10).cast("bigint")
     # Never NULL, so a join on a part of it needs no NULL filter that would hash every row again.
-    return F.coalesce(code, F.lit(0).cast("bigint"))
+    return F.coalesce(F.substring(digest, 1, CODE_DIGITS), F.lit(""))
 
 
 def content_number(columns: Sequence[str]) -> Column:

@@ -98,7 +98,7 @@ def _borders(df: DataFrame, target: str, key: str, seed: int, ranks: dict[object
         _ordered(df, key, seed), target, _CODE, key, spark.createDataFrame(wanted, f"`{target}` {kinds[target]}, _rank bigint")
     )
     found = {(row[target], row["_rank"]): (row[_CODE], row[key]) for row in at.collect()}
-    border = f"array<struct<`{_CODE}`:bigint,`{key}`:{kinds[key]}>>"
+    border = f"array<struct<`{_CODE}`:string,`{key}`:{kinds[key]}>>"
     table = spark.createDataFrame([(c, [found[c, r] for r in rs]) for c, rs in ranks.items()], f"`{target}` {kinds[target]}, _borders {border}")
     return F.broadcast(table)
 

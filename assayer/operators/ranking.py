@@ -16,7 +16,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from assayer.functions.hashing import CODE_BITS
 from assayer.scratch import written
 
 # ---------------------------------------------------------------------------
@@ -176,15 +175,15 @@ def medians(df: DataFrame, columns: Sequence[str], **limits: int) -> tuple[dict[
 # ---------------------------------------------------------------------------
 
 
-def rows_at_ranks(df: DataFrame, group: str, code: str, key: str, ranks: DataFrame, bucket_bits: int = 12) -> DataFrame:
+def rows_at_ranks(df: DataFrame, group: str, code: str, key: str, ranks: DataFrame, digits: int = 3) -> DataFrame:
     """The `code` and `key` of the rows at the wanted ranks of the order (code, key) in each group.
 
     `ranks` has the columns (group, _rank) and one row per wanted rank; it must be small, as it
     bounds what is broadcast. Codes are uniform (`seeded_code`), so a histogram of their leading
-    bits tells in which bucket a rank falls, and only the rows of those buckets, one part in
-    2**bucket_bits of the group each, are numbered.
+    digits tells in which bucket a rank falls, and only the rows of those buckets, one part in
+    16**digits of the group each, are numbered.
     """
-    buckets = df.select(group, code, key, F.shiftright(F.col(code), CODE_BITS - bucket_bits).alias("_bucket"))
+    buckets = df.select(group, code, key, F.substring(code, 1, digits).alias("_bucket"))
     upto = F.sum("_n").over(Window.partitionBy(group).orderBy("_bucket"))
     spans = (
         buckets.groupBy(group, "_bucket")
@@ -219,7 +218,9 @@ def running_totals(
     range starts, so no task ever holds more than one range of one group.
     """
     by, overall = list(by), overall or {}
-    ranged = written(df.repartitionByRange(order).withColumn("_range", F.spark_partition_id()), "ranged")
+    # More ranges than tasks, so that ranges of unequal weight even out.
+    ranges = 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = written(df.repartitionByRange(ranges, order).withColumn("_range", F.spark_partition_id()), "ranged")
 
     zero, summed = F.lit(0).cast("bigint"), sorted({*totals.values(), *overall.values()})
     ahead = Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
@@ -233,9 +234,11 @@ def running_totals(
             *[F.sum(f"_sum_{c}").over(Window.partitionBy(*by)).alias(new) for new, c in overall.items()],
         )
     )
-    along = Window.partitionBy(*by, "_range").orderBy(order)
-    running = [(F.sum(c).over(along) + F.col(f"_from_{new}")).alias(new) for new, c in totals.items()]
-    return ranged.join(offsets, [*by, "_range"]).select(*df.columns, *running, *overall)
+    along = Window.partitionBy(*by, "_range").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    # The window comes first: its partitioning and order serve the join as well.
+    inside = ranged.withColumns({f"_in_{new}": F.sum(c).over(along) for new, c in totals.items()})
+    running = [(F.col(f"_in_{new}") + F.col(f"_from_{new}")).alias(new) for new in totals]
+    return inside.join(offsets, [*by, "_range"]).select(*df.columns, *running, *overall)
 
 
 def competition_rank(df: DataFrame, value: str, name: str = "rank") -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assayer.functions.text import with_burstiness, with_readability, with_stylometrics
@@ -64,16 +64,19 @@ def raw(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def scored_orders(spark: SparkSession, folder: str) -> DataFrame:
-    """Orders scored by three rules: (o_orderkey, classifier, label, prediction, score).
+    return score_orders(table(spark, folder, "orders"))
 
-    One rule has five distinct scores only, the others nearly one per row.
+
+def score_orders(orders: DataFrame, *keep: str) -> DataFrame:
+    """Orders scored by three rules: (o_orderkey, keep.., label, classifier, prediction, score).
+
+    One rule has five distinct scores only, the others up to one per row.
     """
-    orders = table(spark, folder, "orders")
     price = F.col("o_totalprice")
     urgency = 6.0 - F.substring("o_orderpriority", 1, 1).cast("double")
     day = F.datediff(F.col("o_orderdate"), F.lit("1995-01-01").cast("date")).cast("double")
 
-    def rule(name: str, prediction, score):
+    def rule(name: str, prediction: Column, score: Column) -> Column:
         return F.struct(F.lit(name).alias("classifier"), prediction.cast("int").alias("prediction"), score.alias("score"))
 
     rules = F.array(
@@ -81,6 +84,5 @@ def scored_orders(spark: SparkSession, folder: str) -> DataFrame:
         rule("urgency", urgency >= 3, urgency),
         rule("recency", day >= 1200, day),
     )
-    return orders.select(
-        "o_orderkey", (F.col("o_orderstatus") == "F").cast("int").alias("label"), F.explode(rules).alias("r")
-    ).select("o_orderkey", "label", "r.*")
+    label = (F.col("o_orderstatus") == "F").cast("int").alias("label")
+    return orders.select("o_orderkey", *keep, label, F.explode(rules).alias("r")).select("o_orderkey", *keep, "label", "r.*")

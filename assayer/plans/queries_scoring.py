@@ -163,9 +163,8 @@ FROM metrics""",
     ),
 )
 def model_leaderboard(spark: SparkSession, folder: str) -> DataFrame:
-    orders = inputs.table(spark, folder, "orders")
-    months = orders.select("o_orderkey", F.date_format("o_orderdate", "yyyy-MM").alias("run_id"))
-    scored = written(inputs.scored_orders(spark, folder).join(months, "o_orderkey"), "scored")
+    orders = inputs.table(spark, folder, "orders").withColumn("run_id", F.date_format("o_orderdate", "yyyy-MM"))
+    scored = written(inputs.score_orders(orders, "run_id").drop("o_orderkey"), "scored")
     # Equal models must tie, so the noise of a parallel sum is rounded away before the ranking.
     per_run = _round(scoring.metrics(scored, ["classifier", "run_id"]), 9, "f1_weighted")
     return reports.model_leaderboard(written(per_run, "model_metrics"))
@@ -190,10 +189,9 @@ folded AS (SELECT s.*, f.fold FROM scored s JOIN folds f USING (o_orderkey))
     ),
 )
 def cv_summary(spark: SparkSession, folder: str) -> DataFrame:
-    orders = inputs.table(spark, folder, "orders").select("o_orderkey", "o_orderstatus")
-    folds = stratified_folds(orders, "o_orderstatus", "o_orderkey", name="fold").drop("o_orderstatus")
+    folded = stratified_folds(inputs.table(spark, folder, "orders"), "o_orderstatus", "o_orderkey", name="fold")
     by = ["classifier", "fold"]
-    per_fold = scoring.metrics(written(inputs.scored_orders(spark, folder).join(folds, "o_orderkey"), "scored"), by)
+    per_fold = scoring.metrics(written(inputs.score_orders(folded, "fold").drop("o_orderkey"), "scored"), by)
     long = scoring.long_metrics(per_fold.select(*by, "accuracy", "f1_weighted", "roc_auc"), by)
     return _round(scoring.cv_summary(long), 6, "mean", "std")
 
@@ -223,9 +221,8 @@ FROM pairs""",
 )
 def check_reproducibility(spark: SparkSession, folder: str) -> DataFrame:
     """The test split against a baseline from the training split; one baseline value is unknown."""
-    orders = inputs.table(spark, folder, "orders").select("o_orderkey", "o_orderstatus")
-    splits = stratified_split(orders, "o_orderstatus", "o_orderkey").drop("o_orderstatus")
-    scored = written(inputs.scored_orders(spark, folder).join(splits, "o_orderkey"), "scored")
+    split_orders = stratified_split(inputs.table(spark, folder, "orders"), "o_orderstatus", "o_orderkey")
+    scored = written(inputs.score_orders(split_orders, "_split").drop("o_orderkey"), "scored")
     measured = written(scoring.long_metrics(scoring.metrics(scored, ["classifier", "_split"]), ["classifier", "_split"]), "metrics")
     known = F.col("classifier") != "urgency"
     expected = F.when(known, rounded(F.col("value"), 4).cast("string")).otherwise("unknown")
