@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from assayer.functions.numbers import nan_to_null
-from assayer.spec import LONG
+from assayer.spec import DOUBLE, LONG
 
 # The texts a CSV reader of the original pipeline takes for a missing value.
 MISSING_TEXTS = (
@@ -31,7 +30,9 @@ MISSING_TEXTS = (
     "null",
 )
 
-# Spark's own text-to-double cast also takes Java spellings such as 1d, 2f or 0x1p3.
+# Text is matched before it is parsed. Spark's own cast to double also takes Java spellings such as
+# 1d, 2f or 0x1p3, and a try_cast that fails costs many times one that succeeds.
+_DIGITS = r"^\s*[+-]?\d+\s*$"
 _NUMBER = r"^\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|[iI][nN][fF]([iI][nN][iI][tT][yY])?)\s*$"
 
 
@@ -41,16 +42,17 @@ def present(text: Column) -> Column:
 
 
 def to_double(text: Column) -> Column:
-    return nan_to_null(F.when(text.rlike(_NUMBER), text).try_cast("double"))
+    return F.when(text.rlike(_NUMBER), text.try_cast(DOUBLE))
 
 
-def to_long(text: Column) -> Column:
-    """Whole numbers in any spelling (`3`, `3.0`, `3e2`); plain digits stay exact above 2**53."""
-    number = to_double(text)
-    whole = F.when(number == F.floor(number), number.try_cast(LONG))
-    return F.coalesce(text.try_cast(LONG), whole)
+def whole(number: Column) -> Column:
+    """A double as a bigint, NULL where it is not whole or too large."""
+    return F.when(number == F.floor(number), number.try_cast(LONG))
 
 
-def to_declared(column: Column, declared: str) -> Column:
-    text = present(column.cast("string"))
-    return to_long(text) if declared == LONG else to_double(text)
+def to_long(text: Column, number: Column) -> Column:
+    """Whole numbers in any spelling (`3`, `3.0`, `3e2`); plain digits stay exact above 2**53.
+
+    `number` is the text as a double.
+    """
+    return F.coalesce(F.when(text.rlike(_DIGITS), text.try_cast(LONG)), whole(number))

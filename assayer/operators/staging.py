@@ -7,27 +7,59 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from assayer.functions.typed import present, to_declared
+from assayer.functions.numbers import nan_to_null
+from assayer.functions.typed import present, to_double, to_long, whole
 from assayer.operators.ranking import medians
+from assayer.spec import DOUBLE, LONG
 
 
 def _present_columns(df: DataFrame, names: Sequence[str]) -> list[str]:
     return [c for c in names if c in df.columns]
 
 
+_INTEGERS = ("tinyint", "smallint", "int", "bigint")
+_FLOATS = ("float", "double")
+
+
+def _typed(df: DataFrame, types: dict[str, str]) -> tuple[DataFrame, dict[str, Column]]:
+    """(`df` with helper columns, the typed column of each declared one).
+
+    Text is searched for missing values, and parsed, in projections of their own, so that no value
+    is parsed twice. Columns that are numbers already are not turned into text.
+    """
+    columns = _present_columns(df, list(types))
+    kinds = dict(df.dtypes)
+    numbers = {c for c in columns if kinds[c] in _INTEGERS + _FLOATS}
+    texts = [c for c in columns if c not in numbers]
+    staged = df.withColumns({f"_text_{c}": present(F.col(c).cast("string")) for c in texts})
+    staged = staged.withColumns(
+        {f"_number_{c}": to_double(F.col(f"_text_{c}")) for c in texts}
+        | {f"_number_{c}": nan_to_null(F.col(c).cast(DOUBLE)) for c in numbers}
+    )
+    typed = {}
+    for c in columns:
+        number = F.col(f"_number_{c}")
+        if types[c] == DOUBLE:
+            typed[c] = number
+        elif kinds[c] in _INTEGERS:
+            typed[c] = F.col(c).cast(LONG)
+        else:
+            typed[c] = whole(number) if c in numbers else to_long(F.col(f"_text_{c}"), number)
+    return staged, typed
+
+
 def cast_declared(df: DataFrame, types: dict[str, str]) -> DataFrame:
     """Columns in their declared types, bad values NULL; columns that are absent are skipped."""
-    return df.withColumns({c: to_declared(F.col(c), types[c]) for c in _present_columns(df, list(types))})
+    staged, typed = _typed(df, types)
+    return staged.select(*[typed[c].alias(c) if c in typed else F.col(c) for c in df.columns])
 
 
 def cast_failures(df: DataFrame, types: dict[str, str]) -> DataFrame:
     """Per column, how many values were present but did not fit the declared type."""
-    columns = _present_columns(df, list(types))
-    failed = [
-        F.count_if(present(F.col(c).cast("string")).isNotNull() & to_declared(F.col(c), types[c]).isNull()).alias(c)
-        for c in columns
-    ]
-    return df.agg(*failed).unpivot([], columns, "column_name", "failures")
+    staged, typed = _typed(df, types)
+    given = {c: F.col(f"_text_{c}" if f"_text_{c}" in staged.columns else f"_number_{c}") for c in typed}
+    failed = [F.count_if(given[c].isNotNull() & typed[c].isNull()).alias(c) for c in typed]
+    return staged.agg(*failed).unpivot([], list(typed), "column_name", "failures")
 
 
 def keep_first(df: DataFrame, key: str, order: str | Sequence[str]) -> DataFrame:

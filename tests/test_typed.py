@@ -46,6 +46,13 @@ def test_nan_in_a_double_column_is_null(spark):
     assert [r.x for r in cast_declared(df, {"x": "double"}).collect()] == [None, 1.5]
 
 
+def test_numbers_are_not_parsed_again(spark):
+    df = spark.createDataFrame([(2**60 + 1, 3.0, 7), (None, 3.5, None)], "a bigint, b double, c int")
+    typed = cast_declared(df, {"a": "bigint", "b": "bigint", "c": "double"})
+    assert [tuple(r) for r in typed.collect()] == [(2**60 + 1, 3, 7.0), (None, None, None)]
+    assert {r.column_name: r.failures for r in cast_failures(df, {"a": "bigint", "b": "bigint", "c": "double"}).collect()} == {"a": 0, "b": 1, "c": 0}
+
+
 def test_hash_marks_missing_values(spark):
     df = spark.createDataFrame([("a", None), (None, "a"), ("a", "<NA>")], "x string, y string")
     hashes = [r[0] for r in df.select(row_hash(["x", "y"])).collect()]
