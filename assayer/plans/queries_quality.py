@@ -224,7 +224,11 @@ def contract_row_violations(spark: SparkSession, folder: str) -> DataFrame:
 
 
 # A stricter contract than the published one, so that there are rows to reject.
-_STRICT = [replace(rule, on_violation="quarantine", on_null=None) for rule in _RULES if rule.column in ("burstiness", "avg_sentence_length", "word_count")]
+_STRICT = [
+    replace(rule, on_violation="quarantine", on_null=None)
+    for rule in _RULES
+    if rule.column in ("burstiness", "avg_sentence_length", "word_count")
+]
 _STRICT_MARKS = ", ".join(
     f"CASE WHEN {c} IS NULL THEN '{c}:not_null' END, CASE WHEN {c} < {lo} OR {c} > {hi} THEN '{c}:range' END"
     for c, lo, hi in [(rule.column, rule.minimum, rule.maximum) for rule in _STRICT]

@@ -68,7 +68,10 @@ def test_folds_are_even_within_a_class(spark, sizes, folds):
         assert sum(per_fold) == n and max(per_fold) - min(per_fold) <= 1
 
 
-@pytest.mark.parametrize("rows, sizes", [(0, {}), (1, {3: 1}), (2, {3: 2}), (3, {1: 1, 2: 1, 3: 1}), (10, {1: 3, 2: 3, 3: 4}), (1367, {1: 455, 2: 455, 3: 457})])
+@pytest.mark.parametrize(
+    "rows, sizes",
+    [(0, {}), (1, {3: 1}), (2, {3: 2}), (3, {1: 1, 2: 1, 3: 1}), (10, {1: 3, 2: 3, 3: 4}), (1367, {1: 455, 2: 455, 3: 457})],
+)
 def test_batches_are_contiguous_with_the_rest_in_the_last(spark, rows, sizes):
     df = spark.range(rows).select((F.col("id") * 7 - 3).alias("ord")).repartition(4)
     out = curate.make_batches(df, "ord", 3).orderBy("ord").collect()

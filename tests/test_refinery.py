@@ -113,10 +113,12 @@ def csv_folder(spark, tmp_path_factory):
     folder = tmp_path_factory.mktemp("csv") / "source"
     i = F.col("id")
     kinds = F.element_at(F.array(*map(F.lit, ["essay", "news", "blog", "email"])), (i % 4 + 1).cast("int"))
-    measures = [
-        (F.pmod(F.hash(i, F.lit(c)), F.lit(1000)) + 1 if STYLOMETRY.types[c] == "bigint" else F.pmod(F.hash(i, F.lit(c)), F.lit(1000)) / 1000.0).alias(c)
-        for c in STYLOMETRY.numeric
-    ]
+
+    def measure(c):
+        value = F.pmod(F.hash(i, F.lit(c)), F.lit(1000))
+        return (value + 1 if STYLOMETRY.types[c] == "bigint" else value / 1000.0).alias(c)
+
+    measures = [measure(c) for c in STYLOMETRY.numeric]
     rows = spark.range(1367).select(
         F.concat(F.lit('He said "hi", then\nleft '), i).alias("text_content"), kinds.alias("content_type"), *measures, (i % 2).alias("label")
     )
