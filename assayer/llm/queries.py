@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from assayer.llm import bpe
+from assayer.llm import bpe, mixing, quality
 from assayer.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -21,6 +21,17 @@ def query(function: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
     return function
 
 
+@query
+def op3_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix(table(spark, folder, "documents"))
+
+
+@query
+def op7_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return quality.judge(docs, quality.cascade(docs), report=quality.REPORTED)
+
+
 @query
 def op9_byte_level_bpe(spark: SparkSession, folder: str) -> DataFrame:
     ranks = bpe.read_ranks(public_tokenizers.path(VOCABULARY))
