@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from assayer.llm import bpe, mixing, quality
+from assayer.llm import bpe, mixing, pii, quality
 from assayer.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -21,6 +21,11 @@ def query(function: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
     return function
 
 
+@query
+def op1_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.digest(pii.find(table(spark, folder, "documents")))
+
+
 @query
 def op3_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents"))
