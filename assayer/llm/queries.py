@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from assayer.llm import bpe, mixing, pii, quality
+from assayer.llm import bpe, licences, mixing, pii, preferences, quality
 from assayer.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,6 +32,17 @@ def op3_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents"))
 
 
+def _listed(spans: Column) -> Column:
+    return F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string"))))
+
+
+@query
+def op4_licence_scan(spark: SparkSession, folder: str) -> DataFrame:
+    found = licences.scan(table(spark, folder, "documents"))
+    lists = [F.concat_ws(",", c).alias(c) for c in ("sentences", "licences", "unmatched")]
+    return found.select("doc_id", F.size("sentences").cast("bigint").alias("n_sentences"), *lists)
+
+
 @query
 def op7_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
@@ -41,3 +53,10 @@ def op7_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 def op9_byte_level_bpe(spark: SparkSession, folder: str) -> DataFrame:
     ranks = bpe.read_ranks(public_tokenizers.path(VOCABULARY))
     return bpe.digests(table(spark, folder, "documents"), ranks, public_tokenizers.PATTERN)
+
+
+@query
+def op10_preference_pairs(spark: SparkSession, folder: str) -> DataFrame:
+    pairs = preferences.neighbours(preferences.turns(table(spark, folder, "conversations")))
+    masks = [_listed(F.col(c)).alias(c) for c in ("chosen_mask", "rejected_mask")]
+    return pairs.select("pair_id", F.col("prompt_turns").cast("bigint").alias("prompt_turns"), "prompt", "chosen", "rejected", *masks)
