@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assayer.llm import bpe, licences, mixing, pii, preferences, quality
+from assayer.llm import bpe, licences, mixing, neardup, pii, preferences, quality
 from assayer.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,6 +27,11 @@ def op1_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     return pii.digest(pii.find(table(spark, folder, "documents")))
 
 
+@query
+def op2_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, folder, "documents"), words=4)
+
+
 @query
 def op3_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents"))
