@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,6 +28,11 @@ def word_count(text: Column) -> Column:
     return F.when(trimmed == "", F.lit(0)).otherwise(words).cast("bigint")
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """`use(value)`, with the value computed once: what a lambda refers to is computed for each element."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 FILTER_BITS = 2**24  # 2 MB when packed, whatever the number of keys; more bits let fewer others through
 
 

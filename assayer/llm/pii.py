@@ -10,12 +10,10 @@ stands between them, and only tokens that look like identifiers leave their text
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from assayer.llm.common import SPACE
+from assayer.llm.common import SPACE, let
 from assayer.scratch import written
 
 KINDS = ("email", "ip", "card", "phone")
@@ -38,11 +36,6 @@ ROUNDS = 3
 _BLOCK = 256
 
 
-def _let(value: Column, use: Callable[[Column], Column]) -> Column:
-    """`use(value)`, with the value computed once: what a lambda refers to is computed for each element."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
-
-
 def _starts(lengths: Column) -> Column:
     """Sums of the elements before each one, in blocks, so that long arrays are not copied each time."""
 
@@ -58,7 +51,7 @@ def _starts(lengths: Column) -> Column:
     def whole(cut: Column) -> Column:
         return F.transform(cut, lambda block: F.aggregate(block, F.lit(0).cast("bigint"), lambda a, x: a + x))
 
-    return _let(_let(lengths, blocks), lambda cut: F.flatten(F.zip_with(cut, sums(whole(cut), F.lit(0).cast("bigint")), sums)))
+    return let(let(lengths, blocks), lambda cut: F.flatten(F.zip_with(cut, sums(whole(cut), F.lit(0).cast("bigint")), sums)))
 
 
 def spans_of(text: Column, found: Column, pattern: str, kind: str) -> Column:
@@ -74,7 +67,7 @@ def spans_of(text: Column, found: Column, pattern: str, kind: str) -> Column:
     def spans(pairs: Column) -> Column:
         return F.zip_with(pairs, _starts(F.transform(pairs, lambda p: p["gap"] + F.length(p["value"]))), span)
 
-    return _let(pairs, spans)
+    return let(pairs, spans)
 
 
 def _digits(value: Column) -> Column:

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assayer.llm import bpe, licences, mixing, neardup, pii, preferences, quality
+from assayer.llm import bpe, licences, lines, mixing, neardup, pii, preferences, quality
 from assayer.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,6 +48,12 @@ def op4_licence_scan(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", F.size("sentences").cast("bigint").alias("n_sentences"), *lists)
 
 
+@query
+def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = lines.dedup(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_lines", "n_gone", F.concat_ws(",", F.col("gone_lines").cast("array<string>")).alias("gone_lines"))
+
+
 @query
 def op7_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
