@@ -323,9 +323,11 @@ def decode(tokens: DataFrame, ranks: bytes, pattern: str, keep: tuple[str, ...]
     return _per_row(tokens, "ids", "data binary", make, [("data", pa.binary())], list(keep))
 
 
-def digests(docs: DataFrame, ranks: bytes, pattern: str, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """(keep.., n_tokens, ids_sha256, decoded_sha256): what `encode` and then `decode` give, hashed in
-    the same task, so that neither ids nor bytes leave it. NULL counts as an empty text."""
+def digests(
+    docs: DataFrame, ranks: bytes, pattern: str, text: str = "text", keep: tuple[str, ...] = ("doc_id",), with_ids: bool = False
+) -> DataFrame:
+    """(keep.., n_tokens, ids_sha256, decoded_sha256[, ids]): what `encode` and then `decode` give, hashed in
+    the same task, so that bytes do not leave it, nor ids unless they are asked for. NULL counts as an empty text."""
     shared = docs.sparkSession.sparkContext.broadcast(ranks)
 
     def make():
@@ -333,7 +335,8 @@ def digests(docs: DataFrame, ranks: bytes, pattern: str, text: str = "text", kee
 
         def digest(ids: list[int]):
             packed = np.array(ids, dtype="<u4").tobytes()
-            return len(ids), hashlib.sha256(packed).hexdigest(), hashlib.sha256(encoder.decode(ids)).hexdigest()
+            found = len(ids), hashlib.sha256(packed).hexdigest(), hashlib.sha256(encoder.decode(ids)).hexdigest()
+            return (*found, np.array(ids, np.int32)) if with_ids else found
 
         def compute(texts: list[str | None]):
             return map(digest, encoder.encode_all(texts))
@@ -342,4 +345,6 @@ def digests(docs: DataFrame, ranks: bytes, pattern: str, text: str = "text", kee
 
     schema = "n_tokens bigint, ids_sha256 string, decoded_sha256 string"
     arrow = [("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())]
+    if with_ids:
+        schema, arrow = schema + ", ids array<int>", [*arrow, ("ids", pa.list_(pa.int32()))]
     return _per_row(docs, text, schema, make, arrow, list(keep))

@@ -146,18 +146,19 @@ def judge(
     keep: Sequence[str] = ("doc_id",),
     report: Sequence[str] = (),
     base: Sequence[Rule] = BASE,
+    verdict: str = "kept",
 ) -> DataFrame:
     """(keep.., report.., [base_failed], kept): the verdict of a cascade over each whole text.
 
     `rules` run in the given order until one rejects. `report` names features of every row to
     return, in which case `base_failed` says whether one of `base` rejects. NULL is an empty text,
     which has no words. Repeated rows are judged alike; an empty table gives an empty table; columns
-    that are not in `keep` are not read.
+    that are not in `keep` are not read. `verdict` names the last column.
     """
     rest = [rule for rule in rules if not (report and rule in base)]
     schema = [f"`{c}` {t}" for c, t in docs.select(*keep).dtypes] + [f"{c} bigint" for c in report]
-    schema += (["base_failed boolean"] if report else []) + ["kept boolean"]
-    names = [*keep, *report, *(["base_failed"] if report else []), "kept"]
+    schema += (["base_failed boolean"] if report else []) + [f"{verdict} boolean"]
+    names = [*keep, *report, *(["base_failed"] if report else []), verdict]
 
     def row(value: str | None) -> tuple:
         features = Features(value)

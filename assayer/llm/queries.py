@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assayer.llm import bpe, licences, lines, mixing, neardup, pii, preferences, quality
+from assayer.llm import ann, bpe, licences, lines, mixing, neardup, pii, preferences, quality, recurrent
 from assayer.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,6 +48,11 @@ def op4_licence_scan(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", F.size("sentences").cast("bigint").alias("n_sentences"), *lists)
 
 
+@query
+def op5_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return ann.neighbours(table(spark, folder, "embeddings"))
+
+
 @query
 def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = lines.dedup(table(spark, folder, "documents"))
@@ -60,6 +65,11 @@ def op7_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judge(docs, quality.cascade(docs), report=quality.REPORTED)
 
 
+@query
+def op8_language_model(spark: SparkSession, folder: str) -> DataFrame:
+    return recurrent.score(table(spark, folder, "documents"))
+
+
 @query
 def op9_byte_level_bpe(spark: SparkSession, folder: str) -> DataFrame:
     ranks = bpe.read_ranks(public_tokenizers.path(VOCABULARY))
