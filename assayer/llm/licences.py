@@ -99,24 +99,25 @@ def known_sentences(sentences: dict[str, str]) -> dict[str, str]:
 def identified(text: Column, sentences: dict[str, str]) -> Column:
     """The identifiers of the known sentences of a text, in the order of the text.
 
-    A known sentence may be cut by the separators at several places, so candidates are the runs of one to as
-    many parts as the longest known sentence has; of those that start at a part, the longest counts, and the
-    parts that it covers are passed over.
+    Texts are wrapped anywhere and sentences hold commas, so a sentence may be in several parts. Candidates are the
+    runs of parts that start at one that begins like a known sentence, and have no more parts than that has words;
+    the longest known run counts, and the parts that it covers are passed over.
     """
-    import re
-
     known = known_sentences(sentences)
-    parts = max(len([p for p in re.split(_ENDS, text) if plain(p)]) for text in sentences.values())
+    parts = max(len(key.split()) for key in known)
     table = F.create_map(*[F.lit(x) for item in known.items() for x in item])
-    first = F.array(*[F.lit(x) for x in sorted({plain(re.split(_ENDS, text)[0]) for text in sentences.values()})])
+    ones = F.array(*[F.lit(x) for x in sorted({key.split()[0] for key in known})])
+    twos = F.array(*[F.lit(x) for x in sorted({" ".join(key.split()[:2]) for key in known})])
+
+    def begins(unit: Column) -> Column:
+        return F.array_contains(F.when(F.contains(unit, F.lit(" ")), twos).otherwise(ones), F.substring_index(unit, " ", 2))
 
     def match(units: Column) -> Column:
         def at(i: Column) -> Column:
-            runs = [
-                F.struct(table[F.array_join(F.slice(units, i + 1, n), " ")].alias("id"), F.lit(n).alias("n")) for n in range(parts, 0, -1)
-            ]
-            hit = F.get(F.filter(F.array(*runs), lambda r: r["id"].isNotNull()), F.lit(0))
-            return F.when(F.array_contains(first, F.get(units, i)), hit)
+            sizes = F.sequence(F.least(F.lit(parts), F.size(units) - i), F.lit(1), F.lit(-1))
+            run = lambda n: F.struct(table[F.array_join(F.slice(units, i + 1, n), " ")].alias("id"), n.alias("n"))
+            hit = F.get(F.filter(F.transform(sizes, run), lambda r: r["id"].isNotNull()), F.lit(0))
+            return F.when(begins(F.get(units, i)), hit)
 
         zero = F.struct(F.lit(0).alias("free"), F.array().cast("array<string>").alias("ids"))
 
@@ -127,7 +128,7 @@ def identified(text: Column, sentences: dict[str, str]) -> Column:
 
             return F.get(F.transform(F.array(at(i)), use), F.lit(0))
 
-        some = F.exists(units, lambda u: F.array_contains(first, u))
+        some = F.exists(units, begins)
         numbers = F.sequence(F.lit(0), F.size(units) - 1)
         return F.when(some, F.aggregate(numbers, zero, step, lambda a: a["ids"])).otherwise(F.array().cast("array<string>"))
 
