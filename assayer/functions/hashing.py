@@ -7,8 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-CODE_DIGITS = 15  # hex digits of the md5 digest that order rows
-
 _MISSING = "<NA>"
 
 
@@ -31,9 +29,11 @@ def seeded_code(seed: int, key: Column) -> Column:
     """Hex text that orders rows at random, the same way wherever they are."""
     digest = F.md5(F.concat(F.lit(f"{seed}|"), key.cast("string")))
     # Never NULL, so a join on a part of it needs no NULL filter that would hash every row again.
-    return F.coalesce(F.substring(digest, 1, CODE_DIGITS), F.lit(""))
+    return F.coalesce(digest, F.lit(""))
 
 
 def content_number(columns: Sequence[str]) -> Column:
-    """52 bits of the row hash as a decimal, to be summed into a table fingerprint."""
-    return F.conv(F.substring(row_hash(columns), 1, 13), 16, 10).cast("decimal(20,0)")
+    """The two halves of the row hash, each as a decimal, added; to be summed into a table fingerprint."""
+    digest = row_hash(columns)
+    halves = [F.conv(F.substring(digest, at, 16), 16, 10).cast("decimal(20,0)") for at in (1, 17)]
+    return (halves[0] + halves[1]).cast("decimal(21,0)")

@@ -7,7 +7,7 @@ from collections.abc import Iterator, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from assayer.operators.checks import FAIL, PASS, WARN, outside
+from assayer.operators.checks import FAIL, PASS, WARN, missing, outside
 from assayer.spec import Rule
 
 
@@ -18,9 +18,9 @@ def _clauses(df: DataFrame, rules: Sequence[Rule]) -> Iterator[tuple[Rule, str,
             continue
         column = F.col(rule.column)
         if not rule.nullable:
-            yield rule, "not_null", column.isNull(), rule.on_null or rule.on_violation
+            yield rule, "not_null", missing(df, rule.column), rule.on_null or rule.on_violation
         if rule.minimum is not None or rule.maximum is not None:
-            yield rule, "range", outside(column, rule), rule.on_violation
+            yield rule, "range", outside(column, rule) & ~missing(df, rule.column), rule.on_violation
         if rule.allowed is not None:
             yield rule, "allowed_values", F.coalesce(~column.isin(*rule.allowed), F.lit(False)), rule.on_violation
 
@@ -32,7 +32,7 @@ def contract_report(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     for r in rules:
         if r.max_null_rate is not None and r.column in df.columns:
             allowance = F.lit(r.max_null_rate) * rows
-            lines.append((r.column, "max_null_rate", F.count_if(F.col(r.column).isNull()), allowance, r.on_violation))
+            lines.append((r.column, "max_null_rate", F.count_if(missing(df, r.column)), allowance, r.on_violation))
     structs = []
     for column, clause, violations, allowance, action in lines:
         bad = FAIL if action == "fail" else WARN

@@ -9,12 +9,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from assayer.functions.hashing import seeded_code
-from assayer.operators.ranking import dense_codes, order_statistics, rows_at_ranks
+from assayer.operators.ranking import dense_codes, order_statistics, rows_at_ranks, running_totals
 from assayer.scratch import written
 from assayer.spec import Settings, TableSpec
 
-MAX_CLASSES = 10_000  # more distinct targets than this is not a classification target
-
 _CODE = "_code"
 
 
@@ -65,42 +63,39 @@ def label_encode(df: DataFrame, column: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 
-def class_sizes(df: DataFrame, target: str) -> dict[object, int]:
-    rows = df.where(F.col(target).isNotNull()).groupBy(target).count().take(MAX_CLASSES + 1)
-    if len(rows) > MAX_CLASSES:
-        raise ValueError(f"{target} has more than {MAX_CLASSES} classes")
-    return {row[0]: row[1] for row in sorted(rows, key=lambda r: r[0])}
+def class_sizes(df: DataFrame, target: str) -> DataFrame:
+    """(target, _n) of each class; written, as quotas and borders both read it."""
+    return written(df.where(F.col(target).isNotNull()).groupBy(target).agg(F.count(F.lit(1)).alias("_n")), "class-sizes")
 
 
-def split_quotas(sizes: dict[object, int], test_size: str) -> dict[object, int]:
-    """How many rows of each class go to the test split: ceil(test_size * N) by largest remainder."""
-    rows = sum(sizes.values())
+def split_quotas(sizes: DataFrame, target: str, test_size: str) -> DataFrame:
+    """(target, _quota): rows of each class that go to the test split, ceil(test_size * N) by largest remainder."""
+    rows = int(sizes.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0])
     total = int((Decimal(test_size) * rows).to_integral_value(ROUND_CEILING))
-    quotas = {c: total * n // rows for c, n in sizes.items()}
-    by_remainder = sorted(sizes, key=lambda c: (-(total * sizes[c] % rows), c))
-    for c in by_remainder[: total - sum(quotas.values())]:
-        quotas[c] += 1
-    return quotas
+    if not rows:
+        return sizes.select(target, F.lit(0).cast("bigint").alias("_quota"))
+    product = F.lit(total).cast("decimal(19,0)") * F.col("_n").cast("decimal(19,0)")
+    whole = (product - product % rows) / rows
+    parts = sizes.select(target, whole.cast("bigint").alias("_whole"), (product % rows).cast("bigint").alias("_rest"))
+    parts = written(parts, "quota-parts")
+    left = total - int(parts.agg(F.sum("_whole")).first()[0])
+    one = parts.select(target, "_whole", F.struct((-F.col("_rest")).alias("rest"), F.col(target).alias("class")).alias("_turn"))
+    ranked = running_totals(one.withColumn("_one", F.lit(1).cast("bigint")), "_turn", {"_rank": "_one"})
+    return ranked.select(target, (F.col("_whole") + (F.col("_rank") <= left).cast("bigint")).alias("_quota"))
 
 
 def _ordered(df: DataFrame, key: str, seed: int) -> DataFrame:
     return df.withColumn(_CODE, seeded_code(seed, F.col(key)))
 
 
-def _borders(df: DataFrame, target: str, key: str, seed: int, ranks: dict[object, list[int]]) -> DataFrame:
-    """(target, _borders): per class, the (code, key) of the rows at the wanted ascending ranks.
+def _borders(df: DataFrame, target: str, key: str, seed: int, ranks: DataFrame) -> DataFrame:
+    """(target, _borders): per class, the (code, key) of the rows at the wanted ranks (target, _rank), ascending.
 
-    One row per class, at most MAX_CLASSES, so it is safe to broadcast.
+    One row per class with a few borders, written, so that Spark sees its size when it plans the join.
     """
-    spark, kinds = df.sparkSession, {c: df.schema[c].dataType.simpleString() for c in (target, key)}
-    wanted = [(c, r) for c, rs in ranks.items() for r in sorted(set(rs))]
-    at = rows_at_ranks(
-        _ordered(df, key, seed), target, _CODE, key, spark.createDataFrame(wanted, f"`{target}` {kinds[target]}, _rank bigint")
-    )
-    found = {(row[target], row["_rank"]): (row[_CODE], row[key]) for row in at.collect()}
-    border = f"array<struct<`{_CODE}`:string,`{key}`:{kinds[key]}>>"
-    table = spark.createDataFrame([(c, [found[c, r] for r in rs]) for c, rs in ranks.items()], f"`{target}` {kinds[target]}, _borders {border}")
-    return F.broadcast(table)
+    at = rows_at_ranks(_ordered(df, key, seed), target, _CODE, key, ranks.distinct())
+    each = ranks.join(written(at, "border-rows"), [target, "_rank"])
+    return written(each.groupBy(target).agg(F.array_sort(F.collect_list(F.struct(_CODE, key))).alias("_borders")), "borders")
 
 
 def stratified_split(
@@ -108,12 +103,12 @@ def stratified_split(
 ) -> DataFrame:
     """Adds `_split`, 'test' for the first rows of each class in a seeded order of `key`.
 
-    The rows themselves are not shuffled: one histogram finds the border row of every class, and
+    The rows themselves are not ranked: one histogram finds the border row of every class, and
     each row is compared with the border of its class. Rows without a target get no split.
     """
-    quotas = split_quotas(class_sizes(df, target), test_size)
-    borders = _borders(df, target, key, seed, {c: [q] if q else [] for c, q in quotas.items()})
-    placed = _ordered(df, key, seed).join(borders, target, "left")
+    quotas = written(split_quotas(class_sizes(df, target), target, test_size), "quotas")
+    ranks = quotas.where("_quota > 0").select(target, F.col("_quota").alias("_rank"))
+    placed = _ordered(df, key, seed).join(_borders(df, target, key, seed, ranks), target, "left")
     in_test = F.struct(_CODE, key) <= F.get("_borders", F.lit(0))
     split = F.when(F.col(target).isNull(), F.lit(None).cast("string")).when(in_test, "test").otherwise("train")
     return placed.withColumn(name, split).select(*df.columns, name)
@@ -123,13 +118,12 @@ def stratified_folds(
     df: DataFrame, target: str, key: str, seed: int = 42, folds: int = 5, name: str = "_fold"
 ) -> DataFrame:
     """Adds `_fold` 0..k-1; the folds of a class differ by at most one row."""
-    sizes = class_sizes(df, target)
     # Rank r (from 1) is in fold (r - 1) * k // n, so fold f ends at rank ceil(n * f / k).
-    ends = {c: [-(-n * f // folds) for f in range(1, folds)] for c, n in sizes.items()}
-    borders = _borders(df, target, key, seed, ends)
-    placed = _ordered(df, key, seed).join(borders, target, "left")
+    ends = F.explode(F.array(*[F.expr(f"(_n * {f} + {folds - 1}) div {folds}") for f in range(1, folds)]).cast("array<bigint>"))
+    ranks = class_sizes(df, target).select(target, ends.alias("_rank"))
+    placed = _ordered(df, key, seed).join(_borders(df, target, key, seed, ranks), target, "left")
     here = F.struct(_CODE, key)
-    passed = F.size(F.filter("_borders", lambda border: border < here))
+    passed = F.coalesce(F.size(F.filter("_borders", lambda border: border < here)), F.lit(0))
     return placed.withColumn(name, F.when(F.col(target).isNotNull(), passed)).select(*df.columns, name)
 
 

@@ -178,8 +178,7 @@ def medians(df: DataFrame, columns: Sequence[str], **limits: int) -> tuple[dict[
 def rows_at_ranks(df: DataFrame, group: str, code: str, key: str, ranks: DataFrame, digits: int = 3) -> DataFrame:
     """The `code` and `key` of the rows at the wanted ranks of the order (code, key) in each group.
 
-    `ranks` has the columns (group, _rank) and one row per wanted rank; it must be small, as it
-    bounds what is broadcast. Codes are uniform (`seeded_code`), so a histogram of their leading
+    `ranks` has the columns (group, _rank) and one row per wanted rank. Codes are uniform (`seeded_code`), so a histogram of their leading
     digits tells in which bucket a rank falls, and only the rows of those buckets, one part in
     16**digits of the group each, are numbered.
     """
@@ -190,13 +189,13 @@ def rows_at_ranks(df: DataFrame, group: str, code: str, key: str, ranks: DataFra
         .agg(F.count(F.lit(1)).alias("_n"))
         .withColumn("_before", upto - F.col("_n"))
     )
-    wanted = spans.join(F.broadcast(ranks), group).where(
+    wanted = spans.join(ranks, group).where(
         (F.col("_rank") > F.col("_before")) & (F.col("_rank") <= F.col("_before") + F.col("_n"))
     )
     hit = wanted.groupBy(group, "_bucket", "_before").agg(F.collect_set("_rank").alias("_ranks"))
     number = F.row_number().over(Window.partitionBy(group, "_bucket").orderBy(code, key)) + F.col("_before")
     return (
-        buckets.join(F.broadcast(hit), [group, "_bucket"])
+        buckets.join(written(hit, "rank-buckets"), [group, "_bucket"])
         .withColumn("_rank", number.cast("bigint"))
         .where(F.array_contains("_ranks", F.col("_rank")))
         .select(group, "_rank", code, key)

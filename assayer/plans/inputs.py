@@ -16,7 +16,7 @@ RUN = Run("run-0001", "2024-01-31 00:00:00")
 # The text scorers of the original table are not computed here; all other features are.
 SPEC = replace(
     STYLOMETRY.without("grammar_errors", "passive_voice_ratio", "predictability_score", "sentiment_score"),
-    hashed=("text_content", "content_type", "character_count"),
+    hashed=("text_content", "content_type", "character_count", "label"),
 )
 
 
@@ -24,21 +24,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Deals rows out to all cores where a scan has far fewer tasks than there are cores.
-
-    A file of a single row group is read by one task, and text work is heavy. Any large input has
-    more tasks than cores and is left as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if 2 * df.rdd.getNumPartitions() <= cores else df
-
-
 def texts(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents").select(
         F.col("doc_id").alias("_row_key"), F.col("text").alias("text_content"), F.col("lang").alias("content_type")
     )
-    return spread(documents)
+    return documents
 
 
 def labelled_texts(spark: SparkSession, folder: str) -> DataFrame:

@@ -36,15 +36,16 @@ def _new_landing(spark: SparkSession) -> Landing:
 # ---------------------------------------------------------------------------
 
 
-@query("csv_roundtrip", "SELECT doc_id, md5(text) AS text_md5, lang, n_chars FROM documents")
+@query("csv_roundtrip", "SELECT doc_id, md5(text) AS text_md5, lang, source, n_chars FROM documents")
 def csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
-    documents = inputs.table(spark, folder, "documents").select("doc_id", "text", "lang", "n_chars")
+    documents = inputs.table(spark, folder, "documents")
     path = files.export_csv(documents, new_path(spark, "csv"))
     back = files.read_csv(spark, path, documents.columns)
     return back.select(
         F.col("doc_id").cast("bigint").alias("doc_id"),
         F.md5("text").alias("text_md5"),
         "lang",
+        "source",
         F.col("n_chars").cast("bigint").alias("n_chars"),
     )
 
@@ -60,6 +61,12 @@ def jsonl_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     return back.select("_row_key", F.md5("text_content").alias("text_md5"), "content_type", "label")
 
 
+def _sum_of(digest: str) -> str:
+    """SQL for the sum of `functions.hashing.content_number`."""
+    halves = [f"CAST(CAST('0x' || substr({digest}, {at}, 16) AS UBIGINT) AS HUGEINT)" for at in (1, 17)]
+    return f"CAST(sum({' + '.join(halves)}) AS VARCHAR)"
+
+
 _PUBLIC = "md5(text_content || '|' || content_type || '|' || CAST(label AS VARCHAR) || '|' || CAST(word_count AS VARCHAR))"
 
 
@@ -69,7 +76,7 @@ _PUBLIC = "md5(text_content || '|' || content_type || '|' || CAST(label AS VARCH
         *TO_STAGING,
         select=f"""
 SELECT format, count(*) AS row_count, CAST(4 AS BIGINT) AS column_count,
-       CAST(sum(CAST(CAST('0x' || substr({_PUBLIC}, 1, 13) AS BIGINT) AS HUGEINT)) AS VARCHAR) AS fingerprint
+       {_sum_of(_PUBLIC)} AS fingerprint
 FROM staging, (VALUES ('parquet'), ('csv'), ('jsonl')) f(format) GROUP BY format""",
     ),
 )
@@ -133,30 +140,34 @@ def source_manifest_check(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprint.verify_sources(actual, manifest)
 
 
+_AMOUNTS = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
 _LINE = " || '|' || ".join(
-    [f"CAST({c} AS VARCHAR)" for c in ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")] + ["l_returnflag", "l_linestatus"]
+    [f"CAST({c} AS VARCHAR)" for c in ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")]
+    + [f"CAST(CAST({c} AS DECIMAL(18,4)) AS VARCHAR)" for c in _AMOUNTS]
+    + ["l_returnflag", "l_linestatus", "CAST(epoch_us(l_shipdate) AS VARCHAR)"]
 )
+_DOCUMENT = "CAST(doc_id AS VARCHAR) || '|' || text || '|' || lang || '|' || source || '|' || CAST(n_chars AS VARCHAR)"
 
 
 @query(
     "table_fingerprint",
     f"""
-SELECT 'lineitem' AS table_name, count(*) AS row_count, CAST(6 AS BIGINT) AS column_count,
-       CAST(sum(CAST(CAST('0x' || substr(md5({_LINE}), 1, 13) AS BIGINT) AS HUGEINT)) AS VARCHAR) AS fingerprint
+SELECT 'lineitem' AS table_name, count(*) AS row_count, CAST(11 AS BIGINT) AS column_count,
+       {_sum_of(f"md5({_LINE})")} AS fingerprint
 FROM lineitem
 UNION ALL
-SELECT 'documents', count(*), CAST(3 AS BIGINT),
-       CAST(sum(CAST(CAST('0x' || substr(md5(text || '|' || lang || '|' || source), 1, 13) AS BIGINT) AS HUGEINT)) AS VARCHAR)
+SELECT 'documents', count(*), CAST(5 AS BIGINT), {_sum_of(f"md5({_DOCUMENT})")}
 FROM documents""",
 )
 def table_fingerprint(spark: SparkSession, folder: str) -> DataFrame:
-    columns = {
-        "lineitem": ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_linestatus"],
-        "documents": ["text", "lang", "source"],
-    }
+    # Amounts and times in a form that every engine writes alike.
+    lines = inputs.table(spark, folder, "lineitem").withColumns(
+        {c: F.col(c).cast("decimal(18,4)") for c in _AMOUNTS} | {"l_shipdate": F.unix_micros(F.col("l_shipdate").cast("timestamp"))}
+    )
+    documents = inputs.table(spark, folder, "documents")
     prints = [
-        fingerprint.table_fingerprint(inputs.table(spark, folder, t), cs).withColumn("table_name", F.lit(t))
-        for t, cs in columns.items()
+        fingerprint.table_fingerprint(df).withColumn("table_name", F.lit(name))
+        for name, df in (("lineitem", lines), ("documents", documents))
     ]
     return reduce(DataFrame.unionByName, prints)
 
@@ -173,12 +184,16 @@ _EVENT_COLUMNS = ("event_id", "user_id", "event_type", "props")
     "audit_columns",
     f"""
 SELECT event_id, 'run-0001' AS _pipeline_run_id, '2024-01-31 00:00:00' AS ingested_at, 'events.parquet' AS _source_file,
-       'full' AS _batch_id, {_EVENT_HASH} AS _row_hash
+       'full' AS _batch_id,
+       md5(CAST(event_id AS VARCHAR) || '|' || CAST(epoch_us(ts) AS VARCHAR) || '|' || CAST(user_id AS VARCHAR) || '|' || event_type
+           || '|' || CAST(CAST(value AS DECIMAL(18,4)) AS VARCHAR) || '|' || props) AS _row_hash
 FROM events""",
 )
 def audit_columns(spark: SparkSession, folder: str) -> DataFrame:
     events = inputs.table(spark, folder, "events").withColumn("_file", F.col("_metadata.file_name"))
-    audited = with_audit(events, inputs.RUN, source_file=F.col("_file"), hashed=_EVENT_COLUMNS)
+    events = events.withColumns({"ts": F.unix_micros(F.col("ts").cast("timestamp")), "value": F.col("value").cast("decimal(18,4)")})
+    whole = ("event_id", "ts", "user_id", "event_type", "value", "props")
+    audited = with_audit(events, inputs.RUN, source_file=F.col("_file"), hashed=whole)
     return audited.select(
         "event_id", "_pipeline_run_id", _text_time("_ingested_at_utc").alias("ingested_at"),
         "_source_file", "_batch_id", "_row_hash",

@@ -33,7 +33,7 @@ def _six(report: DataFrame) -> DataFrame:
 def _completeness_sql(table: str) -> str:
     return "\nUNION ALL\n".join(
         f"""SELECT 'completeness.{c}' AS "check", CASE WHEN rate <= 0.10 THEN 'PASS' ELSE 'WARN' END AS status,
-  'null_rate=' || coalesce({fixed("rate * 100", 2)}, 'nan') || '% (threshold=10%)' AS details, {r("rate", 6)} AS value
+  'missing ' || coalesce({fixed("rate * 100", 2)}, 'nan') || '%, 10% allowed' AS details, {r("rate", 6)} AS value
 FROM (SELECT avg(CAST({c} IS NULL AS INTEGER)) AS rate FROM {table})"""
         for c in inputs.SPEC.required
     )
@@ -42,7 +42,7 @@ FROM (SELECT avg(CAST({c} IS NULL AS INTEGER)) AS rate FROM {table})"""
 def _validity_sql(table: str) -> str:
     return "\nUNION ALL\n".join(
         f"""SELECT 'validity.{rule.column}', CASE WHEN n = 0 THEN 'PASS' ELSE 'WARN' END,
-  CAST(n AS VARCHAR) || ' values outside [{rule.minimum}, {rule.maximum}]', CAST(n AS DOUBLE)
+  'outside {rule.minimum} to {rule.maximum}: ' || CAST(n AS VARCHAR), CAST(n AS DOUBLE)
 FROM (SELECT count(*) AS n FROM {table} WHERE {rule.column} < {rule.minimum} OR {rule.column} > {rule.maximum})"""
         for rule in _RANGES
     )
@@ -50,26 +50,26 @@ FROM (SELECT count(*) AS n FROM {table} WHERE {rule.column} < {rule.minimum} OR
 
 def _domain_sql(table: str) -> str:
     return f"""SELECT 'validity.label', CASE WHEN n = 0 THEN 'PASS' ELSE 'FAIL' END,
-  CAST(n AS VARCHAR) || ' values not in [0, 1]', CAST(n AS DOUBLE)
+  'not among [0, 1]: ' || CAST(n AS VARCHAR), CAST(n AS DOUBLE)
 FROM (SELECT count(*) AS n FROM {table} WHERE NOT coalesce(label IN (0, 1), false))"""
 
 
 def _row_count_sql(table: str) -> str:
     return f"""SELECT 'row_count', CASE WHEN n >= 1200 THEN 'PASS' ELSE 'FAIL' END,
-  CAST(n AS VARCHAR) || ' rows (minimum required: 1200)', CAST(n AS DOUBLE) FROM (SELECT count(*) AS n FROM {table})"""
+  'rows: ' || CAST(n AS VARCHAR) || ', at least 1200 wanted', CAST(n AS DOUBLE) FROM (SELECT count(*) AS n FROM {table})"""
 
 
 def _uniqueness_sql(table: str) -> str:
     return f"""SELECT 'uniqueness', CASE WHEN n = 0 THEN 'PASS' ELSE 'FAIL' END,
-  CAST(n AS VARCHAR) || ' duplicate rows found (keyed by _row_hash)', CAST(n AS DOUBLE)
+  'rows that repeat a _row_hash: ' || CAST(n AS VARCHAR), CAST(n AS DOUBLE)
 FROM (SELECT coalesce(sum(c - 1), 0) AS n FROM (SELECT count(*) AS c FROM {table} GROUP BY _row_hash))"""
 
 
 def _balance_sql(table: str) -> str:
     return f"""SELECT 'class_balance', CASE WHEN k >= 2 AND lo / CAST(hi AS DOUBLE) >= 0.25 THEN 'PASS' ELSE 'WARN' END,
-  CASE WHEN k < 2 THEN 'Fewer than two classes found: ' || CAST(k AS VARCHAR)
-       ELSE 'Classes: ' || CAST(k AS VARCHAR) || ', smallest ' || CAST(lo AS VARCHAR) || ', largest ' || CAST(hi AS VARCHAR)
-            || '  min/max ratio=' || {fixed("lo / CAST(hi AS DOUBLE)", 3)} END,
+  CASE WHEN k < 2 THEN 'two classes needed, there: ' || CAST(k AS VARCHAR)
+       ELSE CAST(k AS VARCHAR) || ' classes of ' || CAST(lo AS VARCHAR) || ' to ' || CAST(hi AS VARCHAR)
+            || ' rows, share ' || {fixed("lo / CAST(hi AS DOUBLE)", 3)} END,
   CASE WHEN k >= 2 THEN {r("lo / CAST(hi AS DOUBLE)", 6)} END
 FROM (SELECT count(*) AS k, min(c) AS lo, max(c) AS hi FROM (SELECT count(*) AS c FROM {table} WHERE label IS NOT NULL GROUP BY label))"""
 
@@ -77,13 +77,13 @@ FROM (SELECT count(*) AS k, min(c) AS lo, max(c) AS hi FROM (SELECT count(*) AS
 def _freshness_sql(table: str, column: str) -> str:
     age = f"date_diff('microsecond', latest, TIMESTAMP '{_AS_OF}') / CAST(3600000000 AS DOUBLE)"
     return f"""SELECT 'freshness', CASE WHEN {age} <= 24 THEN 'PASS' ELSE 'WARN' END,
-  'Latest ingestion: ' || strftime(latest, '%Y-%m-%d %H:%M:%S') || ' (' || {fixed(age, 1)} || 'h ago)', {r(age, 6)}
+  'newest row ' || strftime(latest, '%Y-%m-%d %H:%M:%S') || ', hours since: ' || {fixed(age, 1)}, {r(age, 6)}
 FROM (SELECT max({column}) AS latest FROM {table})"""
 
 
 _NAMES = 'SELECT \'\' AS "check", \'\' AS status, \'\' AS details, CAST(NULL AS DOUBLE) AS value WHERE false\nUNION ALL\n'
 _SCHEMA_SQL = (
-    f"SELECT 'schema', 'PASS', 'All {len(inputs.SPEC.required)} required columns present.', CAST(NULL AS DOUBLE)"
+    f"SELECT 'schema', 'PASS', 'has all {len(inputs.SPEC.required)} columns', CAST(NULL AS DOUBLE)"
 )
 
 
@@ -100,11 +100,6 @@ def _report_sql(table: str) -> str:
 # ---------------------------------------------------------------------------
 
 
-@query("check_schema", _NAMES + _SCHEMA_SQL)
-def check_schema(spark: SparkSession, folder: str) -> DataFrame:
-    return checks.check_schema(inputs.raw(spark, folder), inputs.SPEC, with_types=True)
-
-
 @query("check_completeness", with_(*TO_RAW, select=_NAMES + _completeness_sql("raw")))
 def check_completeness(spark: SparkSession, folder: str) -> DataFrame:
     raw = workspace.raw(spark, folder)

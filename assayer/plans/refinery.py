@@ -195,7 +195,9 @@ class Refinery:
         mine = entries.where((F.col("kind") == "model") & (F.col("run_id") == self.run.run_id))
         return {row[0] for row in mine.select("batch_id").distinct().collect()}
 
-    def evaluate(self, baseline: DataFrame | None = None, baseline_tolerance: float | None = None) -> DataFrame:
+    def evaluate(
+        self, baseline: DataFrame | None = None, baseline_tolerance: float | None = None, baseline_metric: str | None = None
+    ) -> DataFrame:
         """Metrics of exactly the models of this run, the best one's predictions, and the gate rows."""
         folder, run_id = self.warehouse.path("models"), self.run.run_id
         fitted = {m.name: models.load_model(folder, run_id, m.name) for m in self.classifiers}
@@ -224,13 +226,22 @@ class Refinery:
         if baseline is not None:
             actual = scoring.long_metrics(metrics.select("classifier", *scoring.METRICS))
             repro = checks.check_reproducibility(
-                actual, baseline, self.settings.metric, self.settings.tolerance, baseline_tolerance
+                actual, baseline, baseline_metric or self.settings.metric, self.settings.tolerance, baseline_tolerance
             )
             repro.coalesce(1).write.mode("overwrite").json(f"{report}/reproducibility")
         return metrics
 
-    def run_all(self, source: DataFrame, force: bool = False, gate: bool = True, baseline: DataFrame | None = None) -> DataFrame:
-        """Every stage in order; the run log tells how far a run came."""
+    def run_all(
+        self,
+        source: DataFrame,
+        force: bool = False,
+        gate: bool = True,
+        baseline: DataFrame | None = None,
+        baseline_metric: str | None = None,
+        baseline_tolerance: float | None = None,
+    ) -> DataFrame:
+        """Every stage in order; the run log tells how far a run came. A baseline's own metric and
+        tolerance, as `read_baseline` gives them, win over the configured ones."""
         steps: list[tuple[str, Callable[[], object]]] = [
             ("ingest_full", lambda: self.ingest_full(source, force)),
             ("ingest_increment", lambda: self.ingest_increment(source, force)),
@@ -239,7 +250,7 @@ class Refinery:
             ("checks", lambda: self.run_checks(gate=gate)),
             ("publish", lambda: (self.publish(), self.load())),
             ("train", lambda: self.train(force)),
-            ("evaluate", lambda: self.evaluate(baseline)),
+            ("evaluate", lambda: self.evaluate(baseline, baseline_tolerance, baseline_metric)),
         ]
         result: object = None
         for i, (name, step) in enumerate(steps):
@@ -247,7 +258,7 @@ class Refinery:
             try:
                 result = step()
             except Exception as problem:
-                self.log(name, "FAILED", 2 * i + 1, str(problem)[:500])
+                self.log(name, "FAILED", 2 * i + 1, str(problem))
                 raise
             last = i == len(steps) - 1
             self.log(name, "SUCCESS" if last else "RUNNING", 2 * i + 1)
@@ -260,16 +271,16 @@ def to_staging(
     """(staging rows, quarantined rows).
 
     Cast, deduplicate, then quarantine and impute, in this order. The deduplicated rows are written
-    once, as the medians, the staging table and the quarantine all read them. Rules whose action is
-    `quarantine` reject rows besides those without a target.
+    once, as the medians, the staging table and the quarantine all read them. Clauses whose action is
+    `quarantine`, of whichever rule, reject rows besides those without a target.
     """
     typed = staging.cast_declared(raw, spec.types)
     order = [c for c in (spec.key, "_batch_id", "_pipeline_run_id") if c in typed.columns]
     unique = written(staging.deduplicate(typed, order, spec.row_hash), "unique")
     labelled, quarantined = staging.split_on_target(unique, spec.target)
-    rejecting = [r for r in rules if r.on_violation == "quarantine" and r.column != spec.target]
-    if rejecting:
-        labelled, broken = contract.split_by_contract(labelled, rejecting)
+    others = [r for r in rules if r.column != spec.target]
+    if others:
+        labelled, broken = contract.split_by_contract(labelled, others)
         quarantined = quarantined.unionByName(broken)
     fit_on = None
     if settings.medians_from == "train":

@@ -46,7 +46,8 @@ source AS (
 
 RAW = """
 raw AS (
-  SELECT *, md5(text_content || '|' || coalesce(content_type, '<NA>') || '|' || CAST(character_count AS VARCHAR)) AS _row_hash
+  SELECT *, md5(text_content || '|' || coalesce(content_type, '<NA>') || '|' || CAST(character_count AS VARCHAR)
+    || '|' || coalesce(CAST(label AS VARCHAR), '<NA>')) AS _row_hash
   FROM source)
 """
 

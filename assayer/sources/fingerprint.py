@@ -36,7 +36,7 @@ def verify_sources(actual: DataFrame, manifest: DataFrame) -> DataFrame:
 
 
 def require_match(verified: DataFrame) -> None:
-    problems = verified.where(F.col("status") != "MATCH").limit(20).collect()
+    problems = verified.where(F.col("status") != "MATCH").orderBy("file").collect()  # a row for each source file
     if problems:
         raise SourceMismatchError(", ".join(f"{row.file}: {row.status}" for row in problems))
 

@@ -38,18 +38,25 @@ class Landing:
         return ledger.visible(self.rows(spark), self.entries(spark))
 
 
-def _land(audited: DataFrame, landing: Landing, run: Run, kind: str) -> list[str]:
+def _land(audited: DataFrame, landing: Landing, run: Run, kind: str, identity: str | None = None) -> list[str]:
     """Writes the batches, then commits what was written, and names it."""
     spark = audited.sparkSession
     replace_partitions(audited, landing.raw, *PARTITIONS)
     mine = landing.rows(spark).where(F.col("_pipeline_run_id") == run.run_id)
     mine = mine.where(F.col("_batch_id") == "full" if kind == "full" else F.col("_batch_id") != "full")
     counts = mine.groupBy(F.col("_batch_id").alias("batch_id"), F.col("_source_file").alias("source_file"))
-    entries = written(counts.agg(F.count(F.lit(1)).alias("rows")), "entries")
+    entries = written(counts.agg(F.count(F.lit(1)).alias("rows")).withColumn("identity", F.lit(identity).cast("string")), "entries")
     ledger.commit(entries, landing.ledger, kind, run)
     return sorted(row[0] for row in entries.select("batch_id").distinct().collect())
 
 
+def source_identity(source: DataFrame) -> str:
+    """The same for tables with the same columns and rows, in any order."""
+    total = F.sum(F.xxhash64(*[F.col(f"`{c}`") for c in sorted(source.columns)]).cast("decimal(20,0)"))
+    rows, content = source.agg(F.count(F.lit(1)), total).first()
+    return f"{rows}:{content}"
+
+
 def ingest_full(
     source: DataFrame,
     landing: Landing,
@@ -79,15 +86,19 @@ def ingest_batches(
 ) -> list[str]:
     """Lands the batches of a source that are not committed yet, and names them.
 
-    Batches of the same run that an earlier attempt committed are named and committed once more,
-    which changes nothing for a reader.
+    A batch belongs to the content of its source: a source that has changed is landed anew, and its batches
+    take the place of those of the same name. Batches of the same run that an earlier attempt committed are named and
+    committed once more, which changes nothing for a reader.
     """
     spark = source.sparkSession
-    done = landing.entries(spark).where(F.col("kind") == "incremental").select("batch_id").distinct()
+    identity = source_identity(source)
+    committed = landing.entries(spark).where(F.col("kind") == "incremental").groupBy("batch_id")
+    newest = committed.agg(F.max_by(F.struct("identity"), F.struct("committed_at", "run_id"))["identity"].alias("identity"))
+    done = newest.where(F.col("identity") == identity).select("batch_id")
     if not force and {row[0] for row in done.collect()} >= set(batch_ids(n_batches)):
         return []
     batched = make_batches(source, ordinal, n_batches, "_batch_id")
     if not force:
         batched = ledger.uncommitted(batched, done)
     audited = with_audit(batched, run, F.col("_batch_id"), source_file, checksum, hashed)
-    return [] if audited.isEmpty() else _land(audited, landing, run, "incremental")
+    return [] if audited.isEmpty() else _land(audited, landing, run, "incremental", identity)

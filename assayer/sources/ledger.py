@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from assayer.sources.audit import Run
 from assayer.sources.tables import table_exists
 
-SCHEMA = "kind string, batch_id string, run_id string, source_file string, rows bigint, committed_at timestamp"
+SCHEMA = "kind string, batch_id string, run_id string, source_file string, rows bigint, committed_at timestamp, identity string"
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
@@ -22,7 +22,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
 
 
 def commit(entries: DataFrame, path: str, kind: str, run: Run) -> None:
-    """Appends (batch_id, source_file, rows) entries as one file, so that all appear or none.
+    """Appends (batch_id, source_file, rows[, identity]) entries as one file, so that all appear or none.
 
     There is one entry per batch and source file of a single commit.
     """
@@ -33,6 +33,7 @@ def commit(entries: DataFrame, path: str, kind: str, run: Run) -> None:
         F.col("source_file").cast("string").alias("source_file"),
         F.col("rows").cast("bigint").alias("rows"),
         F.lit(run.at).cast("timestamp").alias("committed_at"),
+        (F.col("identity") if "identity" in entries.columns else F.lit(None)).cast("string").alias("identity"),
     )
     stamped.coalesce(1).write.mode("append").parquet(path)
 

@@ -132,6 +132,14 @@ def test_batches_are_landed_once(spark, landing):
     assert sorted(r.ord for r in landing.visible(spark).collect()) == list(range(10))
 
 
+def test_a_source_that_has_grown_is_landed_anew(spark, landing):
+    assert len(ingest_batches(spark.range(9).toDF("ord"), "ord", 3, landing, RUN)) == 3
+    grown = spark.range(30).toDF("ord")
+    assert len(ingest_batches(grown, "ord", 3, landing, LATER)) == 3
+    assert sorted(r.ord for r in landing.visible(spark).collect()) == list(range(30))
+    assert ingest_batches(grown, "ord", 3, landing, LATER) == []
+
+
 def test_only_missing_batches_are_landed(spark, landing):
     df = spark.range(10).toDF("ord")
     ingest_batches(df, "ord", 3, landing, RUN)
