@@ -7,8 +7,6 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assayer.scratch import written
-
 # A word is a run of characters other than these six: space, \t, \n, \v, \f, \r.
 SPACE = r"\x20\x09-\x0D"
 SPACES = " \t\n\x0b\x0c\r"
@@ -47,7 +45,7 @@ def perhaps_in(df: DataFrame, column: str, keys: DataFrame, bits: int = FILTER_B
     words = spots.groupBy(F.expr("_spot div 64").alias("_word")).agg(
         F.expr("bit_or(shiftleft(1L, cast(_spot % 64 as int)))").alias("_bits")
     )
-    words = written(words, "bitmap")  # at most bits / 64 rows of two numbers
+    # At most bits / 64 rows of two numbers are broadcast.
     marked = df.withColumn("_at", spot(F.col(column)))
     hit = F.expr("_at div 64 = _word and shiftright(_bits, cast(_at % 64 as int)) & 1 = 1")
     return marked.join(F.broadcast(words), hit, "left_semi").drop("_at")

@@ -35,3 +35,15 @@ def components(edges: DataFrame) -> DataFrame:
         before = now
     nodes = links.groupBy(a.alias("node")).agg(F.min("b").alias("component"))
     return written(nodes.union(nodes.select(F.col("component").alias("node"), "component").distinct()), "components")
+
+
+def joined_components(parts: DataFrame, more: DataFrame) -> DataFrame:
+    """(node, component) of `parts` after further links (a, b), which are few."""
+    if more.isEmpty():
+        return parts
+    of = lambda side: parts.select(F.col("node").alias(side), F.col("component").alias(f"of_{side}"))
+    ends = more.join(of("a"), "a", "left").join(of("b"), "b", "left")
+    up = components(ends.select(F.coalesce("of_a", "a").alias("a"), F.coalesce("of_b", "b").alias("b")))
+    risen = parts.join(up.select(F.col("node").alias("component"), F.col("component").alias("_up")), "component", "left")
+    every = risen.select("node", F.coalesce("_up", "component").alias("component")).union(up)
+    return written(every.groupBy("node").agg(F.min("component").alias("component")), "components")

@@ -5,8 +5,8 @@ in a band are candidates. The samples are also folded into a bitmap in which eac
 the bits in which two bitmaps differ tell how many samples differ, and so the similarity, without the sets.
 Candidates that the sketches let pass are confirmed on the full sets.
 
-Equal sets are one node from the start. In a band the smallest document is compared with all others, which joins
-most of a group with one comparison for each member. Only members of a band that are still in different
+Equal sets are one node from the start. In a band the smallest document and a random one are compared with all others, which joins
+nearly all of a group with a few comparisons for each member. Only members of a band that are still in different
 components are compared with each other after that, so a group of near copies never becomes all its pairs.
 """
 
@@ -21,15 +21,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from assayer.llm.common import SIMILARITY, WORD_SIZE, perhaps_in
-from assayer.llm.components import components
+from assayer.llm.components import components, joined_components
 from assayer.scratch import written
 
 # At a similarity of 0.8 two sets agree in none of the bands in 1 of 8 million cases.
 BANDS, ROWS = 40, 5
 SAMPLES = BANDS * ROWS
-SKETCH_BITS = 512
-# The sketch's estimate is off by about 0.03 (one standard deviation) at 0.8; six of them are allowed for.
-SLACK = 0.2
+SKETCH_BITS = 1024
+# The sketch's estimate is off by about 0.029 (one standard deviation) at 0.8; five of them are allowed for.
+SLACK = 0.145
 
 _random = np.random.default_rng(20_240_131)
 _BYTE = _random.integers(1, 2**63, 256, dtype=np.uint64)
@@ -139,7 +139,7 @@ def signatures(docs: DataFrame, words: int, key: str, text: str) -> DataFrame:
 
 
 def confirmed(pairs: DataFrame, docs: DataFrame, words: int, percent: int, key: str, text: str) -> DataFrame:
-    """The pairs (a, b) of which 100 * intersection >= percent * union holds on the full sets."""
+    """The different pairs (a, b) of which 100 * intersection >= percent * union holds on the full sets."""
     pairs = written(pairs, "pairs")
     ids = pairs.select(F.explode(F.array("a", "b")).alias("id"))
     texts = perhaps_in(docs.select(key, text), key, ids)
@@ -161,7 +161,7 @@ def confirmed(pairs: DataFrame, docs: DataFrame, words: int, percent: int, key:
 
     # Memory: a batch holds two texts a row.
     both = pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
-    return written(both.mapInArrow(batches, "a bigint, b bigint").distinct(), "confirmed")
+    return written(both.mapInArrow(batches, "a bigint, b bigint"), "confirmed")
 
 
 def near_duplicates(
@@ -182,8 +182,11 @@ def near_duplicates(
     nodes = written(nodes.select(F.col(key).alias("id"), F.col("n_shingles").alias("n"), "bands", "sketch"), "nodes")
 
     banded = nodes.select("id", F.explode("bands").alias("band"))
-    crowded = banded.groupBy("band").agg(F.min("id").alias("centre"), F.max("id").alias("last")).where("centre < last")
-    members = written(banded.join(written(crowded.drop("last"), "crowded"), "band"), "members")
+    # The random member of a band is the one whose hash with the band is the smallest.
+    turn = F.xxhash64("band", "id")
+    crowded = banded.groupBy("band").agg(F.min("id").alias("centre"), F.max("id").alias("last"), F.min(turn).alias("turn"))
+    crowded = written(crowded.where("centre < last").drop("last"), "crowded")
+    members = written(banded.join(crowded, "band").withColumn("drawn", turn == F.col("turn")).drop("turn"), "members")
 
     sketches = nodes.select("id", "n", "sketch")
 
@@ -193,8 +196,11 @@ def near_duplicates(
         near = similar(F.col("sketch_a"), F.col("sketch_b")) >= similarity - SLACK
         return pairs.join(one, "a").join(two, "b").where(sizes & near).select("a", "b")
 
-    stars = members.where("id <> centre").select(F.col("centre").alias("a"), F.col("id").alias("b")).distinct()
-    links = confirmed(promising(stars), docs, words, percent, key, text)
+    stars = members.where("id <> centre").select(F.col("centre").alias("a"), F.col("id").alias("b"))
+    drawn = written(members.where("drawn").select("band", F.col("id").alias("other")), "drawn")
+    pairs = members.join(drawn, "band").where("id <> other").select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b"))
+    tried = written(promising(stars.union(pairs).distinct()), "tried")
+    links = confirmed(tried, docs, words, percent, key, text)
 
     # A key whose rows have different sets joins these.
     of_key = written(sets.join(equal, ["set_a", "set_b"]).select(F.col(key).alias("id"), "least").distinct(), "keys")
@@ -204,8 +210,8 @@ def near_duplicates(
 
     parts = components(links.union(doubled))
     rest = _apart(members, parts, sketches, percent, similarity)
-    late = confirmed(rest.join(promising(stars), ["a", "b"], "left_anti"), docs, words, percent, key, text)
-    whole = components(links.union(late).union(doubled))
+    late = confirmed(rest.join(tried, ["a", "b"], "left_anti"), docs, words, percent, key, text)
+    whole = joined_components(parts, late)
 
     reached = of_key.join(whole.withColumnRenamed("node", "least"), "least", "left")
     reached = reached.groupBy("id").agg(F.min(F.coalesce("component", "least")).alias("component_id"))
