@@ -11,9 +11,13 @@ from assayer.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
-        "tests", master="local[4]", spark__sql__shuffle__partitions="4", spark__driver__memory="8g"
+        "tests",
+        master="local[4]",
+        spark__sql__shuffle__partitions="4",
+        spark__driver__memory="8g",
+        spark__checkpoint__dir=str(tmp_path_factory.mktemp("shared")),
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
