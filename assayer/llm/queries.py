@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assayer.llm import ann, bpe, licences, lines, mixing, neardup, pii, preferences, quality, recurrent
+from assayer.llm import ann, bpe, licences, lines, mixing, neardup, oracles, pii, preferences, quality, recurrent
 from assayer.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -81,3 +81,7 @@ def op10_preference_pairs(spark: SparkSession, folder: str) -> DataFrame:
     pairs = preferences.neighbours(preferences.turns(table(spark, folder, "conversations")))
     masks = [_listed(F.col(c)).alias(c) for c in ("chosen_mask", "rejected_mask")]
     return pairs.select("pair_id", F.col("prompt_turns").cast("bigint").alias("prompt_turns"), "prompt", "chosen", "rejected", *masks)
+
+
+ORACLES["op7_quality_rules"] = oracles.QUALITY_RULES
+ORACLES["op10_preference_pairs"] = oracles.PREFERENCE_PAIRS
