@@ -45,30 +45,45 @@ def _hash(length: Column, i: int, part: Column) -> Column:
     return F.xxhash64(length, F.lit(i), part)
 
 
-def stored(line: Column, edits: int) -> list[Column]:
-    """Hashes of the segments of a line."""
-    n, out = F.length(line), []
+def _windows(lines: DataFrame, edits: int) -> DataFrame:
+    """Adds the length `n` of a line, and for each segment the part around it that its hashes need, with its place:
+    counted and cut once, as both take a walk through the characters."""
+    counted = lines.withColumn("n", F.length("line"))
+    places = {}
+    for i in range(edits + 1):
+        start, size = _segment(F.col("n"), i, edits)
+        places |= {f"at_{i}": F.greatest(start - 2 * edits, F.lit(0)), f"size_{i}": size + 4 * edits + 1}
+    cut = counted.withColumns(places)
+    return cut.withColumns({f"part_{i}": F.substring(F.col("line"), F.col(f"at_{i}") + 1, F.col(f"size_{i}")) for i in range(edits + 1)})
+
+
+def _piece(i: int, at: Column, size: Column) -> Column:
+    return F.substring(F.col(f"part_{i}"), at - F.col(f"at_{i}") + 1, size)
+
+
+def stored(edits: int) -> list[Column]:
+    """Hashes of the segments of a line with its windows."""
+    n, out = F.col("n"), []
     for i in range(edits + 1):
         start, size = _segment(n, i, edits)
-        out.append(_hash(n, i, F.substring(line, start + 1, size)))
+        out.append(_hash(n, i, _piece(i, start, size)))
     return out
 
 
-def probes(line: Column, edits: int) -> list[Column]:
+def probes(edits: int) -> list[Column]:
     """Hashes of the substrings that may equal a segment of a line that is 0 to `edits` characters shorter.
 
     For segment i, counted from 0, and a difference d in length, edits before and after the segment bound how far
     it can have moved: by i edits at most if counted from the start, by edits - i if counted from the end.
     """
-    n, out = F.length(line), []
+    n, out = F.col("n"), []
     for d in range(edits + 1):
         for i in range(edits + 1):
             start, size = _segment(n - d, i, edits)
             low, high = max(-i, d - (edits - i)), min(i, d + (edits - i))
             for shift in range(low, high + 1):
                 at = start + shift
-                whole = (at >= 0) & (at + size <= n)
-                out.append(F.when(whole, _hash(n - d, i, F.substring(line, at + 1, size))))
+                out.append(F.when((at >= 0) & (at + size <= n), _hash(n - d, i, _piece(i, at, size))))
     return out
 
 
@@ -146,23 +161,27 @@ def _alike(one: Column, two: Column, edits: int) -> Column:
     return sum(changes[1:], changes[0]) <= 2 * edits
 
 
-def _hashes(lines: DataFrame, edits: int, *keep: str) -> DataFrame:
-    """(keep.., hash, probe): a row for each segment and each substring of a line."""
-    first, second = stored(F.col("line"), edits), probes(F.col("line"), edits)
-    each = lines.select(*keep, F.posexplode(F.array(*first, *second)).alias("n", "hash")).where(F.col("hash").isNotNull())
-    return each.select(*keep, "hash", (F.col("n") >= len(first)).alias("probe"))
+def _hashes(lines: DataFrame, edits: int) -> DataFrame:
+    """(a, hash, probe): a row for each segment and each substring of a line."""
+    first, second = stored(edits), probes(edits)
+    each = _windows(lines.select("a", "line"), edits).select("a", F.posexplode(F.array(*first, *second)).alias("n", "hash"))
+    return each.where(F.col("hash").isNotNull()).select("a", "hash", (F.col("n") >= len(first)).alias("probe"))
 
 
 def near_lines(lines: DataFrame, edits: int) -> DataFrame:
     """(a, b, since): lines that are within `edits` edits of a line that occurs first in an earlier
     document, and the first such document."""
+    hashes = written(_hashes(lines, edits), "line-hashes")
     role = F.bit_or(F.when(F.col("probe"), 2).otherwise(1))
-    met = _hashes(lines, edits, "a").groupBy("hash").agg(F.min("a").alias("low"), F.max("a").alias("high"), role.alias("roles"))
+    met = hashes.groupBy("hash").agg(F.min("a").alias("low"), F.max("a").alias("high"), role.alias("roles"))
     met = written(met.where((F.col("low") != F.col("high")) & (F.col("roles") == 3)).select("hash"), "met")
 
-    again = perhaps_in(_hashes(lines, edits, "key", "a", "b", "line"), "hash", met)
-    entry = again.groupBy("hash", "probe", "a", "b").agg(F.min("key").alias("first"), F.max("line").alias("line"))
-    entry = written(entry.withColumn("counts", _counts(F.col("line"))), "entries")
+    again = perhaps_in(hashes, "hash", met).groupBy("a", "hash", "probe").agg(F.count("*").alias("n")).drop("n")
+    again = written(again, "hits")
+    texts = perhaps_in(lines.select("key", "a", "b", "line"), "a", again.select("a"))
+    found = texts.groupBy("a", "b").agg(F.min("key").alias("first"), F.max("line").alias("line"))
+    found = written(found.withColumn("counts", _counts(F.col("line"))), "candidates")
+    entry = written(again.join(found, "a"), "entries")
     names = ("a", "b", "first", "line", "counts")
     one = entry.where("not probe").select("hash", *[F.col(c).alias(f"{c}_1") for c in names])
     two = entry.where("probe").select("hash", *[F.col(c).alias(f"{c}_2") for c in names])
