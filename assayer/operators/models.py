@@ -103,7 +103,7 @@ _FACTORIES = {
 
 def build_classifier(spec: ModelSpec, rows: int, seed: int = 42) -> Estimator:
     if spec.name not in _FACTORIES:
-        raise ValueError(f"Unknown classifier: {spec.name}")
+        raise ValueError(f"no classifier is called {spec.name}; there are {sorted(_FACTORIES)}")
     estimator = _FACTORIES[spec.name](spec.params, rows, seed)
     return estimator.setFeaturesCol(_FEATURES).setLabelCol("label")
 

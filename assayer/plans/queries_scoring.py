@@ -212,9 +212,9 @@ pairs AS (
         select=f"""
 SELECT 'reproducibility.' || classifier AS "check",
        CASE WHEN expected IS NULL THEN 'WARN' WHEN CAST(abs(act - expected) AS DECIMAL(30,10)) <= 0.0010 THEN 'PASS' ELSE 'FAIL' END AS status,
-       CASE WHEN expected IS NULL THEN 'Metric ''f1_weighted'' missing or marked unknown in baseline/actual.'
-            ELSE 'f1_weighted: expected=' || {fixed("expected", 4)} || ', actual=' || {fixed("act", 4)}
-                 || ', diff=' || {fixed("abs(act - expected)", 4)} || ' (tol=0.001)' END AS details,
+       CASE WHEN expected IS NULL THEN 'f1_weighted is not known on both sides'
+            ELSE 'f1_weighted ' || {fixed("act", 4)} || ' for ' || {fixed("expected", 4)}
+                 || ', apart by ' || {fixed("abs(act - expected)", 4)} || ', 0.001 allowed' END AS details,
        {r("abs(act - expected)", 6)} AS value
 FROM pairs""",
     ),

@@ -59,7 +59,7 @@ def test_default_classifiers():
 
 
 def test_unknown_classifier():
-    with pytest.raises(ValueError, match="Unknown classifier: KNN"):
+    with pytest.raises(ValueError, match="no classifier is called KNN"):
         models.build_classifier(ModelSpec("KNN"), rows=1)
 
 
