@@ -12,11 +12,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from assayer.llm.common import let, perhaps_in
+from assayer.llm.common import SPACE, let, perhaps_in
 from assayer.scratch import written
 
 EDITS = 2
-MIN_CHARS = 30  # shorter lines stay: they repeat by chance
+ONE_WORD = 30  # lines of one word with fewer characters stay: they repeat by chance
 
 
 def _split(text: Column) -> Column:
@@ -27,10 +27,17 @@ def _trim(line: Column) -> Column:
     return F.btrim(line, F.lit(" \t\x0b\x0c\r"))
 
 
-def _lines(docs: DataFrame, key: str, text: str, min_chars: int) -> DataFrame:
-    """(key, line_no, line, a, b): the lines that are long enough, trimmed, with a 128-bit hash."""
+def _counts_as_line(line: Column, min_chars: int | None) -> Column:
+    """Whether a trimmed line may go; without `min_chars` all but short ones of one word."""
+    if min_chars is not None:
+        return F.length(line) >= min_chars
+    return (F.length(line) >= ONE_WORD) | line.rlike(f"[{SPACE}]")
+
+
+def _lines(docs: DataFrame, key: str, text: str, min_chars: int | None) -> DataFrame:
+    """(key, line_no, line, a, b): the lines that may go, trimmed, with a 128-bit hash."""
     each = docs.where(F.col(key).isNotNull()).select(F.col(key).alias("key"), F.posexplode(_split(F.col(text))).alias("line_no", "line"))
-    found = each.withColumn("line", _trim(F.col("line"))).where(F.length("line") >= min_chars)
+    found = each.withColumn("line", _trim(F.col("line"))).where(_counts_as_line(F.col("line"), min_chars))
     return found.withColumns({"a": F.xxhash64("line"), "b": F.xxhash64(F.lit(1), "line")})
 
 
@@ -199,25 +206,26 @@ def near_lines(lines: DataFrame, edits: int) -> DataFrame:
     return links.select(side("a").alias("a"), side("b").alias("b"), since.alias("since")).groupBy("a", "b").agg(F.min("since").alias("since"))
 
 
-def gone_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS, key: str = "doc_id", text: str = "text") -> DataFrame:
+def gone_lines(docs: DataFrame, edits: int = EDITS, min_chars: int | None = None, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, gone): for documents that lose lines, an array of (line number from 0, hash of the line)."""
-    if min_chars <= 2 * edits:
+    if min_chars is not None and min_chars <= 2 * edits:
         raise ValueError("lines must be longer than twice the edits")
     lines = _lines(docs, key, text, min_chars)
     narrow = lines.select("key", "line_no", "a", "b")
     repeated = narrow.groupBy("a", "b").agg(F.min("key").alias("since"), F.max("key").alias("last")).where("since < last").drop("last")
-    since = repeated.union(near_lines(lines, edits)).groupBy("a", "b").agg(F.min("since").alias("since"))
+    since = repeated.union(near_lines(lines.where(F.length("line") > 2 * edits), edits)).groupBy("a", "b").agg(F.min("since").alias("since"))
     since = written(since, "line-since")
     dropped = perhaps_in(narrow, "a", since.select("a")).join(since, ["a", "b"]).where("key > since")
     return written(dropped.groupBy("key").agg(F.array_sort(F.collect_set(F.struct("line_no", "a"))).alias("gone")), "gone")
 
 
-def dedup(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS, key: str = "doc_id", text: str = "text") -> DataFrame:
+def dedup(docs: DataFrame, edits: int = EDITS, min_chars: int | None = None, key: str = "doc_id", text: str = "text") -> DataFrame:
     """All columns of `docs` with the lines taken out of `text`, and `n_lines` (lines that hold more than space,
     before), `n_gone` (those taken out), `gone_lines` (their numbers from 0, over all lines).
 
-    Lines are parted by \\n and compared without the space around them. A line of at least `min_chars`
-    characters goes if an equal one, or one within `edits` edits, occurs in a document with a smaller key.
+    Lines are parted by \\n and compared without the space around them. A line goes if an equal one occurs in a document
+    with a smaller key, or one within `edits` edits, where both have more than 2 * `edits` characters. Lines of one word with
+    fewer than `ONE_WORD` characters stay; with `min_chars`, lines with fewer characters stay instead of these.
     Repeats inside one document stay. Rows that share a key are one document. NULL keys come with no order: their rows are
     left as they are, and so are NULL texts. Columns of `docs` that have the added names give way.
     """

@@ -104,3 +104,28 @@ def test_empty_table_and_no_python(spark):
     assert found.count() == 0
     plan = found._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_short_lines_of_several_words_go(spark):
+    texts = ["All rights reserved.", "All rights reserved.", "All right reservd.", "a b", "a b", "a c", "to be", "to me", "Les.", "Les.", " x\ty ", "x\ty", "é 😀", "é 😀"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(3)
+    found = {r.doc_id for r in lines.dedup(docs).collect() if r.n_gone}
+    assert found == {1, 2, 4, 7, 11, 13}
+
+
+def test_default_lines_equal_all_pairs(spark):
+    rows = corpus(5)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    kept = [(k, [x.strip(" \t\x0b\x0c\r") for x in (t or "").split("\n")]) for k, t in rows if k is not None]
+    counts = lambda x: len(x) >= 30 or " " in x
+    first = {}
+    for k, parts in kept:
+        for x in filter(counts, parts):
+            first[x] = min(k, first.get(x, k))
+    near = lambda x, y: min(len(x), len(y)) > 4 and abs(len(x) - len(y)) <= 2 and distance(x, y) <= 2
+    since = {x: min(k for y, k in first.items() if x == y or near(x, y)) for x in first}
+    gone = {}
+    for k, parts in kept:
+        gone.setdefault(k, set()).update(i for i, x in enumerate(parts) if counts(x) and since[x] < k)
+    for r in lines.dedup(docs).where("doc_id IS NOT NULL").collect():
+        assert set(r.gone_lines) == gone[r.doc_id], r.doc_id
