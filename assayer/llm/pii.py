@@ -5,7 +5,7 @@ pattern is believed as far as the different values that stand in it are believed
 value as far as it stands in believed patterns. The graph of patterns and values is scored in
 rounds; values of sufficient belief that no expression has found are added to the seeds' spans.
 Everything is DataFrame operations: positions follow from the lengths of matches and of what
-stands between them, and only tokens that look like identifiers leave their text.
+stands between them, and only tokens and runs of numbers that may be identifiers leave their text.
 """
 
 from __future__ import annotations
@@ -27,12 +27,15 @@ PATTERNS = {
 }
 # Tokens that may be identifiers: a digit or an @ in them.
 TOKEN = rf"(?<![^{SPACE}])[^{SPACE}0-9@]*+[0-9@][^{SPACE}]*+"
+# Numbers side by side, written with the characters of the phone and card expressions; those without a blank are tokens.
+RUN = rf"(?<![^{SPACE}])[+(]*+[0-9]++(?:[\x20().-]++[0-9]++(?![A-Za-z0-9_@]))++"
 
 CONTEXT = 80  # characters on either side in which the words of a pattern are looked for
 MIN_SEEDS = 5  # different values that a pattern must have been seen with
 MIN_PATTERN = 0.8  # belief of a pattern that counts
 MIN_VALUE = 0.9  # belief of a value that becomes a span
 ROUNDS = 3
+WEAK_DIGITS = 5  # values with fewer digits and no @ are too common to tell their patterns anything
 _BLOCK = 256
 
 
@@ -123,41 +126,51 @@ def _words(side: Column) -> Column:
     return F.filter(F.split(F.lower(side), f"[{SPACE}]+"), lambda w: w != "")
 
 
+def _weak(value: Column) -> Column:
+    return (F.length(_digits(value)) < WEAK_DIGITS) & ~F.contains(value, F.lit("@"))
+
+
 def with_candidates(spans: DataFrame) -> DataFrame:
-    """Adds `items`: the base spans and the tokens like identifiers outside of them, with the words around."""
+    """Adds `items`: the base spans, and outside of them runs of numbers and tokens like identifiers, with the words around."""
     text, base = F.col("text"), F.col("base")
-    tokens = spans_of(text, F.col("_tokens"), TOKEN, "")
+    meets = lambda some, t: F.exists(some, lambda s: (s["start"] < t["end"]) & (t["start"] < s["end"]))
+    none = F.array().cast(_SPAN)
 
-    def unknown(t: Column) -> Column:
-        looks = (F.length(_digits(t["value"])) >= 5) | F.contains(t["value"], F.lit("@"))
-        return looks & ~F.exists(base, lambda s: (s["start"] < t["end"]) & (t["start"] < s["end"]))
+    def outside(name: str, pattern: str, also: Column) -> Column:
+        found = spans_of(text, F.col(name), pattern, "")
+        return F.when(F.size(name) > 0, F.filter(found, lambda t: ~meets(base, t) & also(t))).otherwise(none)
 
     def item(s: Column) -> Column:
         start = s["start"].cast("int")
         left = _words(F.substring(text, F.greatest(start - CONTEXT, F.lit(0)) + 1, F.least(start, F.lit(CONTEXT))))
         right = _words(F.substring(text, s["end"].cast("int") + 1, F.lit(CONTEXT)))
         one, two = F.get(left, F.size(left) - 1), F.get(left, F.size(left) - 2)
-        patterns = F.array(F.concat_ws(" ", two, one, F.lit("_")), F.concat_ws(" ", one, F.lit("_"), F.get(right, F.lit(0))))
+        after = F.get(right, F.lit(0))
+        before = F.array(F.concat_ws(" ", two, one, F.lit("_")), F.concat_ws(" ", one, F.lit("_"), after))
+        behind = F.array(F.concat_ws(" ", F.lit("_"), after, F.get(right, F.lit(1))))
+        nothing = F.array().cast("array<string>")
+        patterns = F.concat(F.when(one.isNotNull(), before).otherwise(nothing), F.when(after.isNotNull(), behind).otherwise(nothing))
         return F.struct(
             s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"), F.lower(s["value"]).alias("value"),
-            F.when(one.isNotNull(), patterns).otherwise(F.array().cast("array<string>")).alias("patterns"),
+            patterns.alias("patterns"), ((s["kind"] == "") & _weak(s["value"])).alias("weak"),
         )
 
-    some = F.exists(F.col("_tokens"), lambda t: (F.length(_digits(t)) >= 5) | F.contains(t, F.lit("@")))
-    new = F.when(some, F.filter(tokens, unknown)).otherwise(F.array().cast(_SPAN))
-    found = spans.withColumn("_tokens", F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0)))
-    return found.withColumn("items", F.transform(F.concat(base, new), item)).drop("_tokens")
+    found = spans.withColumns({"_tokens": F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0)), "_numbers": F.regexp_extract_all(text, F.lit(RUN), F.lit(0))})
+    found = found.withColumn("_runs", outside("_numbers", RUN, lambda t: F.contains(t["value"], F.lit(" "))))
+    # What a run holds is part of it, but a token that could be an identifier of its own.
+    new = F.concat(F.col("_runs"), outside("_tokens", TOKEN, lambda t: ~(_weak(t["value"]) & meets(F.col("_runs"), t))))
+    return found.withColumn("items", F.transform(F.concat(base, new), item)).drop("_tokens", "_numbers", "_runs")
 
 
-def believed(items: DataFrame, min_seeds: int = MIN_SEEDS, rounds: int = ROUNDS) -> DataFrame:
-    """(kind, value, belief) of values without a kind, after some rounds over the graph.
+def believed(items: DataFrame, min_seeds: int = MIN_SEEDS, rounds: int = ROUNDS) -> tuple[DataFrame, DataFrame]:
+    """(kind, value, belief) of values without a kind, after some rounds over the graph, and (pattern, kind, trust).
 
     An edge is a pattern and a different value in it, however often both occur together. A pattern's
     belief in a kind is the mean belief of its values; it counts from `MIN_PATTERN` and `min_seeds` values on.
-    A value is believed as far as not all its patterns are wrong.
+    A value is believed as far as not all its patterns are wrong. A weak value is a value of its patterns, but not believed.
     """
     edges = written(
-        items.select("kind", "value", F.explode("patterns").alias("pattern")).groupBy("pattern", "kind", "value").agg(F.count("*").alias("n")).drop("n"),
+        items.select("kind", "value", "weak", F.explode("patterns").alias("pattern")).groupBy("pattern", "kind", "value", "weak").agg(F.count("*").alias("n")).drop("n"),
         "pii-edges",
     )
     beliefs = None
@@ -175,12 +188,12 @@ def believed(items: DataFrame, min_seeds: int = MIN_SEEDS, rounds: int = ROUNDS)
             (F.col("k.sum") >= min_seeds) & (F.col("k.sum") >= MIN_PATTERN * F.col("values"))
         )
         good = written(good.select("pattern", F.col("k.kind").alias("good"), (F.col("k.sum") / F.col("values")).alias("trust")), "pii-patterns")
-        open_edges = edges.where("kind = ''").select("pattern", "value")
+        open_edges = edges.where("kind = '' and not weak").select("pattern", "value")
         doubt = F.sum(F.log(F.greatest(1 - F.col("trust"), F.lit(0.01))))
         beliefs = written(
             open_edges.join(good, "pattern").groupBy("value", F.col("good").alias("kind")).agg((1 - F.exp(doubt)).alias("belief")), "pii-values"
         )
-    return beliefs
+    return beliefs, good.select("pattern", F.col("good").alias("kind"), "trust")
 
 
 def _listed(spans: Column) -> Column:
@@ -198,10 +211,17 @@ def find(docs: DataFrame, key: str = "doc_id", text: str = "text", min_seeds: in
     # Without the texts, and with a number for each row, fixed by writing it.
     rows = written(base.select(key, "base", "items").withColumn("row", F.monotonically_increasing_id()), "pii-spans")
     items = rows.select("row", F.explode("items").alias("i")).select("row", "i.*")
-    beliefs = believed(items, min_seeds, rounds).where(F.col("belief") >= MIN_VALUE)
-    best = beliefs.groupBy("value").agg(F.max(F.struct("belief", F.col("kind").alias("kind"))).alias("b"))
-    new = items.where("kind = ''").select("row", "start", "end", "value").join(best.select("value", "b.kind"), "value")
-    added = new.groupBy("row").agg(F.collect_list(F.struct("start", "kind", "end")).alias("added"))
+    beliefs, good = believed(items, min_seeds, rounds)
+    best = beliefs.where(F.col("belief") >= MIN_VALUE).groupBy("value").agg(F.max(F.struct("belief", F.col("kind").alias("kind"))).alias("b"))
+    new = items.where("kind = '' and not weak").select("row", "start", "end", "value").join(best.select("value", "b.kind"), "value").drop("value")
+    # A weak value is one where it stands in patterns of that belief, and nowhere else.
+    weak = items.where("weak").select("row", "start", "end", F.explode("patterns").alias("pattern")).join(good, "pattern")
+    weak = weak.groupBy("row", "start", "end", "kind").agg((1 - F.exp(F.sum(F.log(F.greatest(1 - F.col("trust"), F.lit(0.01)))))).alias("belief"))
+    weak = weak.where(F.col("belief") >= MIN_VALUE).groupBy("row", "start", "end").agg(F.max(F.struct("belief", "kind")).alias("b"))
+    every = new.unionByName(weak.select("row", "start", "end", "b.kind"))
+    added = every.groupBy("row").agg(F.collect_list(F.struct("start", "kind", "end")).alias("all"))
+    inside = lambda s, t: (t["start"] <= s["start"]) & (s["end"] <= t["end"]) & (t["end"] - t["start"] > s["end"] - s["start"])
+    added = added.select("row", F.filter("all", lambda s: ~F.exists("all", lambda t: inside(s, t))).alias("added"))
     plain = F.transform("base", lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end")))
     order = F.create_map(*[F.lit(x) for pair in zip(KINDS, range(len(KINDS))) for x in pair])
 

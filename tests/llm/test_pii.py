@@ -103,3 +103,18 @@ def test_empty_table(spark):
 def test_no_python_in_the_plan(spark, taught):
     plan = pii.digest(pii.find(taught))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_identifiers_of_several_tokens_few_digits_or_without_a_word_before(spark):
+    rows = [(i, f"word{i} please call +1 555 010 {1000 + i} today thanks") for i in range(40)]
+    rows += [(i + 50, f"+1 555 020 {1000 + i} is mine") for i in range(20)]
+    more = {
+        100: ("so please call 555 123 4567 today ok", "555 123 4567"), 101: ("now please call (555) 123-4567 today", "(555) 123-4567"),
+        102: ("or please call 4111 1111 1111 1112 today", "4111 1111 1111 1112"), 103: ("do please call AB1234 today", "AB1234"),
+        104: ("555-0199-77 is mine", "555-0199-77"), 105: ("AB1234 is a part, 555 rows of 1234 99 items", None),
+    }
+    rows += [(k, text) for k, (text, _) in more.items()]
+    found = {r.doc_id: r for r in pii.find(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    for k, (text, value) in more.items():
+        assert [text[s.start : s.end] for s in found[k].spans] == ([value] if value else []), k
+    assert all(r.spans == r.base for k, r in found.items() if k not in more)
