@@ -177,7 +177,12 @@ def table_fingerprint(spark: SparkSession, folder: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 _EVENT_HASH = "md5(CAST(event_id AS VARCHAR) || '|' || CAST(user_id AS VARCHAR) || '|' || event_type || '|' || props)"
-_EVENT_COLUMNS = ("event_id", "user_id", "event_type", "props")
+_EVENT_COLUMNS = ("event_id", "_ts_micros", "user_id", "event_type", "value", "props")  # a changed time or value is a new row
+
+
+def _events(spark: SparkSession, folder: str) -> DataFrame:
+    """All columns, and the time in a form that no session setting changes, for the hash."""
+    return inputs.table(spark, folder, "events").withColumn("_ts_micros", F.unix_micros(F.col("ts").cast("timestamp")))
 
 
 @query(
@@ -267,10 +272,10 @@ FROM batched GROUP BY _batch_id""",
     ),
 )
 def raw_audit(spark: SparkSession, folder: str) -> DataFrame:
-    landing, events = _new_landing(spark), inputs.table(spark, folder, "events").select("event_id", "user_id", "value")
+    landing, events = _new_landing(spark), _events(spark, folder)
     # The second run finds every batch committed and lands nothing.
     for run in (inputs.RUN, Run("run-0002", "2024-02-01 00:00:00")):
-        ingest_batches(events, "event_id", 3, landing, run, source_file="events.parquet", checksum="none", hashed=["event_id"])
+        ingest_batches(events, "event_id", 3, landing, run, source_file="events.parquet", checksum="none", hashed=_EVENT_COLUMNS)
     audit = reports.raw_audit(landing.visible(spark))
     return audit.withColumn("ingested_at", _text_time("ingested_at_utc")).drop("ingested_at_utc")
 
@@ -282,7 +287,7 @@ SELECT 'run-0002' AS run_id, event_type, count(*) AS n, {r("sum(CAST(value AS DE
 FROM events GROUP BY event_type""",
 )
 def latest_snapshot(spark: SparkSession, folder: str) -> DataFrame:
-    events = inputs.table(spark, folder, "events")
+    events = _events(spark, folder)
     landing = _new_landing(spark)
     early = events.where(F.col("ts") < F.lit("2024-01-16").cast("timestamp"))
     land_full(early, landing, Run("run-0001", "2024-01-16 00:00:00"), hashed=_EVENT_COLUMNS)
@@ -328,7 +333,7 @@ FROM events GROUP BY 1""",
 )
 def stream_ingest(spark: SparkSession, folder: str) -> DataFrame:
     """Events arrive in two halves; the second half is followed by a rerun with a lost checkpoint."""
-    events = inputs.table(spark, folder, "events").withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
+    events = _events(spark, folder).withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
     landing, arrivals = _new_landing(spark), new_path(spark, "arrivals")
     checkpoint = new_path(spark, "stream")
     early = F.col("day") < "2024-01-16"
@@ -351,7 +356,7 @@ FROM events GROUP BY 1""",
 )
 def stream_new_rows(spark: SparkSession, folder: str) -> DataFrame:
     """The second arrival repeats the rows of the first; only the new ones are landed."""
-    events = inputs.table(spark, folder, "events").withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
+    events = _events(spark, folder).withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
     landing, arrivals, checkpoint = _new_landing(spark), new_path(spark, "arrivals"), new_path(spark, "stream")
     for part in (events.where(F.col("day") < "2024-01-16"), events):
         part.write.mode("append").parquet(arrivals)

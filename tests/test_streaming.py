@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from assayer.plans import queries_ingest
 from assayer.sources import files, ledger
 from assayer.sources.audit import Run, with_audit
 from assayer.sources.landing import PARTITIONS, Landing
@@ -86,3 +87,22 @@ def test_new_rows(spark):
     batch = spark.createDataFrame([("a", 1), ("b", 2)], "_row_hash string, x int")
     landed = spark.createDataFrame([("a",), ("a",), ("c",)], "_row_hash string")
     assert [r.x for r in increments.new_rows(batch, landed).collect()] == [2]
+
+
+def test_events_sent_again_with_another_value_or_time_are_new_rows(spark, tmp_path):
+    rows = [(1, "2024-01-10 10:00:00", 7, "click", 1.0, "{}"), (1, "2024-01-10 10:00:00", 7, "click", 2.0, "{}")]
+    rows += [(1, "2024-01-10 10:00:01", 7, "click", 1.0, "{}"), (2, "2024-01-20 10:00:00", 8, "view", None, "{}"), rows[0]]
+    schema = "event_id bigint, ts string, user_id bigint, event_type string, value double, props string"
+    spark.createDataFrame(rows, schema).withColumn("ts", F.col("ts").cast("timestamp")).write.parquet(f"{tmp_path}/events.parquet")
+    found = queries_ingest.stream_new_rows(spark, str(tmp_path)).collect()
+    assert sorted((r.day, r.n) for r in found) == [("2024-01-10", 3), ("2024-01-20", 1)]
+
+
+def test_batches_are_landed_with_all_columns(spark, tmp_path, monkeypatch):
+    spark.createDataFrame([(i, i * 2, 0.5 * i, "p") for i in range(9)], "event_id bigint, user_id bigint, value double, props string").withColumns(
+        {"ts": F.lit("2024-01-10").cast("timestamp"), "event_type": F.lit("view")}
+    ).write.parquet(f"{tmp_path}/events.parquet")
+    seen = []
+    monkeypatch.setattr(queries_ingest.reports, "raw_audit", lambda raw: seen.append(raw.columns) or raw.withColumn("ingested_at_utc", F.col("_ingested_at_utc")))
+    queries_ingest.raw_audit(spark, str(tmp_path))
+    assert {"event_id", "ts", "user_id", "event_type", "value", "props"} <= set(seen[0])
