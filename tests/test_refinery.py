@@ -101,7 +101,7 @@ def test_failed_stage_is_logged(spark, tmp_path, source):
     with pytest.raises(QualityGateError):
         broken.run_all(source)
     state = run_log_status(spark.read.parquet(broken.warehouse.path("run_log"))).first()
-    assert (state.status, state.stage) == ("FAILED", "checks") and "minimum required: 1200" in state.notes
+    assert (state.status, state.stage) == ("FAILED", "checks") and "at least 1200 wanted" in state.notes
 
 
 COLUMNS = ["text_content", "content_type", *STYLOMETRY.numeric, "label"]
