@@ -57,3 +57,41 @@ x AS (SELECT *, a[1:same] AS head, a[same+1:] AS ca, b[same+1:] AS cb FROM n)
 SELECT pair_id, CAST(same AS BIGINT) AS prompt_turns, {_text("head")} AS prompt, {_text("ca")} AS chosen, {_text("cb")} AS rejected,
        {_mask("ca")} AS chosen_mask, {_mask("cb")} AS rejected_mask
 FROM x"""
+
+
+def centroid_clusters(k: int = 40, rounds: int = 5, size: int = 64, seed: int = 2) -> str:
+    """One step for each round: all distances, the nearest centroid, exact floors of the means."""
+
+    def nearest(c: str) -> str:
+        # |v - c|^2 of integers, exact in doubles below 2^53
+        far = f"list_inner_product(v.q, v.q) - 2 * list_inner_product(v.q, {c}.q) + list_inner_product({c}.q, {c}.q)"
+        return f"""SELECT r, vec_id, q, cluster, CAST(far AS BIGINT) AS distance FROM (
+  SELECT v.r, v.vec_id, v.q, {c}.cluster, {far} AS far, row_number() OVER (PARTITION BY v.r ORDER BY {far}, {c}.cluster) AS n
+  FROM v CROSS JOIN {c}) WHERE n = 1"""
+
+    steps = [
+        f"""v AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor({256} * CAST(x AS DOUBLE))) AS q FROM embeddings
+  WHERE len(embedding) = {size} AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {size})""",
+        f"""c0 AS MATERIALIZED (
+  SELECT CAST(row_number() OVER (ORDER BY sha256('{seed}:' || vec_id), q) - 1 AS INTEGER) AS cluster, q FROM v
+  ORDER BY cluster LIMIT {k})""",
+    ]
+    for i in range(1, rounds + 1):
+        steps.append(f"a{i} AS MATERIALIZED ({nearest(f'c{i - 1}')})")
+        steps.append(
+            f"""m{i} AS MATERIALIZED (
+  SELECT cluster, list(m ORDER BY d) AS q FROM (
+    SELECT cluster, d, CAST((s - ((s % n) + n) % n) // n AS DOUBLE) AS m FROM (
+      SELECT cluster, d, CAST(sum(x) AS BIGINT) AS s, count(*) AS n FROM (
+        SELECT cluster, unnest(q) AS x, unnest(range(1, {size + 1})) AS d FROM a{i}) GROUP BY cluster, d)) GROUP BY cluster)"""
+        )
+        steps.append(f"c{i} AS MATERIALIZED (SELECT c.cluster, coalesce(m.q, c.q) AS q FROM c{i - 1} c LEFT JOIN m{i} m USING (cluster))")
+    last = f"c{rounds}"
+    steps.append(f"a AS MATERIALIZED ({nearest(last)})")
+    return f"""
+WITH {", ".join(steps)}
+SELECT vec_id, cluster, distance, CAST(sum(distance) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia,
+       CAST(sum(distance) OVER () AS BIGINT) AS inertia,
+       sha256(list_aggregate(list_transform({last}.q, lambda x: CAST(CAST(x AS BIGINT) AS VARCHAR)), 'string_agg', ',')) AS centroid_sha256
+FROM a JOIN {last} USING (cluster)"""
