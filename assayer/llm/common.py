@@ -34,8 +34,8 @@ def let(value: Column, use: Callable[[Column], Column]) -> Column:
 FILTER_BITS = 2**24  # 2 MB when packed, whatever the number of keys; more bits let fewer others through
 
 
-def perhaps_in(df: DataFrame, column: str, keys: DataFrame, bits: int = FILTER_BITS) -> DataFrame:
-    """The rows of `df` whose `column` is among `keys` (one column), and a few others.
+def perhaps_in(df: DataFrame, column: str, keys: DataFrame, bits: int = FILTER_BITS, how: str = "left_semi") -> DataFrame:
+    """The rows of `df` whose `column` is among `keys` (one column), and a few others; with `left_anti`, all but these.
 
     Keys are hashed into a bitmap of a fixed size, which every task can hold, so that a join that
     follows need not shuffle what has no partner. More keys than bits only make it let more through.
@@ -48,4 +48,4 @@ def perhaps_in(df: DataFrame, column: str, keys: DataFrame, bits: int = FILTER_B
     # At most bits / 64 rows of two numbers are broadcast.
     marked = df.withColumn("_at", spot(F.col(column)))
     hit = F.expr("_at div 64 = _word and shiftright(_bits, cast(_at % 64 as int)) & 1 = 1")
-    return marked.join(F.broadcast(words), hit, "left_semi").drop("_at")
+    return marked.join(F.broadcast(words), hit, how).drop("_at")

@@ -59,6 +59,16 @@ SELECT pair_id, CAST(same AS BIGINT) AS prompt_turns, {_text("head")} AS prompt,
 FROM x"""
 
 
+WEB_ARCHIVE = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+c AS (SELECT *, max(page_id) OVER (PARTITION BY html) AS chief FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND chief IS DISTINCT FROM page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND chief IS DISTINCT FROM page_id THEN chief END AS refers_to
+FROM c"""
+
+
 def centroid_clusters(k: int = 40, rounds: int = 5, size: int = 64, seed: int = 2) -> str:
     """One step for each round: all distances, the nearest centroid, exact floors of the means."""
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assayer.llm import ann, bpe, centroids, licences, lines, mixing, neardup, oracles, pii, preferences, quality, recurrent
+from assayer.llm import ann, bpe, centroids, licences, lines, mixing, neardup, oracles, pii, preferences, quality, recurrent, warc
 from assayer.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -83,6 +83,11 @@ def op10_preference_pairs(spark: SparkSession, folder: str) -> DataFrame:
     return pairs.select("pair_id", F.col("prompt_turns").cast("bigint").alias("prompt_turns"), "prompt", "chosen", "rejected", *masks)
 
 
+@query
+def op11_web_archive(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.archive(table(spark, folder, "pages"))
+
+
 @query
 def op13_centroid_clusters(spark: SparkSession, folder: str) -> DataFrame:
     return centroids.cluster(table(spark, folder, "embeddings"))
@@ -90,4 +95,5 @@ def op13_centroid_clusters(spark: SparkSession, folder: str) -> DataFrame:
 
 ORACLES["op7_quality_rules"] = oracles.QUALITY_RULES
 ORACLES["op10_preference_pairs"] = oracles.PREFERENCE_PAIRS
+ORACLES["op11_web_archive"] = oracles.WEB_ARCHIVE
 ORACLES["op13_centroid_clusters"] = oracles.centroid_clusters()
