@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assayer.llm import ann, bpe, centroids, licences, lines, mixing, neardup, oracles, pii, preferences, quality, recurrent, warc
+from assayer.llm import alignment, ann, bpe, centroids, licences, lines, mixing, neardup, oracles, pii, preferences, quality, recurrent, warc
 from assayer.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -88,6 +88,12 @@ def op11_web_archive(spark: SparkSession, folder: str) -> DataFrame:
     return warc.archive(table(spark, folder, "pages"))
 
 
+@query
+def op12_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    first, second = (bpe.read_ranks(public_tokenizers.path(name)) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return alignment.align(table(spark, folder, "documents"), first, second, public_tokenizers.PATTERN)
+
+
 @query
 def op13_centroid_clusters(spark: SparkSession, folder: str) -> DataFrame:
     return centroids.cluster(table(spark, folder, "embeddings"))
