@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from assayer.scratch import written
 
 HEAD = 2**20  # pairs that every task holds: 17 bytes each
-AT_ONCE = 2_000_000  # characters encoded together
+AT_ONCE = 500_000  # characters encoded, and links looked up, together
 COUNTED = 500_000  # pairs that a task counts before it hands them on
 
 
@@ -100,14 +100,16 @@ def _tokenizers(first: bytes, second: bytes, pattern: str) -> tuple[ByteLevel, P
 
 
 def ends(lists: pa.ListArray, tokens: pa.BinaryArray) -> pa.Table:
-    """(doc, end, id, at) of each token: its list, the offset in it at which its bytes end, its id, its place among all."""
+    """(end, at) of each token: its list and the offset in it at which its bytes end, as one number, and its place among all."""
     ids, doc = pc.list_flatten(lists), pc.list_parent_indices(lists)
     sizes = pc.cast(pc.binary_length(tokens), pa.int64()).take(ids)
     running = pc.cumulative_sum(sizes)
-    begun = pc.subtract(running, sizes).take(lists.offsets[:-1].filter(pc.greater(pc.list_value_length(lists), 0)))
+    filled = pc.greater(pc.list_value_length(lists), 0)
+    begun = pc.subtract(running, sizes).take(lists.offsets[:-1].filter(filled))
     first = np.zeros(len(lists), np.int64)
-    first[pc.greater(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)] = begun
-    return pa.table({"doc": doc, "end": pc.subtract(running, pa.array(first).take(doc)), "id": ids, "at": pa.array(np.arange(len(ids)))})
+    first[filled.to_numpy(zero_copy_only=False)] = begun
+    offsets = pc.subtract(running, pa.array(first).take(doc))
+    return pa.table({"end": pc.add(pc.shift_left(pc.cast(doc, pa.int64()), 40), offsets), "at": pa.array(np.arange(len(ids), dtype=np.int32))})
 
 
 def _same_bytes(lists: pa.ListArray, tokens: pa.BinaryArray, data: list[bytes]) -> np.ndarray:
@@ -116,10 +118,10 @@ def _same_bytes(lists: pa.ListArray, tokens: pa.BinaryArray, data: list[bytes])
     return pc.equal(joined, pa.array(data, pa.binary())).to_numpy(zero_copy_only=False)
 
 
-def _cut(tokens: pa.Table, places: np.ndarray) -> pa.Array:
-    """The tokens' ids as text, those between two places joined by commas."""
+def _cut(ids: pa.Array, places: np.ndarray) -> pa.Array:
+    """The ids as text, those between two places joined by commas."""
     offsets = np.concatenate([[0], places + 1]).astype(np.int32)
-    return pc.binary_join(pa.ListArray.from_arrays(offsets, pc.cast(tokens["id"].combine_chunks(), pa.string())), ",")
+    return pc.binary_join(pa.ListArray.from_arrays(offsets, pc.cast(ids, pa.string())), ",")
 
 
 def aligned(texts: list[str | None], first: ByteLevel, second: Pieces) -> pa.Table:
@@ -132,25 +134,25 @@ def aligned(texts: list[str | None], first: ByteLevel, second: Pieces) -> pa.Tab
     if not fit.all():  # the texts without tokens get empty lists
         a, b = (pc.if_else(pa.array(fit), x, none) for x in (a, b))
         a, b = (pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(pc.list_value_length(x))]).astype(np.int32), pc.list_flatten(x)) for x in (a, b))
+    ids_a, ids_b = pc.list_flatten(a), pc.list_flatten(b)
     left, right = ends(a, first.tokens), ends(b, second.tokens)
-    both = left.join(right, keys=["doc", "end"], join_type="inner", right_suffix="_b", use_threads=False).sort_by("at")
-    links = both.select(["doc", "id", "id_b", "at", "at_b"]).combine_chunks()
-    groups = pc.binary_join_element_wise(_cut(left, links["at"].to_numpy()), _cut(right, links["at_b"].to_numpy()), "|")
-    counts = np.bincount(links["doc"].to_numpy(), minlength=len(texts)).astype(np.int64)
+    links = left.join(right, keys="end", join_type="inner", right_suffix="_b", use_threads=False).sort_by("at").combine_chunks()
+    at = {"a": links["at"].combine_chunks(), "b": links["at_b"].combine_chunks()}
+    groups = pc.binary_join_element_wise(_cut(ids_a, at["a"].to_numpy()), _cut(ids_b, at["b"].to_numpy()), "|")
+    counts = np.bincount(links["end"].to_numpy() >> 40, minlength=len(texts)).astype(np.int64)
     offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
     listed = pc.binary_join(pa.ListArray.from_arrays(offsets, groups), ";")
     shas = [hashlib.sha256(x.as_buffer()).hexdigest() if n else "" for x, n in zip(listed, counts)]
-    in_lists = lambda c: pa.ListArray.from_arrays(offsets, links[c].combine_chunks())
+    linked = {"a": pa.ListArray.from_arrays(offsets, ids_a.take(at["a"])), "b": pa.ListArray.from_arrays(offsets, ids_b.take(at["b"]))}
     sizes = {n: pc.cast(pc.list_value_length(x), pa.int64()) for n, x in (("n_a", a), ("n_b", b))}
-    return pa.table({**sizes, "n_groups": counts, "n_links": counts, "groups_sha256": shas, "a": in_lists("id"), "b": in_lists("id_b")})
+    return pa.table({**sizes, "n_groups": counts, "n_links": counts, "groups_sha256": shas, **linked})
 
 
-def _parts(texts: pa.Array) -> Iterator[tuple[int, int]]:
-    """(start, length) of parts of a batch with `AT_ONCE` characters, or one text."""
-    sizes = np.cumsum(pc.fill_null(pc.utf8_length(texts), 0).to_numpy(zero_copy_only=False))
-    start = 0
-    while start < len(texts):
-        stop = int(np.searchsorted(sizes, (sizes[start - 1] if start else 0) + AT_ONCE, "right"))
+def _parts(sizes: pa.Array) -> Iterator[tuple[int, int]]:
+    """(start, length) of parts of a batch whose sizes add up to `AT_ONCE` at most, or of one row."""
+    total, start = np.cumsum(pc.fill_null(sizes, 0).to_numpy(zero_copy_only=False)), 0
+    while start < len(total):
+        stop = int(np.searchsorted(total, (total[start - 1] if start else 0) + AT_ONCE, "right"))
         stop = max(start + 1, stop)
         yield start, stop - start
         start = stop
@@ -165,7 +167,7 @@ def link(docs: DataFrame, first: bytes, second: bytes, pattern: str, key: str =
     def batches(stream: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         both = _tokenizers(*shared.value)
         for batch in stream:
-            for start, n in _parts(batch.column("text")):
+            for start, n in _parts(pc.utf8_length(batch.column("text"))):
                 part = batch.slice(start, n)
                 table = aligned(part.column("text").to_pylist(), *both)
                 for i, name in enumerate(("row", key)):
@@ -186,10 +188,11 @@ def pair_counts(links: DataFrame) -> DataFrame:
     def batches(stream: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.Table] = []
         for batch in stream:
-            ids = {c: pc.list_flatten(batch.column(c)) for c in ("a", "b")}
-            held = [_counted([*held, pa.table({**ids, "n": pa.array(np.ones(len(ids["a"]), np.int64))})])]
-            if held[0].num_rows > COUNTED:
-                yield from held.pop().to_batches()
+            for start, n in _parts(pc.list_value_length(batch.column("a"))):
+                ids = {c: pc.list_flatten(batch.column(c).slice(start, n)) for c in ("a", "b")}
+                held = [_counted([*held, pa.table({**ids, "n": pa.array(np.ones(len(ids["a"]), np.int64))})])]
+                if held[0].num_rows > COUNTED:
+                    yield from held.pop().to_batches()
         if held:
             yield from held[0].to_batches()
 
@@ -214,29 +217,32 @@ def score(links: DataFrame, pairs: DataFrame, head: int = HEAD) -> DataFrame:
     """The columns of `links` but `a` and `b`, with `n_best` and `count_sum` over the links of each row."""
     least = least_of_head(pairs, head)
     code = F.shiftleft(F.col("a").cast("bigint"), 32) + F.col("b")
-    frequent = pairs.where(F.col("n") >= least).select(code.alias("code"), "n", "best").toArrow().sort_by("code")  # `head` rows
+    frequent = pairs.where(F.col("n") >= least).select(code.alias("code"), "n", "best").toArrow()  # `head` rows
     table = tuple(frequent[c].to_numpy() for c in ("code", "n", "best"))
     shared = links.sparkSession.sparkContext.broadcast(table)
     kept = [c for c in links.columns if c not in ("a", "b")]
     kinds = dict(links.dtypes)
     schema = ", ".join([f"`{c}` {kinds[c]}" for c in kept] + ["n_best bigint, count_sum bigint, a array<int>, b array<int>"])
 
+    def looked_up(batch: pa.RecordBatch, codes: pa.Array, numbers: np.ndarray, bests: np.ndarray) -> pa.RecordBatch:
+        ids = [pc.list_flatten(batch.column(c)).to_numpy() for c in ("a", "b")]
+        at = pc.index_in(pa.array((ids[0].astype(np.int64) << 32) + ids[1]), value_set=codes)
+        hit = at.is_valid().to_numpy(zero_copy_only=False)
+        at = pc.fill_null(at, 0).to_numpy()
+        doc = pc.list_parent_indices(batch.column("a")).to_numpy()
+        offsets = np.concatenate([[0], np.cumsum(np.bincount(doc, minlength=batch.num_rows))])
+        total = lambda x: np.diff(np.concatenate([[0], np.cumsum(x)])[offsets])
+        rest = np.concatenate([[0], np.cumsum(np.bincount(doc[~hit], minlength=batch.num_rows))]).astype(np.int32)
+        added = [pa.array(total(np.where(hit, x[at], 0))) for x in (bests, numbers)]
+        added += [pa.ListArray.from_arrays(rest, pa.array(x[~hit], pa.int32())) for x in ids]
+        return pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), *added], [*kept, "n_best", "count_sum", "a", "b"])
+
     def batches(stream: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes, numbers, bests = (np.append(x, x.dtype.type(0)) for x in shared.value)
-        codes[-1] = np.iinfo(np.int64).max
+        codes, *values = shared.value
+        values = [np.append(x, 0).astype(np.int64) for x in values]
         for batch in stream:
-            ids = [pc.list_flatten(batch.column(c)).to_numpy() for c in ("a", "b")]
-            wanted = (ids[0].astype(np.int64) << 32) + ids[1]
-            at = np.searchsorted(codes, wanted)
-            hit = codes[at] == wanted
-            doc = pc.list_parent_indices(batch.column("a")).to_numpy()
-            size = batch.num_rows
-            offsets = np.concatenate([[0], np.cumsum(np.bincount(doc, minlength=size))])
-            total = lambda x: np.diff(np.concatenate([[0], np.cumsum(x)])[offsets])
-            rest = np.concatenate([[0], np.cumsum(np.bincount(doc[~hit], minlength=size))]).astype(np.int32)
-            added = [pa.array(total(np.where(hit, x[at], 0).astype(np.int64))) for x in (bests, numbers)]
-            added += [pa.ListArray.from_arrays(rest, pa.array(x[~hit], pa.int32())) for x in ids]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), *added], [*kept, "n_best", "count_sum", "a", "b"])
+            for start, n in _parts(pc.list_value_length(batch.column("a"))):
+                yield looked_up(batch.slice(start, n), pa.array(codes), *values)
 
     scored = links.mapInArrow(batches, schema)
     if least == 1:  # every pair is among the frequent ones
