@@ -29,10 +29,11 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from assayer.scratch import written
+from assayer.scratch import new_path, written
 
 HEAD = 2**20  # pairs that every task holds: 17 bytes each
 AT_ONCE = 500_000  # characters encoded, and links looked up, together
+BLOCK = 2**24  # bytes of links that a task holds before it writes them
 COUNTED = 500_000  # pairs that a task counts before it hands them on
 
 
@@ -124,8 +125,25 @@ def _cut(ids: pa.Array, places: np.ndarray) -> pa.Array:
     return pc.binary_join(pa.ListArray.from_arrays(offsets, pc.cast(ids, pa.string())), ",")
 
 
+def packed(ids: np.ndarray, offsets: np.ndarray) -> pa.BinaryArray:
+    """Lists of ids, each as bytes; Spark copies these whole, an array element by element."""
+    places = (offsets * ids.itemsize).astype(np.int32)
+    return pa.BinaryArray.from_buffers(pa.binary(), len(places) - 1, [None, pa.py_buffer(places), pa.py_buffer(ids)])
+
+
+def unpacked(lists: pa.BinaryArray, kind: str) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all lists, one after the other, and how many each has."""
+    ids = np.frombuffer(b"".join(x.as_buffer() for x in lists), kind)
+    return ids, pc.binary_length(lists).to_numpy(zero_copy_only=False) // np.dtype(kind).itemsize
+
+
+def id_kind(*tokens: pa.Array) -> str:
+    """The type of packed ids: two bytes if all of them fit."""
+    return "<u2" if max(map(len, tokens)) <= 2**16 else "<u4"
+
+
 def aligned(texts: list[str | None], first: ByteLevel, second: Pieces) -> pa.Table:
-    """(n_a, n_b, n_groups, n_links, groups_sha256, a, b) of each text; `a` and `b` are the ids of each link, in order."""
+    """(n_a, n_b, n_groups, n_links, groups_sha256, a, b) of each text; `a` and `b` are the packed ids of its links, in order."""
     data = [(" " + (text or "")).encode() for text in texts]
     a = first.encode([" " + text if text else "" for text in texts])
     b = second.encode([text or "" for text in texts])
@@ -143,7 +161,8 @@ def aligned(texts: list[str | None], first: ByteLevel, second: Pieces) -> pa.Tab
     offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
     listed = pc.binary_join(pa.ListArray.from_arrays(offsets, groups), ";")
     shas = [hashlib.sha256(x.as_buffer()).hexdigest() if n else "" for x, n in zip(listed, counts)]
-    linked = {"a": pa.ListArray.from_arrays(offsets, ids_a.take(at["a"])), "b": pa.ListArray.from_arrays(offsets, ids_b.take(at["b"]))}
+    kind = id_kind(first.tokens, second.tokens)
+    linked = {c: packed(ids.take(at[c]).to_numpy().astype(kind), offsets) for c, ids in (("a", ids_a), ("b", ids_b))}
     sizes = {n: pc.cast(pc.list_value_length(x), pa.int64()) for n, x in (("n_a", a), ("n_b", b))}
     return pa.table({**sizes, "n_groups": counts, "n_links": counts, "groups_sha256": shas, **linked})
 
@@ -162,7 +181,7 @@ def link(docs: DataFrame, first: bytes, second: bytes, pattern: str, key: str =
     """(row, key, n_a, n_b, n_groups, n_links, groups_sha256, a, b) of each document, written; `row` tells rows apart."""
     shared = docs.sparkSession.sparkContext.broadcast((first, second, pattern))  # the size of the vocabularies
     counts = "n_a bigint, n_b bigint, n_groups bigint, n_links bigint"
-    schema = f"row bigint, `{key}` {dict(docs.dtypes)[key]}, {counts}, groups_sha256 string, a array<int>, b array<int>"
+    schema = f"row bigint, `{key}` {dict(docs.dtypes)[key]}, {counts}, groups_sha256 string, a binary, b binary"
 
     def batches(stream: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         both = _tokenizers(*shared.value)
@@ -175,22 +194,24 @@ def link(docs: DataFrame, first: bytes, second: bytes, pattern: str, key: str =
                 yield from table.to_batches()
 
     rows = docs.select(F.monotonically_increasing_id().alias("row"), key, F.col(text).alias("text"))
-    return written(rows.mapInArrow(batches, schema), "links")
+    path = new_path(docs.sparkSession, "links")
+    rows.mapInArrow(batches, schema).write.option("parquet.block.size", BLOCK).parquet(path)
+    return docs.sparkSession.read.schema(schema).parquet(path)
 
 
 def _counted(tables: list[pa.Table]) -> pa.Table:
     return pa.concat_tables(tables).group_by(["a", "b"], use_threads=False).aggregate([("n", "sum")]).rename_columns(["a", "b", "n"])
 
 
-def pair_counts(links: DataFrame) -> DataFrame:
+def pair_counts(links: DataFrame, kind: str) -> DataFrame:
     """(a, b, n, best): how many links hold each id pair, and whether no pair of its `b` has more, written."""
 
     def batches(stream: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.Table] = []
         for batch in stream:
-            for start, n in _parts(pc.list_value_length(batch.column("a"))):
-                ids = {c: pc.list_flatten(batch.column(c).slice(start, n)) for c in ("a", "b")}
-                held = [_counted([*held, pa.table({**ids, "n": pa.array(np.ones(len(ids["a"]), np.int64))})])]
+            for start, n in _parts(pc.binary_length(batch.column("a"))):
+                ids = {c: unpacked(batch.column(c).slice(start, n), kind)[0].astype(np.int32) for c in ("a", "b")}
+                held = [_counted([*held, pa.table({**ids, "n": np.ones(len(ids["a"]), np.int64)})])]
                 if held[0].num_rows > COUNTED:
                     yield from held.pop().to_batches()
         if held:
@@ -213,7 +234,7 @@ def least_of_head(pairs: DataFrame, head: int = HEAD) -> int:
     return 2**least
 
 
-def score(links: DataFrame, pairs: DataFrame, head: int = HEAD) -> DataFrame:
+def score(links: DataFrame, pairs: DataFrame, kind: str, head: int = HEAD) -> DataFrame:
     """The columns of `links` but `a` and `b`, with `n_best` and `count_sum` over the links of each row."""
     least = least_of_head(pairs, head)
     code = F.shiftleft(F.col("a").cast("bigint"), 32) + F.col("b")
@@ -225,23 +246,22 @@ def score(links: DataFrame, pairs: DataFrame, head: int = HEAD) -> DataFrame:
     schema = ", ".join([f"`{c}` {kinds[c]}" for c in kept] + ["n_best bigint, count_sum bigint, a array<int>, b array<int>"])
 
     def looked_up(batch: pa.RecordBatch, codes: pa.Array, numbers: np.ndarray, bests: np.ndarray) -> pa.RecordBatch:
-        ids = [pc.list_flatten(batch.column(c)).to_numpy() for c in ("a", "b")]
-        at = pc.index_in(pa.array((ids[0].astype(np.int64) << 32) + ids[1]), value_set=codes)
+        (a, sizes), (b, _) = (unpacked(batch.column(c), kind) for c in ("a", "b"))
+        at = pc.index_in(pa.array((a.astype(np.int64) << 32) + b), value_set=codes)
         hit = at.is_valid().to_numpy(zero_copy_only=False)
         at = pc.fill_null(at, 0).to_numpy()
-        doc = pc.list_parent_indices(batch.column("a")).to_numpy()
-        offsets = np.concatenate([[0], np.cumsum(np.bincount(doc, minlength=batch.num_rows))])
+        offsets = np.concatenate([[0], np.cumsum(sizes)])
         total = lambda x: np.diff(np.concatenate([[0], np.cumsum(x)])[offsets])
-        rest = np.concatenate([[0], np.cumsum(np.bincount(doc[~hit], minlength=batch.num_rows))]).astype(np.int32)
+        rest = np.concatenate([[0], np.cumsum(total(~hit))]).astype(np.int32)
         added = [pa.array(total(np.where(hit, x[at], 0))) for x in (bests, numbers)]
-        added += [pa.ListArray.from_arrays(rest, pa.array(x[~hit], pa.int32())) for x in ids]
+        added += [pa.ListArray.from_arrays(rest, pa.array(x[~hit].astype(np.int32))) for x in (a, b)]
         return pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), *added], [*kept, "n_best", "count_sum", "a", "b"])
 
     def batches(stream: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes, *values = shared.value
         values = [np.append(x, 0).astype(np.int64) for x in values]
         for batch in stream:
-            for start, n in _parts(pc.list_value_length(batch.column("a"))):
+            for start, n in _parts(pc.binary_length(batch.column("a"))):
                 yield looked_up(batch.slice(start, n), pa.array(codes), *values)
 
     scored = links.mapInArrow(batches, schema)
@@ -266,5 +286,6 @@ def align(docs: DataFrame, first: bytes, second: bytes, pattern: str, key: str =
     tokens; groups of one text may take up to 2 GB as text, about 400 MB of prose.
     """
     links = link(docs, first, second, pattern, key, text)
-    scored = score(links, pair_counts(links), head)
+    kind = id_kind(*(t.tokens for t in _tokenizers(first, second, pattern)))
+    scored = score(links, pair_counts(links, kind), kind, head)
     return scored.select(key, "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
