@@ -25,6 +25,11 @@ class Landing:
     raw: str
     ledger: str
 
+    @property
+    def hashes(self) -> str:
+        """Where the index of landed row hashes lives."""
+        return f"{self.raw.rstrip('/')}-hashes"
+
     def rows(self, spark: SparkSession) -> DataFrame:
         # Partition values are read as text: a run id may be made of digits, with leading zeros.
         inferred = spark.read.parquet(self.raw).schema

@@ -6,6 +6,9 @@ own and committed with the list of its files, so
 * a crash before the commit leaves rows nobody reads, and the replay overwrites them;
 * a crash after the commit is recognised by the batch id;
 * with a lost checkpoint all files come again, and those in the ledger are skipped.
+
+Rows that landed before are found in an index of hashes (`sources.hash_index`), of which a micro-batch reads the
+partitions of its own hashes.
 """
 
 from __future__ import annotations
@@ -21,22 +24,12 @@ from assayer.scratch import written
 from assayer.sources import ledger
 from assayer.sources.audit import Run, with_audit
 from assayer.sources.files import replace_partitions
+from assayer.sources.hash_index import HashIndex
 from assayer.sources.landing import PARTITIONS, Landing
 
 KIND = "stream"
 
 
-def new_rows(batch: DataFrame, landed: DataFrame, row_hash: str = "_row_hash") -> DataFrame:
-    """Rows whose hash has not landed before.
-
-    The landed hashes are first reduced to those of this batch, so the long history is only
-    scanned (one column), and the join that follows is between two sets of the size of a batch.
-    """
-    hashes = batch.select(row_hash).distinct()
-    known = landed.select(row_hash).join(hashes, row_hash, "left_semi").distinct()
-    return batch.join(known, row_hash, "left_anti")
-
-
 def _land_batch(
     batch: DataFrame, epoch: int, landing: Landing, run: Run, hashed: Sequence[str] | None, order: str | None
 ) -> None:
@@ -58,7 +51,9 @@ def _land_batch(
     if order is not None:
         audited = keep_first(audited, "_row_hash", order)
         if not entries.isEmpty():
-            audited = new_rows(audited, landing.visible(spark))
+            index = HashIndex(landing.hashes)
+            index.refresh(spark, landing)
+            audited = index.new_rows(audited)
     replace_partitions(audited, landing.raw, *PARTITIONS)
     ledger.commit(files.withColumn("batch_id", F.lit(batch_id)), landing.ledger, KIND, run)
 

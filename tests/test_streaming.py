@@ -83,12 +83,6 @@ def test_rows_that_landed_before_are_dropped(spark, stage):
     assert stage.seen() == list(range(9))
 
 
-def test_new_rows(spark):
-    batch = spark.createDataFrame([("a", 1), ("b", 2)], "_row_hash string, x int")
-    landed = spark.createDataFrame([("a",), ("a",), ("c",)], "_row_hash string")
-    assert [r.x for r in increments.new_rows(batch, landed).collect()] == [2]
-
-
 def test_events_sent_again_with_another_value_or_time_are_new_rows(spark, tmp_path):
     rows = [(1, "2024-01-10 10:00:00", 7, "click", 1.0, "{}"), (1, "2024-01-10 10:00:00", 7, "click", 2.0, "{}")]
     rows += [(1, "2024-01-10 10:00:01", 7, "click", 1.0, "{}"), (2, "2024-01-20 10:00:00", 8, "view", None, "{}"), rows[0]]
