@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,7 +18,7 @@ from assayer.plans import inputs, workspace
 from assayer.plans.registry import query, r, with_
 from assayer.plans.shared_sql import LABELLED, TO_RAW, TO_STAGING
 from assayer.scratch import new_path
-from assayer.sources import files, fingerprint, ledger, tables
+from assayer.sources import csv_files, files, fingerprint, ledger, tables
 from assayer.sources.audit import Run, with_audit
 from assayer.sources.landing import Landing, ingest_batches
 from assayer.sources.landing import ingest_full as land_full
@@ -50,6 +52,46 @@ def csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+_LONG_LINE = "too many fields: 6 of 5"
+_SHORT_LINE = "too few fields: 2 of 5"
+
+
+@query(
+    "csv_arrivals",
+    f"""
+SELECT doc_id, md5(text) AS text_md5, lang, source, n_chars, 'accepted' AS verdict FROM documents
+UNION ALL
+SELECT doc_id, NULL, NULL, NULL, NULL, CASE doc_id % 3 WHEN 0 THEN '{_SHORT_LINE}' ELSE '{_LONG_LINE}' END
+FROM documents WHERE doc_id % 3 < 2""",
+)
+def csv_arrivals(spark: SparkSession, folder: str) -> DataFrame:
+    """Files with their columns in another order and one more, and files with lines that are too short or too long."""
+    documents, path = inputs.table(spark, folder, "documents"), new_path(spark, "arrivals")
+    odd, third = F.col("doc_id") % 2 == 1, F.col("doc_id") % 3
+    files.export_csv(documents.where(~odd), path)
+    other = documents.where(odd).select("n_chars", "source", F.lit("x, y").alias("extra"), "text", "lang", "doc_id")
+    files.export_csv(other, path, "append")
+    short, long = F.concat_ws(",", "doc_id", "lang"), F.concat_ws(",", "doc_id", "lang", "source", "n_chars", F.lit(","))
+    lines = documents.where(third < 2).select(F.when(third == 0, short).otherwise(long).alias("value"))
+
+    header = ",".join(documents.columns)
+
+    def with_header(stream: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield pa.RecordBatch.from_pydict({"value": [header]})
+        for batch in stream:
+            yield pa.RecordBatch.from_arrays([batch.column("value")], ["value"])
+
+    lines.mapInArrow(with_header, "value string").write.mode("append").text(path)
+    arrived = csv_files.read_arrived(spark, path, documents.columns)
+    none = F.lit(None).cast("string")
+    rows = arrived.rows.select(
+        F.col("doc_id").cast("bigint").alias("doc_id"), F.md5("text").alias("text_md5"), "lang", "source",
+        F.col("n_chars").cast("bigint").alias("n_chars"), F.lit("accepted").alias("verdict"),
+    )
+    key = F.substring_index("_record", ",", 1).cast("bigint")
+    return rows.union(arrived.quarantine.select(key, none, none, none, none.cast("bigint"), "_reason"))
+
+
 @query(
     "jsonl_roundtrip",
     with_(LABELLED, select="SELECT _row_key, md5(text_content) AS text_md5, content_type, label FROM labelled"),

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from assayer.operators import checks, contract, curate, models, reports, scoring, staging
 from assayer.scratch import written
-from assayer.sources import files, fingerprint, landing as lands, ledger, tables
+from assayer.sources import csv_files, files, fingerprint, landing as lands, ledger, tables
 from assayer.sources.audit import Run
 from assayer.spec import CLASSIFIERS, RANGE_RULES, STYLOMETRY, ModelSpec, Rule, Settings, TableSpec
 from assayer.streaming.increments import ingest_arrivals
@@ -94,13 +94,19 @@ class Refinery:
     def ingest_csv(
         self, path: str, columns: Sequence[str], manifest: DataFrame | None = None, force: bool = False, pattern: str = "*.csv"
     ) -> DataFrame:
-        """A folder of CSV files as one full run; with a manifest, only if every file matches it."""
-        rows = files.read_csv(self.spark, path, list(columns), position=self.spec.key)
-        rows = rows.withColumn("_file", F.col("_metadata.file_name"))
+        """A folder of CSV files as one full run; with a manifest, only if every file matches it.
+
+        Records that do not fit their file's header are kept in `csv_quarantine`, and counted by file in `csv_counts`.
+        """
+        arrived = csv_files.read_arrived(self.spark, path, list(columns), self.spec.key, pattern)
+        rows = arrived.rows.withColumnRenamed("_source_file", "_file")
         checksum: Column | None = None
         if manifest is not None:
             sums = self.verify_sources(path, manifest, pattern).select(F.col("file").alias("_file"), F.col("sha256").alias("_sum"))
             rows, checksum = rows.join(sums, "_file", "left"), F.col("_sum")
+        run_id = F.lit(self.run.run_id).alias("_run_id")
+        for table, name in ((arrived.quarantine, "csv_quarantine"), (arrived.counts(), "csv_counts")):
+            files.replace_partitions(table.select("*", run_id), self.warehouse.path(name), "_run_id")
         return self.ingest_full(rows, force, source_file=F.col("_file"), checksum=checksum)
 
     def ingest_arrivals(self, source: str, schema: T.StructType, **how) -> None:

@@ -12,7 +12,7 @@ from assayer.sources.audit import public_columns
 # to be read by one task each.
 ROWS_PER_CSV_FILE = 50_000
 
-_CSV = {
+CSV_OPTIONS = {
     "header": True,
     "quote": '"',
     "escape": '"',
@@ -23,14 +23,15 @@ _CSV = {
 
 
 def read_csv(spark: SparkSession, path: str, columns: list[str], position: str | None = None) -> DataFrame:
-    """All columns as text; casts come later (`cast_declared`). Free text may span lines.
+    """All columns as text, by position, of files that this library wrote; casts come later (`cast_declared`). Free text may
+    span lines. Files of others are read by `csv_files.read_arrived`.
 
     `position` names an ordinal to be added: unique, and ascending in reading order. Positions
     depend on how files are packed into tasks, so they are fixed by landing the rows; where a
     key must not depend on the files at all, the row hash is one.
     """
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    rows = spark.read.schema(schema).options(**_CSV, multiLine=True, mode="FAILFAST").csv(path)
+    rows = spark.read.schema(schema).options(**CSV_OPTIONS, multiLine=True, mode="FAILFAST").csv(path)
     return rows if position is None else rows.withColumn(position, F.monotonically_increasing_id())
 
 
@@ -44,7 +45,7 @@ def export_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> str:
 
 
 def export_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
-    df.write.mode(mode).options(**_CSV, maxRecordsPerFile=ROWS_PER_CSV_FILE).csv(path)
+    df.write.mode(mode).options(**CSV_OPTIONS, maxRecordsPerFile=ROWS_PER_CSV_FILE).csv(path)
     return path
 
 
