@@ -212,14 +212,15 @@ def running_totals(
 ) -> DataFrame:
     """Adds inclusive running sums `{new: summed}` along `order` within `by`, and `overall` sums of `by`.
 
-    `df` has one row per (by, order), so no order value is hot. The table is range-partitioned and
-    written with its range number; sums per range give the offset at which the window inside a
-    range starts, so no task ever holds more than one range of one group.
+    `df` has one row per (by, order). The table is range-partitioned by group and order together, so a heavy group
+    takes several ranges, many groups that share an order value do not share a range for it, and NULL groups are a
+    group. It is written with its range number; sums by group and range give the offset at which the window inside a
+    range starts, so no task ever holds more than one range, and most groups have offsets in one range only.
     """
     by, overall = list(by), overall or {}
     # More ranges than tasks, so that ranges of unequal weight even out.
     ranges = 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = written(df.repartitionByRange(ranges, order).withColumn("_range", F.spark_partition_id()), "ranged")
+    ranged = written(df.repartitionByRange(ranges, *by, order).withColumn("_range", F.spark_partition_id()), "ranged")
 
     zero, summed = F.lit(0).cast("bigint"), sorted({*totals.values(), *overall.values()})
     ahead = Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
@@ -237,18 +238,24 @@ def running_totals(
     # The window comes first: its partitioning and order serve the join as well.
     inside = ranged.withColumns({f"_in_{new}": F.sum(c).over(along) for new, c in totals.items()})
     running = [(F.col(f"_in_{new}") + F.col(f"_from_{new}")).alias(new) for new in totals]
-    return inside.join(offsets, [*by, "_range"]).select(*df.columns, *running, *overall)
+    near = offsets.select(*[F.col(c).alias(f"_of_{c}") for c in by], F.col("_range").alias("_of_range"), *[f"_from_{n}" for n in totals], *overall)
+    same = [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in by] + [F.col("_range") == F.col("_of_range")]
+    return inside.join(near, reduce(Column.__and__, same)).select(*df.columns, *running, *overall)
 
 
 def competition_rank(df: DataFrame, value: str, name: str = "rank") -> DataFrame:
-    """RANK() over the whole table by `value` descending, NULLs first."""
+    """RANK() over the whole table by `value` descending, NULLs first.
+
+    Only values are ranked; the ranks are written before they are joined back, so that they are broadcast if they are few, and
+    a value that very many rows share can be split if not.
+    """
     falling = "_falling"
     counted = (
         df.where(F.col(value).isNotNull())
         .groupBy((-F.col(value)).alias(falling))
         .agg(F.count(F.lit(1)).alias("_n"))
     )
-    standing = running_totals(counted, falling, {"_upto": "_n"})
+    standing = written(running_totals(counted, falling, {"_upto": "_n"}), "standing")
     missing = df.where(F.col(value).isNull()).count()
     ahead = F.col("_upto") - F.col("_n") + F.lit(missing)
     return (

@@ -153,8 +153,13 @@ def balanced_threshold(sweep: DataFrame, by: Sequence[str] = ("classifier",)) ->
     return sweep.groupBy(*by).agg(chosen).select(*by, "c.*")
 
 
-def metrics(scored: DataFrame, by: Sequence[str] = ("classifier",), positive: int = 1) -> DataFrame:
-    """(by.., accuracy, f1_weighted, f1_macro, f1_binary, roc_auc), one row per classifier."""
+def metrics(
+    scored: DataFrame, by: Sequence[str] = ("classifier",), positive: int = 1, wanted: Sequence[str] = METRICS
+) -> DataFrame:
+    """(by.., accuracy, f1_weighted, f1_macro, f1_binary, roc_auc), one row per classifier; those `wanted`, in this order.
+
+    All but the last come from the confusion matrix; the curve is planned only if it is wanted.
+    """
     by = list(by)
     scores = class_scores(confusion_matrix(scored, by), by)
     f1 = scores.groupBy(*by).agg(
@@ -163,7 +168,8 @@ def metrics(scored: DataFrame, by: Sequence[str] = ("classifier",), positive: in
         F.avg("f1").alias("f1_macro"),
         F.coalesce(F.max(F.when(F.col("class") == positive, F.col("f1"))), F.lit(0.0)).alias("f1_binary"),
     )
-    return f1.join(roc_auc(scored, by, positive), by, "left")
+    every = f1.join(roc_auc(scored, by, positive), by, "left") if "roc_auc" in wanted else f1
+    return every.select(*by, *[m for m in METRICS if m in wanted])
 
 
 def long_metrics(wide: DataFrame, by: Sequence[str] = ("classifier",)) -> DataFrame:

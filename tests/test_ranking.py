@@ -3,6 +3,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from assayer import scratch
+from assayer.operators import ranking
 from assayer.operators.ranking import competition_rank, dense_codes, medians, order_statistics, running_totals
 
 
@@ -59,6 +61,30 @@ def test_running_totals_equal_a_loop(spark):
     assert {r.g: r["all"] for r in out} == total
 
 
+def ranges(spark, monkeypatch, df, by):
+    """Rows of each range that `running_totals` cuts `df` into."""
+    seen = []
+    monkeypatch.setattr(ranking, "written", lambda df, name: seen.append(scratch.written(df, name)) or seen[-1])
+    running_totals(df, "v", {"upto": "n"}, by, {"all": "n"}).collect()
+    return sorted(r["count"] for r in seen[0].groupBy("_range").count().collect())
+
+
+def test_groups_that_share_one_score_give_even_ranges(spark, monkeypatch):
+    one = spark.range(500).select(F.format_string("g%03d", "id").alias("g"), F.lit(0.5).alias("v"), F.lit(1).alias("n")).repartition(5)
+    sizes = ranges(spark, monkeypatch, one, ["g"])
+    assert len(sizes) >= 12 and sizes[-1] <= 3 * 500 / len(sizes)
+
+
+def test_a_heavy_group_takes_several_ranges(spark, monkeypatch):
+    group = F.when(F.col("id") < 3000, "heavy").when(F.col("id") < 3010, F.lit(None)).otherwise(F.format_string("g%03d", "id"))
+    df = spark.range(3400).select(group.alias("g"), F.col("id").alias("v"), F.lit(1).cast("bigint").alias("n")).repartition(5)
+    sizes = ranges(spark, monkeypatch, df, ["g"])
+    assert len(sizes) >= 12 and sizes[-1] <= 3 * 3400 / len(sizes)
+    out = {(r.g, r.v): (r.upto, r["all"]) for r in running_totals(df, "v", {"upto": "n"}, ["g"], {"all": "n"}).collect()}
+    assert len(out) == 3400 and out["heavy", 2999] == (3000, 3000) and out["heavy", 0] == (1, 3000)
+    assert out[None, 3004] == (5, 10) and out["g3399", 3399] == (1, 1)
+
+
 def test_rank_puts_null_first_and_ties_together(spark):
     df = spark.createDataFrame([("a", 0.5), ("b", None), ("c", 0.9), ("d", 0.5), ("e", 0.1), ("f", None)], "name string, f1 double")
     ranks = {r.name: r["rank"] for r in competition_rank(df, "f1").collect()}

@@ -104,3 +104,13 @@ def test_baseline_file(spark, tmp_path):
     lines, metric, tolerance = read_baseline(spark, str(path))
     assert sorted(tuple(r) for r in lines.collect()) == [("A", "f1_weighted", "0.58"), ("A", "roc_auc", "unknown"), ("B", "f1_weighted", "0.4")]
     assert (metric, tolerance) == ("f1_weighted", 0)
+
+
+def test_only_what_is_wanted_is_planned(spark):
+    scored = spark.createDataFrame([("m", 1, 1, 0.9), ("m", 0, 1, 0.8), ("m", 0, 0, 0.1)], "classifier string, label int, prediction int, score double")
+    every = scoring.metrics(scored)
+    assert every.columns == ["classifier", *scoring.METRICS]
+    some = scoring.metrics(scored, wanted=("f1_weighted", "accuracy"))
+    assert some.columns == ["classifier", "accuracy", "f1_weighted"]
+    assert some.first() == every.select(*some.columns).first()
+    assert "score" not in some._jdf.queryExecution().executedPlan().toString().replace("classifier", "")
