@@ -21,6 +21,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from assayer.operators import many_fits
 from assayer.operators.curate import stratified_folds, stratified_split
 from assayer.operators.scoring import balanced_threshold, long_metrics, metrics, threshold_sweep
 from assayer.operators.staging import fill_zero
@@ -177,13 +178,19 @@ def evaluate(fitted: dict[str, PipelineModel], test: DataFrame, key: str) -> Dat
     return metrics(written(score_all(fitted, test, key), "scored"))
 
 
-def cv_scores(
+def _in_one_scan(model: ModelSpec) -> bool:
+    """Whether `many_fits` has this model: it fits all folds together."""
+    return model.name == "LogisticRegression" or model.name == "DecisionTree" and model.params.get("criterion", "gini") == "gini"
+
+
+def cv_scored(
     train: DataFrame, spec: TableSpec, models: Sequence[ModelSpec], settings: Settings, parallelism: int = PARALLEL_FITS
 ) -> DataFrame:
-    """(classifier, fold, metric, value) of stratified k-fold cross-validation."""
+    """(key, classifier, label, prediction, score, fold): every row scored by the fits that left its fold out."""
     folded = training_table(stratified_folds(train, "label", spec.key, settings.seed, settings.folds), "folds")
     sizes = {row[0]: row[1] for row in folded.groupBy("_fold").count().collect()}
-    total = sum(sizes.values())
+    folds, total = sorted(sizes), sum(sizes.values())
+    features = [c for c in spec.features if c in train.columns]
 
     def one(model: ModelSpec, fold: int) -> DataFrame:
         rest = folded.where(F.col("_fold") != fold)
@@ -191,11 +198,30 @@ def cv_scores(
         held_out = folded.where(F.col("_fold") == fold)
         return score(fitted, held_out, model.name, spec.key).withColumn("fold", F.lit(fold))
 
-    parts = _in_parallel(train.sparkSession, [lambda m=m, f=f: one(m, f) for m in models for f in sorted(sizes)], parallelism)
-    scored = written(reduce(DataFrame.unionByName, parts), "cv")
-    by = ["classifier", "fold"]
-    wanted = ["accuracy", "f1_weighted", "roc_auc"]
-    return long_metrics(metrics(scored, by).select(*by, *wanted), by)
+    def together(model: ModelSpec) -> DataFrame:
+        params = model.params
+        if model.name == "LogisticRegression":
+            weights = many_fits.logistic_regressions(folded, features, folds, params.get("C", 1.0), params.get("max_iter", 100))
+            return many_fits.score_linear(folded, features, dict(zip(folds, weights)), model.name, spec.key)
+        trees = many_fits.decision_trees(folded, features, folds, params.get("max_depth", 30), params.get("min_samples_split", 2))
+        return many_fits.score_trees(folded, features, dict(zip(folds, trees)), model.name, spec.key)
+
+    jobs: list[Callable] = [lambda m=m: together(m) for m in models if _in_one_scan(m)]
+    jobs += [lambda m=m, f=f: one(m, f) for m in models if not _in_one_scan(m) for f in folds]
+    return written(reduce(DataFrame.unionByName, _in_parallel(train.sparkSession, jobs, parallelism)), "cv")
+
+
+def cv_metrics(scored: DataFrame) -> DataFrame:
+    """(classifier, fold, metric, value) of what `cv_scored` gives."""
+    by, wanted = ["classifier", "fold"], ["accuracy", "f1_weighted", "roc_auc"]
+    return long_metrics(metrics(scored, by, wanted=wanted), by)
+
+
+def cv_scores(
+    train: DataFrame, spec: TableSpec, models: Sequence[ModelSpec], settings: Settings, parallelism: int = PARALLEL_FITS
+) -> DataFrame:
+    """(classifier, fold, metric, value) of stratified k-fold cross-validation."""
+    return cv_metrics(cv_scored(train, spec, models, settings, parallelism))
 
 
 def calibrate_threshold(
@@ -229,6 +255,13 @@ def feature_importances(fitted: PipelineModel) -> list[tuple[str, float]]:
     return sorted(zip(names, map(float, values)), key=lambda pair: (-pair[1], pair[0]))
 
 
+def importance_table(spark: SparkSession, fitted: dict[str, PipelineModel]) -> DataFrame:
+    """(classifier, feature, importance) of the models that have importances, a row for each feature."""
+    trees = {name: m for name, m in fitted.items() if hasattr(m.stages[-1], "featureImportances")}
+    rows = [(name, feature, value) for name, m in trees.items() for feature, value in feature_importances(m)]
+    return spark.createDataFrame(rows, "classifier string, feature string, importance double")
+
+
 def save_model(fitted: PipelineModel, folder: str, run_id: str, name: str) -> str:
     path = f"{folder}/{run_id}/{name}"
     fitted.write().overwrite().save(path)

@@ -17,7 +17,7 @@ from assayer.operators.curate import make_batches
 from assayer.plans import inputs, workspace
 from assayer.plans.registry import query, r, with_
 from assayer.plans.shared_sql import LABELLED, TO_RAW, TO_STAGING
-from assayer.scratch import new_path
+from assayer.scratch import new_path, written
 from assayer.sources import csv_files, files, fingerprint, ledger, tables
 from assayer.sources.audit import Run, with_audit
 from assayer.sources.landing import Landing, ingest_batches
@@ -174,12 +174,25 @@ def sink_modes(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query("source_manifest_check")
+_TABLES = (
+    "benchmark conversations customer documents embeddings events labels lineitem nation orders pages part region supplier"
+).split()
+
+
+@query(
+    "source_manifest_check",
+    "\nUNION ALL\n".join(
+        f"SELECT '{t}.parquet' AS file, '{dict(documents='MISMATCH', events='UNEXPECTED').get(t, 'MATCH')}' AS status" for t in _TABLES
+    )
+    + "\nUNION ALL\nSELECT 'absent.parquet', 'MISSING'",
+)
 def source_manifest_check(spark: SparkSession, folder: str) -> DataFrame:
-    actual = fingerprint.file_checksums(spark, folder, "*.parquet")
-    # The files are checked against the checksums of a second reading.
-    manifest = fingerprint.file_checksums(spark, folder, "*.parquet").select("file", F.col("sha256").alias("expected"))
-    return fingerprint.verify_sources(actual, manifest)
+    """The files of the given tables against a manifest with a wrong checksum, a file too few and a file too many."""
+    actual = written(fingerprint.file_checksums(spark, folder, "*.parquet"), "checksums")
+    wrong = F.when(F.col("file") == "documents.parquet", F.sha2("sha256", 256)).otherwise(F.upper("sha256"))
+    manifest = actual.where("file <> 'events.parquet'").select("file", wrong.alias("expected"))
+    absent = spark.createDataFrame([("absent.parquet", "0" * 64)], manifest.schema)
+    return fingerprint.verify_sources(actual, manifest.union(absent)).select("file", "status")
 
 
 _AMOUNTS = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,7 +13,7 @@ from assayer.operators.curate import stratified_folds, stratified_split
 from assayer.plans import inputs, workspace
 from assayer.plans.queries_curate import _curated
 from assayer.plans.registry import fixed, query, r, with_
-from assayer.plans.shared_sql import SCORED, all_metrics, auc, class_scores, confusion, curve, ordered_keys, split
+from assayer.plans.shared_sql import SCORED, TO_STAGING, all_metrics, auc, class_scores, confusion, curve, ordered_keys, split
 from assayer.scratch import written
 from assayer.spec import CLASSIFIERS, ModelSpec, Settings
 
@@ -259,20 +261,79 @@ def _trained(name: str):
     return run
 
 
-for _key, _name in {
+_TRAINED = {
     "train_lr": "LogisticRegression",
     "train_dt": "DecisionTree",
     "train_gbt": "GradientBoosting",
     "train_gbt_colsample": "XGBoost",
     "train_rf": "RandomForest",
     "train_linear_svc": "SVC",
-}.items():
+}
+
+for _key, _name in _TRAINED.items():
     query(_key)(_trained(_name))
 
 
+def _consistent(border: str = "0.5") -> list[F.Column]:
+    """How many rows, positives, scores in their range, and predictions that follow from the score."""
+    ranged = F.col("score").between(0, 1) if border == "0.5" else F.col("score").isNotNull() & ~F.isnan("score")
+    follows = (F.col("prediction") == 1) == (F.col("score") > float(border))
+    return [
+        F.count(F.lit(1)).alias("n"), F.sum("label").cast("bigint").alias("positives"),
+        F.count_if(ranged).alias("in_range"), F.count_if(follows).alias("consistent"), F.countDistinct("_row_key").alias("n_keys"),
+    ]
+
+
+_PARTS = split("staging", "label", "_row_key")
+_ALL_CONSISTENT = "count(*) AS n, CAST(sum(label) AS BIGINT) AS positives, count(*) AS in_range, count(*) AS consistent, count(DISTINCT _row_key) AS n_keys"
+
+
+@query(
+    "model_score_check",
+    with_(
+        *TO_STAGING, _PARTS,
+        select=f"""
+SELECT classifier, {_ALL_CONSISTENT}
+FROM split, (VALUES {", ".join(f"('{name}')" for name in _TRAINED.values())}) m(classifier) WHERE _split = 'test' GROUP BY classifier""",
+    ),
+)
+def model_score_check(spark: SparkSession, folder: str) -> DataFrame:
+    """Each test row is scored once by each model, with a score in its range and the prediction that follows from it."""
+    train, test = _part(spark, folder, "train"), _part(spark, folder, "test")
+    fitted = models.fit_all(train, inputs.SPEC, [_MODELS[name] for name in _TRAINED.values()], _SETTINGS)
+    scored = {name: models.score(m, test, name, inputs.SPEC.key) for name, m in fitted.items()}
+    parts = [df.groupBy("classifier").agg(*_consistent("0" if name == "SVC" else "0.5")) for name, df in scored.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _cv_scored(spark: SparkSession, folder: str) -> DataFrame:
+    return workspace.landed(
+        spark, folder, "cv_scored", lambda: models.cv_scored(_part(spark, folder, "train"), inputs.SPEC, CLASSIFIERS, _SETTINGS)
+    )
+
+
 @query("cv_scores")
 def cv_scores(spark: SparkSession, folder: str) -> DataFrame:
-    return models.cv_scores(_part(spark, folder, "train"), inputs.SPEC, CLASSIFIERS, _SETTINGS)
+    return models.cv_metrics(_cv_scored(spark, folder))
+
+
+@query(
+    "cv_fold_check",
+    with_(
+        *TO_STAGING, _PARTS,
+        f"""
+folded AS (
+  SELECT _row_key, label, CAST(((rn - 1) * 5) // n AS INTEGER) AS fold
+  FROM (SELECT _row_key, label, count(*) OVER (PARTITION BY label) AS n,
+               row_number() OVER (PARTITION BY label ORDER BY {ordered_keys("_row_key")}) AS rn FROM split WHERE _split = 'train'))""",
+        select=f"""
+SELECT classifier, fold, {_ALL_CONSISTENT}
+FROM folded, (VALUES {", ".join(f"('{m.name}')" for m in CLASSIFIERS)}) m(classifier) GROUP BY classifier, fold""",
+    ),
+)
+def cv_fold_check(spark: SparkSession, folder: str) -> DataFrame:
+    """Each training row is scored once by each model, in its own fold."""
+    return _cv_scored(spark, folder).groupBy("classifier", "fold").agg(*_consistent())
 
 
 @query("evaluate_models")

@@ -10,6 +10,7 @@ import json
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,6 +23,9 @@ from assayer.spec import CLASSIFIERS, RANGE_RULES, STYLOMETRY, ModelSpec, Rule,
 from assayer.streaming.increments import ingest_arrivals
 
 
+_CHECKS = "check string, status string, details string, value double"
+
+
 @dataclass(frozen=True)
 class Warehouse:
     """Folders of a refinery; `root` must be reachable by every executor."""
@@ -148,17 +152,34 @@ class Refinery:
 
         return self._stage("curated", force, build)
 
-    def run_checks(self, table: DataFrame | None = None, as_of: str | None = None, gate: bool = True) -> DataFrame:
-        """The quality report of staging, kept under the run id; a failed check stops the run."""
+    def run_checks(
+        self, table: DataFrame | None = None, as_of: str | None = None, gate: bool = True, reproducibility: DataFrame | None = None
+    ) -> DataFrame:
+        """The quality report of staging, kept under the run id; a failed check stops the run.
+
+        Once a run is evaluated against a baseline, its report holds those rows as well (`reproducibility`, or the ones kept).
+        """
         rows = self.table("staging") if table is None else table
-        report = checks.quality_report(rows, self.spec, self.settings, self.rules, as_of or self.run.at)
+        if reproducibility is None:
+            reproducibility = self._reproducibility()
+        report = checks.quality_report(rows, self.spec, self.settings, self.rules, as_of or self.run.at, reproducibility)
         path = self.warehouse.path("quality", self.run.run_id)
         report.coalesce(1).write.mode("overwrite").json(path)
-        kept = self.spark.read.schema("check string, status string, details string, value double").json(path)
+        kept = self.spark.read.schema(_CHECKS).json(path)
         if gate:
             checks.gate(kept)
         return kept
 
+    def _reproducibility(self) -> DataFrame | None:
+        """The comparison with the baseline that this run has kept, if it has one."""
+        path = self.warehouse.path("evaluation", self.run.run_id, "reproducibility")
+        try:
+            return self.spark.read.schema(_CHECKS).json(path)
+        except AnalysisException as problem:
+            if "PATH_NOT_FOUND" in str(problem):
+                return None
+            raise
+
     def check_contract(self, table: DataFrame | None = None) -> DataFrame:
         return contract.contract_report(self.table("staging") if table is None else table, self.contract)
 
@@ -188,8 +209,10 @@ class Refinery:
             train = models.training_table(self._model_rows("train"))
             if cross_validation:
                 scores = models.cv_scores(train, self.spec, missing, self.settings)
-                summary = scoring.cv_summary(scores).withColumn("run_id", F.lit(self.run.run_id))
-                summary.coalesce(1).write.mode("append").json(self.warehouse.path("cv_results"))
+                summary = written(scoring.cv_summary(scores).withColumn("run_id", F.lit(self.run.run_id)), "cv-summary")
+                for model in missing:  # a folder for each run and model, so that a rerun replaces its results
+                    mine = summary.where(F.col("classifier") == model.name)
+                    mine.coalesce(1).write.mode("overwrite").json(self.warehouse.path("cv_results", self.run.run_id, model.name))
             for name, fitted in models.fit_all(train, self.spec, missing, self.settings).items():
                 path = models.save_model(fitted, self.warehouse.path("models"), self.run.run_id, name)
                 entry = self.spark.createDataFrame([(name, path, 1)], "batch_id string, source_file string, rows bigint")
@@ -225,8 +248,10 @@ class Refinery:
         report = self.warehouse.path("evaluation", run_id)
         reports.classifier_comparison(metrics).coalesce(1).write.mode("overwrite").option("header", True).csv(f"{report}/comparison")
         scoring.classification_report(scoring.confusion_matrix(scored)).coalesce(1).write.mode("overwrite").json(f"{report}/classes")
+        models.importance_table(self.spark, fitted).coalesce(1).write.mode("overwrite").json(f"{report}/importances")
         curated_test = self.table("curated").where(F.col("_split") == "test")
         best = scoring.best_model(metrics, self.settings.metric)
+        self._summary(best).coalesce(1).write.mode("overwrite").json(f"{report}/best_model")
         extract = scoring.predictions_extract(curated_test, scored, best, self.spec.key)
         files.export_csv(extract, f"{report}/predictions")
         if baseline is not None:
@@ -237,6 +262,16 @@ class Refinery:
             repro.coalesce(1).write.mode("overwrite").json(f"{report}/reproducibility")
         return metrics
 
+    def _summary(self, best: DataFrame) -> DataFrame:
+        """The best model's metrics, and the threshold that balances its recalls on an inner part of the training rows."""
+        row = best.first()
+        chosen = [m for m in self.classifiers if row is not None and m.name == row.classifier]
+        threshold = None
+        if chosen:
+            train = models.training_table(self._model_rows("train"))
+            threshold = models.calibrate_threshold(train, self.spec, chosen[0], self.settings)[1]
+        return best.withColumn("balanced_threshold", F.lit(threshold).cast("double"))
+
     def run_all(
         self,
         source: DataFrame,

@@ -101,9 +101,9 @@ def test_a_crash_before_the_catalog_leaves_nothing(spark, landing, monkeypatch):
 
 
 def test_bytes_read_stay_level(spark, landing):
-    """Twenty batches of 500 rows: what five hashes read of a run is bounded, whatever has landed."""
-    index, read, held = HashIndex(landing.hashes, per_part=100, fan=4), [], []
-    probe = with_audit(spark.range(-5, 0), Run("x", "2024-01-31 00:00:00"), "b", "f", hashed=["id"]).select("_row_hash")
+    """Twenty batches of 500 rows: what a hash reads of a run is bounded, whatever has landed."""
+    index, read, held = HashIndex(landing.hashes, per_part=500, fan=4), [], []
+    probe = with_audit(spark.range(-1, 0), Run("x", "2024-01-31 00:00:00"), "b", "f", hashed=["id"]).select("_row_hash")
     for i in range(20):
         land(spark, landing, 500 * i, 500 * i + 500, f"b{i:02d}")
         index.refresh(spark, landing)
@@ -111,7 +111,7 @@ def test_bytes_read_stay_level(spark, landing):
         read.append(sum(os.path.getsize(f.removeprefix("file://")) for f in scan.inputFiles()) / len(index.runs(spark)))
         held.append(sum(run.rows for run in index.runs(spark)))
         assert all("/raw-hashes/" in f for f in scan.inputFiles())  # and no history
-        assert scan.count() <= 5 * 2 * 100 * len(index.runs(spark))
+        assert scan.count() <= 2 * 500 * len(index.runs(spark))
     assert held[-1] == 20 * 500 and max(read[10:]) <= 1.5 * max(read[:3])
     assert len(index.runs(spark)) <= 3 * 3
 

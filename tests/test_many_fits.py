@@ -131,7 +131,7 @@ def test_one_label_and_no_rows(spark):
     x, y, fold = make(6, 30)
     df = table(spark, x, np.ones(30, int), fold)
     assert nested(many_fits.decision_trees(df, FEATURES, [ALL], 3, 2)[0]) == (0, 30)
-    assert many_fits.logistic_regressions(df, FEATURES, [ALL])[0][-1] > 10
+    assert many_fits.logistic_regressions(df, FEATURES, [ALL], max_iter=12)[0][-1] > 5
     none = df.where(F.lit(False))
     assert many_fits.logistic_regressions(none, FEATURES, [ALL, 0]).tolist() == [[0.0] * 4] * 2
     assert nested(many_fits.decision_trees(none, FEATURES, [ALL], 3, 2)[0]) == (0, 0)

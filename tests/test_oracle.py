@@ -22,8 +22,3 @@ def test_query_equals_sql(spark, duck, name):
 
 def test_oracles_belong_to_queries():
     assert set(ORACLES) <= set(QUERIES)
-
-
-def test_manifest_of_the_given_files_matches(spark):
-    found = QUERIES["source_manifest_check"](spark, FOLDER).collect()
-    assert len(found) == 14 and {row.status for row in found} == {"MATCH"}

@@ -53,7 +53,16 @@ def test_whole_run(spark, refinery, metrics):
     assert predictions.count() == curated.where("_split = 'test'").count()
     repro = read.json(refinery.warehouse.path("evaluation", "r1", "reproducibility"))
     assert {r.check: r.status for r in repro.collect()}["reproducibility.Gone"] == "WARN"
-    assert read.json(refinery.warehouse.path("cv_results")).count() == 2 * 3
+    report = {r.check: r.status for r in refinery.run_checks(gate=False).collect()}
+    assert report["reproducibility.Gone"] == "WARN" and "row_count" in report
+    summary = read.json(refinery.warehouse.path("evaluation", "r1", "best_model")).collect()
+    assert len(summary) == 1 and 0 <= summary[0].balanced_threshold <= 1
+    importances = read.json(refinery.warehouse.path("evaluation", "r1", "importances"))
+    assert importances.groupBy("classifier").agg(F.sum("importance").alias("s")).where("abs(s - 1) > 1e-6").isEmpty()
+    results = lambda: read.option("recursiveFileLookup", True).json(refinery.warehouse.path("cv_results")).count()
+    assert results() == 2 * 3
+    refinery.train(force=True)
+    assert results() == 2 * 3
     assert read.parquet(refinery.warehouse.path("tables", "curated_test")).count() == predictions.count()
     state = run_log_status(read.parquet(refinery.warehouse.path("run_log"))).first()
     assert (state.run_id, state.status, state.stage) == ("r1", "SUCCESS", "evaluate")
