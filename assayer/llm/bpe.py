@@ -19,13 +19,15 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 
 LEAF = 32  # bytes that are merged at once
 WIDTHS = (8, 16, LEAF)  # bytes of the tables in which many pieces are merged together
 NONE = np.iinfo(np.int32).max  # the rank of a pair that is not merged
-CACHED = 400_000  # entries of each cache of a Python worker; a full cache is emptied
+CACHED = 150_000  # entries of each cache of a Python worker, about 60 MB in all; a full cache is emptied
+AT_ONCE = 1_000_000  # bytes of texts or ids whose results are made together, or one row
 CACHED_BYTES = 64  # longer texts are not kept
 
 
@@ -58,8 +60,7 @@ class Encoder:
     def learn(self, texts: list[str]) -> None:
         """Fills the caches with what occurs in many texts, merging all new pieces together."""
         for cache in (self.cache, self.chunks, self.merged, self._stable):
-            if len(cache) > CACHED:
-                cache.clear()
+            _room(cache)
         known, new = self.chunks.keys(), set()
         for text in texts:
             new.update(c for c in text.split(" ")[1:] if c not in known)
@@ -68,8 +69,10 @@ class Encoder:
         data = [p.encode() for p in pieces]
         short = [i for i, piece in enumerate(data) if len(piece) <= LEAF]
         for i, ids in zip(short, self.merge_all([data[i] for i in short])):
+            _room(self.cache)
             self.cache[pieces[i]] = ids
         for chunk, parts in found.items():
+            _room(self.chunks)
             self.chunks[chunk] = tuple(chain.from_iterable(map(self.cache.__getitem__, parts)))
 
     def encode(self, text: str) -> list[int]:
@@ -121,9 +124,11 @@ class Encoder:
     def stable(self, first: int, second: int) -> bool:
         """Whether two tokens are the encoding of their bytes."""
         pair = first, second
-        if pair not in self._stable:
-            self._stable[pair] = self.merge(self.bytes_of[first] + self.bytes_of[second]) == [first, second]
-        return self._stable[pair]
+        found = self._stable.get(pair)
+        if found is None:
+            _room(self._stable)
+            found = self._stable[pair] = self.merge(self.bytes_of[first] + self.bytes_of[second]) == [first, second]
+        return found
 
     def merge(self, piece: bytes) -> list[int]:
         """Merges the neighbours of lowest rank, leftmost first, until none can be merged."""
@@ -134,6 +139,7 @@ class Encoder:
             return self._merge_many(piece)
         found = self.merged.get(piece)
         if found is None:
+            _room(self.merged)
             found = self.merged[piece] = self._merge_few(piece)
         return found
 
@@ -235,6 +241,11 @@ class Encoder:
         return self.decode(ids[:middle]) + self.decode(ids[middle:])
 
 
+def _room(cache: dict) -> None:
+    if len(cache) >= CACHED:
+        cache.clear()
+
+
 class _Cache(dict):
     """Matches of the pattern and their ids, filled as they occur."""
 
@@ -245,6 +256,7 @@ class _Cache(dict):
         data = piece.encode()
         ids = tuple(self._encoder.encode_piece(data))
         if len(data) <= CACHED_BYTES:
+            _room(self)
             self[piece] = ids
         return ids
 
@@ -264,6 +276,7 @@ class _Chunks(dict):
             raise _Spaced
         ids = tuple(self._encoder.encode_chunk(" " + chunk))
         if len(chunk) <= CACHED_BYTES:
+            _room(self)
             self[chunk] = ids
         return ids
 
@@ -273,6 +286,20 @@ def _encoder(ranks: bytes, pattern: str) -> Encoder:
     return Encoder(ranks, pattern)
 
 
+def _parts(values: pa.Array) -> Iterator[tuple[int, int]]:
+    """(start, length) of parts of a column with `AT_ONCE` bytes at most, or of one row."""
+    if pa.types.is_list(values.type):
+        sizes = pc.multiply(pc.cast(pc.list_value_length(values), pa.int64()), 4)
+    else:
+        sizes = pc.cast(pc.binary_length(values), pa.int64())
+    total, start = np.cumsum(pc.fill_null(sizes, 0).to_numpy(zero_copy_only=False)), 0
+    while start < len(total):
+        stop = int(np.searchsorted(total, (total[start - 1] if start else 0) + AT_ONCE, "right"))
+        stop = max(start + 1, stop)
+        yield start, stop - start
+        start = stop
+
+
 def _per_row(
     df: DataFrame, column: str, schema: str, make: Callable[[], Callable], arrow: list[tuple[str, pa.DataType]], keep: list[str]
 ) -> DataFrame:
@@ -282,8 +309,8 @@ def _per_row(
     def batches(stream: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compute = make()
         for batch in stream:
-            for start in range(0, batch.num_rows, 1000):  # bounds the memory that results take
-                part = batch.slice(start, 1000)
+            for start, n in _parts(batch.column(column)):  # bounds the memory that results take
+                part = batch.slice(start, n)
                 rows = compute(part.column(column).to_pylist())
                 values = zip(*rows)
                 added = [pa.array(v, kind) for v, (_, kind) in zip(values, arrow)]

@@ -4,6 +4,7 @@ import base64
 import hashlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 import tiktoken
@@ -77,3 +78,19 @@ def test_encode_then_decode(spark):
     back = bpe.decode(tokens, ranks, public_tokenizers.PATTERN)
     assert {r.doc_id: bytes(r.data).decode() for r in back.collect()} == {r.doc_id: r.text for r in docs.collect()}
     assert bpe.encode(docs.limit(0), ranks, public_tokenizers.PATTERN).count() == 0
+
+
+def test_caches_are_bounded(monkeypatch, library):
+    monkeypatch.setattr(bpe, "CACHED", 50)
+    own = bpe.Encoder(bpe.read_ranks(PATH), public_tokenizers.PATTERN)
+    texts = [" ".join(f"w{i * j}x{j}é" for j in range(300)) for i in range(5)] + ["=" * 900 + "a" * 400]
+    for _ in range(2):
+        assert list(own.encode_all(texts)) == [library.encode_ordinary(t) for t in texts]
+        assert max(map(len, (own.cache, own.chunks, own.merged, own._stable))) <= 50
+
+
+def test_parts_of_a_batch(monkeypatch):
+    monkeypatch.setattr(bpe, "AT_ONCE", 10)
+    texts = pa.array(["abc", None, "x" * 50, "", "y" * 10, "z"])
+    assert list(bpe._parts(texts)) == [(0, 2), (2, 1), (3, 2), (5, 1)]
+    assert list(bpe._parts(pa.array([[1], None, [1, 2], [], [1]], pa.list_(pa.int32())))) == [(0, 2), (2, 2), (4, 1)]
