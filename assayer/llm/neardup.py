@@ -5,9 +5,11 @@ in a band are candidates. The samples are also folded into a bitmap in which eac
 the bits in which two bitmaps differ tell how many samples differ, and so the similarity, without the sets.
 Candidates that the sketches let pass are confirmed on the full sets.
 
-Equal sets are one node from the start. In a band the smallest document and a random one are compared with all others, which joins
-nearly all of a group with a few comparisons for each member. Only members of a band that are still in different
-components are compared with each other after that, so a group of near copies never becomes all its pairs.
+Equal sets are one node from the start. Links are then sought in rounds. In the first, each node is compared with one other, the
+smallest that any of its bands holds. After each round the components found are contracted; in bands that still hold several of
+them, each node outside of the largest is compared with one member of it. Rounds go on as long as they link a fifth of
+the nodes they compare, so that all of them together compare at most some six pairs a node, however large a group of near copies is.
+What is then still apart in a band is compared pair by pair as far as the sketches let it pass.
 """
 
 from __future__ import annotations
@@ -30,6 +32,8 @@ SAMPLES = BANDS * ROWS
 SKETCH_BITS = 1024
 # The sketch's estimate is off by about 0.029 (one standard deviation) at 0.8; five of them are allowed for.
 SLACK = 0.145
+# A round is followed by another if it has linked one of this many compared pairs.
+WORTH = 5
 
 _random = np.random.default_rng(20_240_131)
 _BYTE = _random.integers(1, 2**63, 256, dtype=np.uint64)
@@ -182,36 +186,38 @@ def near_duplicates(
     nodes = written(nodes.select(F.col(key).alias("id"), F.col("n_shingles").alias("n"), "bands", "sketch"), "nodes")
 
     banded = nodes.select("id", F.explode("bands").alias("band"))
-    # The random member of a band is the one whose hash with the band is the smallest.
-    turn = F.xxhash64("band", "id")
-    crowded = banded.groupBy("band").agg(F.min("id").alias("centre"), F.max("id").alias("last"), F.min(turn).alias("turn"))
+    crowded = banded.groupBy("band").agg(F.min("id").alias("centre"), F.max("id").alias("last"))
     crowded = written(crowded.where("centre < last").drop("last"), "crowded")
-    members = written(banded.join(crowded, "band").withColumn("drawn", turn == F.col("turn")).drop("turn"), "members")
-
+    members = written(banded.join(crowded, "band"), "members")
     sketches = nodes.select("id", "n", "sketch")
 
-    def promising(pairs: DataFrame) -> DataFrame:
-        one, two = (sketches.select(F.col("id").alias(s), F.col("n").alias(f"n_{s}"), F.col("sketch").alias(f"sketch_{s}")) for s in "ab")
-        sizes = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
-        near = similar(F.col("sketch_a"), F.col("sketch_b")) >= similarity - SLACK
-        return pairs.join(one, "a").join(two, "b").where(sizes & near).select("a", "b")
-
-    stars = members.where("id <> centre").select(F.col("centre").alias("a"), F.col("id").alias("b"))
-    drawn = written(members.where("drawn").select("band", F.col("id").alias("other")), "drawn")
-    pairs = members.join(drawn, "band").where("id <> other").select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b"))
-    tried = written(promising(stars.union(pairs).distinct()), "tried")
-    links = confirmed(tried, docs, words, percent, key, text)
-
     # A key whose rows have different sets joins these.
     of_key = written(sets.join(equal, ["set_a", "set_b"]).select(F.col(key).alias("id"), "least").distinct(), "keys")
     joined = of_key.where("id <> least").select(F.col("id").alias("a"), F.col("least").alias("b"))
     several = of_key.groupBy("id").agg(F.min("least").alias("low"), F.max("least").alias("high")).where("low < high")
     doubled = joined.join(several.select(F.col("id").alias("a")), "a", "left_semi")
 
-    parts = components(links.union(doubled))
-    rest = _apart(members, parts, sketches, percent, similarity)
-    late = confirmed(rest.join(tried, ["a", "b"], "left_anti"), docs, words, percent, key, text)
-    whole = joined_components(parts, late)
+    def linked(pairs: DataFrame) -> DataFrame:
+        return confirmed(pairs, docs, words, percent, key, text)
+
+    nearest = members.where("id <> centre").groupBy("id").agg(F.min("centre").alias("a"))
+    tried = written(nearest.select("a", F.col("id").alias("b")), "tried")
+    links = linked(_promising(tried, sketches, percent, similarity))
+    whole = components(links.union(doubled))
+    compared, turn = tried, 0
+    while True:
+        open_ = _divided(members, whole)
+        if links.count() * WORTH < compared.count():
+            break
+        turn += 1
+        compared = written(_one_each(open_, turn).join(tried, ["a", "b"], "left_anti"), "tried")
+        links = linked(_promising(compared, sketches, percent, similarity))
+        whole = joined_components(whole, links)
+        tried = tried.union(compared)
+        if compared.isEmpty():
+            break
+    late = linked(_apart(open_, sketches, percent, similarity).join(tried, ["a", "b"], "left_anti"))
+    whole = joined_components(whole, late)
 
     reached = of_key.join(whole.withColumnRenamed("node", "least"), "least", "left")
     reached = reached.groupBy("id").agg(F.min(F.coalesce("component", "least")).alias("component_id"))
@@ -221,18 +227,43 @@ def near_duplicates(
     return found.select(key, "n_shingles", component.alias("component_id"), F.coalesce(component == F.col(key), F.lit(True)).alias("kept"))
 
 
-def _apart(members: DataFrame, parts: DataFrame, sketches: DataFrame, percent: int, similarity: float) -> DataFrame:
-    """Pairs of one band that are not in one component yet and that their sketches let pass.
+def _promising(pairs: DataFrame, sketches: DataFrame, percent: int, similarity: float) -> DataFrame:
+    """The pairs (a, b) that their sizes and sketches let pass."""
+    one, two = (sketches.select(F.col("id").alias(s), F.col("n").alias(f"n_{s}"), F.col("sketch").alias(f"sketch_{s}")) for s in "ab")
+    sizes = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
+    near = similar(F.col("sketch_a"), F.col("sketch_b")) >= similarity - SLACK
+    return pairs.join(one, "a").join(two, "b").where(sizes & near).select("a", "b")
+
 
-    In each band, those outside of its largest component are compared with all that are in another one.
-    """
+def _divided(members: DataFrame, parts: DataFrame) -> DataFrame:
+    """(band, id, part, main): members of bands that hold several components, with their own and the band's largest."""
     labels = parts.select(F.col("node").alias("id"), "component")
     placed = members.select("band", "id").join(labels, "id", "left").select("band", "id", F.coalesce("component", "id").alias("part"))
     placed = written(placed, "placed")
     sizes = placed.groupBy("band", "part").agg(F.count("*").alias("n"))
     mixed = sizes.groupBy("band").agg(F.max(F.struct("n", "part")).alias("main"), F.count("*").alias("parts")).where("parts > 1")
     mixed = written(mixed.select("band", F.col("main.part").alias("main")), "mixed")
-    open_ = written(placed.join(mixed, "band").join(sketches, "id"), "open")
+    return written(placed.join(mixed, "band"), "open")
+
+
+def _one_each(open_: DataFrame, turn: int) -> DataFrame:
+    """A pair (a, b) for each node outside of its bands' largest components, with one member of these.
+
+    The member's hash decides, the same in all bands, so that the nodes of a group mostly meet the same few members.
+    """
+    drawn = lambda c: F.xxhash64(F.lit(turn), c)
+    hubs = open_.where("part = main").groupBy("band").agg(F.min_by("id", drawn("id")).alias("hub"))
+    outer = open_.where("part <> main").select("band", "id").join(written(hubs, "hubs"), "band")
+    one = outer.groupBy("id").agg(F.min_by("hub", drawn("hub")).alias("hub"))
+    return one.select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct()
+
+
+def _apart(open_: DataFrame, sketches: DataFrame, percent: int, similarity: float) -> DataFrame:
+    """Pairs of one band that are in different components and that their sketches let pass.
+
+    In each band, those outside of its largest component are compared with all that are in another one.
+    """
+    open_ = written(open_.join(sketches, "id"), "open")
     cols = ("id", "part", "n", "sketch")
     outer = open_.where("part <> main").select("band", *[F.col(c).alias(f"{c}_a") for c in cols])
     every = open_.select("band", "main", *[F.col(c).alias(f"{c}_b") for c in cols])
