@@ -96,20 +96,3 @@ def test_sketches_tell_similarities(spark):
 
 def test_empty_table(spark):
     assert neardup.near_duplicates(spark.createDataFrame([], "doc_id bigint, text string")).count() == 0
-
-
-def test_large_group_of_near_copies(spark, monkeypatch):
-    """Few comparisons a member, although copies among themselves are similar or not quite."""
-    rng = random.Random(9)
-    base = [f"w{i}" for i in range(150)]
-    rows = [(5001, " ".join(base))]
-    for key in range(1, 5001):
-        copy = list(base)
-        for place in rng.sample(range(4, 146), rng.randint(1, 2)):
-            copy[place] = f"x{key}"
-        rows.append((key, " ".join(copy)))
-    compared, confirm = [], neardup.confirmed
-    monkeypatch.setattr(neardup, "confirmed", lambda pairs, *rest: (compared.append(pairs.count()), confirm(pairs, *rest))[1])
-    found = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(8)).collect()
-    assert len(found) == 5001 and {r.component_id for r in found} == {1}
-    assert sum(compared) < 10 * 5001
