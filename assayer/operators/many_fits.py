@@ -13,7 +13,7 @@ Fit -1 leaves no fold out. Features are numbers without NULLs.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -246,7 +246,23 @@ def decision_trees(
 
 def score_trees(rows: DataFrame, features: Sequence[str], trees: dict[int, Tree], name: str, key: str) -> DataFrame:
     """(key, classifier, label, prediction, score, fold), the score being the share of label 1 in the leaf (0 in one without rows)."""
-    whole = sorted(trees) == [ALL]
+
+    def share(tree: Tree) -> Callable[[np.ndarray], np.ndarray]:
+        counts = np.array(tree.counts, float)
+        return lambda values: (counts[:, 1] / np.maximum(1, counts.sum(1)))[tree.leaves(values)]
+
+    return _by_fold(rows, features, {f: share(tree) for f, tree in trees.items()}, name, key)
+
+
+def score_margins(rows: DataFrame, features: Sequence[str], margins: dict[int, Callable], name: str, key: str) -> DataFrame:
+    """(key, classifier, label, prediction, score, fold), the score being the logistic function of the margin."""
+    fits = {f: lambda values, m=margin: 0.5 * (1 + np.tanh(m(values) / 2)) for f, margin in margins.items()}
+    return _by_fold(rows, features, fits, name, key)
+
+
+def _by_fold(rows: DataFrame, features: Sequence[str], fits: dict[int, Callable], name: str, key: str) -> DataFrame:
+    """Rows scored by what `fits` holds for their fold, or by fit -1."""
+    whole = sorted(fits) == [ALL]
     schema = f"`{key}` {dict(rows.dtypes)[key]}, label int, p double, fold int"
 
     def batches(stream: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -254,10 +270,9 @@ def score_trees(rows: DataFrame, features: Sequence[str], trees: dict[int, Tree]
             values, _, fold = _columns(batch, features)
             fold = np.full(len(values), ALL) if whole else fold
             p = np.zeros(len(values))
-            for f, tree in trees.items():
+            for f, scores in fits.items():
                 mine = np.flatnonzero(fold == f)
-                counts = np.array(tree.counts, float)[tree.leaves(values[mine])]
-                p[mine] = counts[:, 1] / np.maximum(1, counts.sum(1))
+                p[mine] = scores(values[mine])
             yield pa.RecordBatch.from_arrays([batch.column(key), pa.array(batch.column("label")).cast(pa.int32()), pa.array(p), pa.array(fold, pa.int32())], [key, "label", "p", "fold"])
 
     fold = F.col(FOLD) if FOLD in rows.columns else F.lit(ALL)
