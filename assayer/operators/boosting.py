@@ -44,13 +44,17 @@ class Boosted:
     def binned(self, values: np.ndarray) -> np.ndarray:
         return _bins(values, self.edges)
 
-    def margin(self, binned: np.ndarray, first: int = 0) -> np.ndarray:
-        """What the trees from `first` on add to the base."""
+    def margin(self, binned: np.ndarray) -> np.ndarray:
+        """What the trees add to the base."""
         out = np.zeros(len(binned))
-        for tree, value in zip(self.trees[first:], self.values[first:]):
+        for tree, value in zip(self.trees, self.values):
             out += value[tree.leaves(binned)]
         return out
 
+    def since(self, first: int) -> Boosted:
+        """The trees from `first` on alone, which is all that a scan sends to the tasks."""
+        return Boosted(0.0, [], self.trees[first:], self.values[first:])
+
     def importances(self, features: Sequence[str]) -> list[tuple[str, float]]:
         """(feature, share of the gain of all splits), the greatest first."""
         gain = dict.fromkeys(features, 0.0)
@@ -105,12 +109,12 @@ def _binned_table(train: DataFrame, features: Sequence[str], key: str, fits: lis
 
 def _refreshed(rows: DataFrame, fits: list[Boosted], first: int) -> DataFrame:
     """The binned table with what the trees from `first` on add to the margins."""
-    width = len(fits[0].edges)
+    width, fits = len(fits[0].edges), [f.since(first) for f in fits]
 
     def batches(stream: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in stream:
             bins, label, fold, draw, margin = _arrays(batch, width, len(fits))
-            yield _record(bins, label, fold, draw, margin + np.column_stack([f.margin(bins, first) for f in fits]))
+            yield _record(bins, label, fold, draw, margin + np.column_stack([f.margin(bins) for f in fits]))
 
     return written(rows.mapInArrow(batches, _BINNED), "margins")
 
@@ -120,7 +124,7 @@ def _sums(
     columns: np.ndarray, subsample: float,
 ) -> np.ndarray:
     """(rows, gradient, Hessian) by active node, drawn column and bin: an array of shape (3, nodes, columns, bins)."""
-    width, number = len(fits[0].edges), len(fits[0].trees)
+    width, number, fits = len(fits[0].edges), len(fits[0].trees), [f.since(first) for f in fits]
     shape = (len(active), len(columns), MAX_BINS)
     cells = int(np.prod(shape))
 
@@ -137,7 +141,7 @@ def _sums(
                 mine = np.flatnonzero(drawn & (fold != left_out))
                 at = node_place[growing[i].leaves(bins[mine])]
                 mine, at = mine[at >= 0], at[at >= 0]
-                z = margin[mine, i] + fits[i].margin(bins[mine], first)
+                z = margin[mine, i] + fits[i].margin(bins[mine])
                 p = 0.5 * (1 + np.tanh(z / 2))
                 code = ((at[:, None] * len(columns) + np.arange(len(columns))) * MAX_BINS + bins[mine][:, columns]).ravel()
                 for kind, amount in enumerate((np.ones(len(mine)), np.rint((p - label[mine]) * _UNIT), np.rint(p * (1 - p) * _UNIT))):

@@ -21,7 +21,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assayer.operators import many_fits
+from assayer.operators import boosting, many_fits
 from assayer.operators.curate import stratified_folds, stratified_split
 from assayer.operators.scoring import balanced_threshold, long_metrics, metrics, threshold_sweep
 from assayer.operators.staging import fill_zero
@@ -179,8 +179,19 @@ def evaluate(fitted: dict[str, PipelineModel], test: DataFrame, key: str) -> Dat
 
 
 def _in_one_scan(model: ModelSpec) -> bool:
-    """Whether `many_fits` has this model: it fits all folds together."""
-    return model.name == "LogisticRegression" or model.name == "DecisionTree" and model.params.get("criterion", "gini") == "gini"
+    """Whether `many_fits` or `boosting` has this model: they fit all folds together."""
+    return model.name in ("LogisticRegression", "XGBoost") or model.name == "DecisionTree" and model.params.get("criterion", "gini") == "gini"
+
+
+def newton_boosting(
+    folded: DataFrame, features: Sequence[str], folds: Sequence[int], key: str, model: ModelSpec, seed: int = 42
+) -> list[boosting.Boosted]:
+    """Second-order boosted trees of all folds together, with the settings of `model` as they are commonly named."""
+    p = model.params
+    return boosting.boosted_trees(
+        folded, features, folds, key, p.get("n_estimators", 100), p.get("learning_rate", 0.3), p.get("max_depth", 6),
+        p.get("subsample", 1.0), p.get("colsample_bytree", 1.0), p.get("reg_lambda", 1.0), p.get("min_child_weight", 1.0), seed=seed,
+    )
 
 
 def cv_scored(
@@ -203,6 +214,9 @@ def cv_scored(
         if model.name == "LogisticRegression":
             weights = many_fits.logistic_regressions(folded, features, folds, params.get("C", 1.0), params.get("max_iter", 100))
             return many_fits.score_linear(folded, features, dict(zip(folds, weights)), model.name, spec.key)
+        if model.name == "XGBoost":
+            fits = newton_boosting(folded, features, folds, spec.key, model, settings.seed)
+            return boosting.score_boosted(folded, features, dict(zip(folds, fits)), model.name, spec.key)
         trees = many_fits.decision_trees(folded, features, folds, params.get("max_depth", 30), params.get("min_samples_split", 2))
         return many_fits.score_trees(folded, features, dict(zip(folds, trees)), model.name, spec.key)
 

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assayer.functions.numbers import rounded
-from assayer.operators import checks, models, reports, scoring
+from assayer.operators import boosting, checks, models, reports, scoring
+from assayer.operators.many_fits import ALL, FOLD
 from assayer.operators.curate import stratified_folds, stratified_split
 from assayer.plans import inputs, workspace
 from assayer.plans.queries_curate import _curated
@@ -306,6 +307,63 @@ def model_score_check(spark: SparkSession, folder: str) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+_SPLIT_BY = ("l_linenumber", "l_quantity", "l_discount", "l_tax")
+_FITS = (ALL, 0, 1, 2, 3, 4)
+_VALUE = "-0.3 * ({n} * yes_all / n_all - {yes}) / ({n} * yes_all / n_all * (1 - yes_all / n_all) + 1.0)"
+_QUALITY = "power({n} * yes_all / n_all - {yes}, 2) / ({n} * yes_all / n_all * (1 - yes_all / n_all) + 1.0)"
+_LEFT, _RIGHT = dict(n="n_left", yes="yes_left"), dict(n="(n_all - n_left)", yes="(yes_all - yes_left)")
+
+
+@query(
+    "boosted_first_split",
+    f"""
+WITH long AS (
+  UNPIVOT (SELECT l_orderkey % 5 AS fold, CAST(l_returnflag = 'R' AS INTEGER) AS y,
+                  {", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in _SPLIT_BY)} FROM lineitem)
+  ON {", ".join(_SPLIT_BY)} INTO NAME feature VALUE value),
+cells AS (SELECT feature, value, fold, count(*) AS n, sum(y) AS yes FROM long GROUP BY ALL),
+by_fit AS (
+  SELECT fit, feature, value, coalesce(sum(n) FILTER (fold <> fit), 0) AS n, coalesce(sum(yes) FILTER (fold <> fit), 0) AS yes
+  FROM cells, (VALUES {", ".join(f"({f})" for f in _FITS)}) f(fit) GROUP BY ALL),
+upto AS (
+  SELECT fit, feature, (value + lead(value) OVER w) / 2 AS threshold,
+         CAST(sum(n) OVER w AS DOUBLE) AS n_left, CAST(sum(yes) OVER w AS DOUBLE) AS yes_left,
+         CAST(sum(n) OVER (PARTITION BY fit, feature) AS DOUBLE) AS n_all, CAST(sum(yes) OVER (PARTITION BY fit, feature) AS DOUBLE) AS yes_all
+  FROM by_fit WINDOW w AS (PARTITION BY fit, feature ORDER BY value ROWS UNBOUNDED PRECEDING)),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY fit ORDER BY {_QUALITY.format(**_LEFT)} + {_QUALITY.format(**_RIGHT)} DESC,
+    list_position([{", ".join(f"'{c}'" for c in _SPLIT_BY)}], feature), threshold) AS rn
+  FROM upto WHERE n_left > 0 AND n_left < n_all AND threshold IS NOT NULL)
+SELECT fit, feature, {r("threshold", 6)} AS threshold, CAST(n_left AS BIGINT) AS n_left, CAST(n_all - n_left AS BIGINT) AS n_right,
+       {r(_VALUE.format(**_LEFT), 6)} AS value_left, {r(_VALUE.format(**_RIGHT), 6)} AS value_right
+FROM ranked WHERE rn = 1""",
+)
+def boosted_first_split(spark: SparkSession, folder: str) -> DataFrame:
+    """The first split of the whole of lineitem and with each fold left out, and the closed form of its leaf values."""
+    rows = inputs.table(spark, folder, "lineitem").select(
+        "l_orderkey", *[F.col(c).cast("double").alias(c) for c in _SPLIT_BY],
+        (F.col("l_returnflag") == "R").cast("int").alias("label"), (F.col("l_orderkey") % 5).cast("int").alias(FOLD),
+    )
+    fits = boosting.boosted_trees(rows, _SPLIT_BY, _FITS, "l_orderkey", n_estimators=1, max_depth=1)
+    found = []
+    for f, fit in zip(_FITS, fits):
+        tree, values = fit.trees[0], fit.values[0]
+        if tree.feature[0] >= 0:
+            sides = tree.left[0], tree.right[0]
+            threshold = float(fit.edges[tree.feature[0]][int(tree.threshold[0])])
+            found.append((f, _SPLIT_BY[tree.feature[0]], threshold, *(tree.counts[s][2] for s in sides), *(float(values[s]) for s in sides)))
+    schema = "fit int, feature string, threshold double, n_left bigint, n_right bigint, value_left double, value_right double"
+    return _round(spark.createDataFrame(found, schema), 6, "threshold", "value_left", "value_right")
+
+
+@query("train_newton_boosting")
+def train_newton_boosting(spark: SparkSession, folder: str) -> DataFrame:
+    train, key = _part(spark, folder, "train").withColumn(FOLD, F.lit(0)), inputs.SPEC.key
+    features = [c for c in inputs.SPEC.features if c in train.columns]
+    fit = models.newton_boosting(train, features, [ALL], key, _MODELS["XGBoost"], _SETTINGS.seed)[0]
+    return boosting.score_boosted(_part(spark, folder, "test"), features, {ALL: fit}, "XGBoost", key)
+
+
 def _cv_scored(spark: SparkSession, folder: str) -> DataFrame:
     return workspace.landed(
         spark, folder, "cv_scored", lambda: models.cv_scored(_part(spark, folder, "train"), inputs.SPEC, CLASSIFIERS, _SETTINGS)
