@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from assayer.operators import boosting, many_fits
 from assayer.operators.curate import stratified_folds, stratified_split
+from assayer.operators.kernels import FourierFeatures, frequencies_for, scale_gamma
 from assayer.operators.scoring import balanced_threshold, long_metrics, metrics, threshold_sweep
 from assayer.operators.staging import fill_zero
 from assayer.scratch import written
@@ -33,6 +34,7 @@ MAX_BINS = 256  # candidate splits per feature
 PARALLEL_FITS = 8  # independent fits submitted at a time
 
 _FEATURES = "_features"
+_FOURIER = "_fourier"
 
 
 # ---------------------------------------------------------------------------
@@ -105,6 +107,8 @@ _FACTORIES = {
 def build_classifier(spec: ModelSpec, rows: int, seed: int = 42) -> Estimator:
     if spec.name not in _FACTORIES:
         raise ValueError(f"no classifier is called {spec.name}; there are {sorted(_FACTORIES)}")
+    if spec.params.get("kernel", "linear") not in ("linear", "rbf"):
+        raise ValueError(f"no kernel is called {spec.params['kernel']}; there are linear and rbf")
     estimator = _FACTORIES[spec.name](spec.params, rows, seed)
     return estimator.setFeaturesCol(_FEATURES).setLabelCol("label")
 
@@ -133,8 +137,14 @@ def training_table(rows: DataFrame, name: str = "train", path: str | None = None
 def fit(train: DataFrame, spec: TableSpec, model: ModelSpec, seed: int = 42, rows: int | None = None) -> PipelineModel:
     features = [c for c in spec.features if c in train.columns]
     rows = train.count() if rows is None else rows
-    assembler = VectorAssembler(inputCols=features, outputCol=_FEATURES)
-    return Pipeline(stages=[assembler, build_classifier(model, rows, seed)]).fit(train)
+    stages, classifier = [VectorAssembler(inputCols=features, outputCol=_FEATURES)], build_classifier(model, rows, seed)
+    if model.params.get("kernel", "linear") == "rbf":
+        gamma = model.params.get("gamma", "scale")
+        gamma = scale_gamma(train, features) if gamma == "scale" else float(gamma)
+        n = frequencies_for(model.params.get("kernel_error", 0.15), model.params.get("kernel_risk", 0.01))
+        stages.append(FourierFeatures(inputCol=_FEATURES, outputCol=_FOURIER, gamma=gamma, frequencies=n, seed=seed))
+        classifier = classifier.setFeaturesCol(_FOURIER).setStandardization(False)  # the penalty is the norm in the kernel
+    return Pipeline(stages=[*stages, classifier]).fit(train)
 
 
 def score(fitted: PipelineModel, rows: DataFrame, name: str, key: str, *keep: str) -> DataFrame:

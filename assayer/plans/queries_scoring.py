@@ -243,6 +243,7 @@ _MODELS = {m.name: m for m in CLASSIFIERS} | {
     "RandomForest": ModelSpec("RandomForest", {"n_estimators": 100}),
     "SVC": ModelSpec("SVC", {"C": 1.0}),
 }
+_KERNEL_SVC = ModelSpec("SVC", {"C": 1.0, "kernel": "rbf"})
 
 
 def _part(spark: SparkSession, folder: str, part: str) -> DataFrame:
@@ -364,6 +365,21 @@ def train_newton_boosting(spark: SparkSession, folder: str) -> DataFrame:
     return boosting.score_boosted(_part(spark, folder, "test"), features, {ALL: fit}, "XGBoost", key)
 
 
+@query(
+    "train_kernel_svc",
+    with_(
+        *TO_STAGING, _PARTS,
+        select="SELECT _row_key, CAST(label AS INTEGER) AS label, true AS scored, true AS consistent FROM split WHERE _split = 'test'",
+    ),
+)
+def train_kernel_svc(spark: SparkSession, folder: str) -> DataFrame:
+    """The test rows by a support vector machine with a radial kernel, trained on the training rows."""
+    fitted = models.fit(_part(spark, folder, "train"), inputs.SPEC, _KERNEL_SVC, _SETTINGS.seed)
+    scored = models.score(fitted, _part(spark, folder, "test"), "SVC", inputs.SPEC.key)
+    known = F.col("score").isNotNull() & ~F.isnan("score")
+    return scored.select("_row_key", "label", known.alias("scored"), ((F.col("prediction") == 1) == (F.col("score") > 0)).alias("consistent"))
+
+
 def _cv_scored(spark: SparkSession, folder: str) -> DataFrame:
     return workspace.landed(
         spark, folder, "cv_scored", lambda: models.cv_scored(_part(spark, folder, "train"), inputs.SPEC, CLASSIFIERS, _SETTINGS)
