@@ -31,11 +31,21 @@ def texts(spark: SparkSession, folder: str) -> DataFrame:
     return documents
 
 
-def labelled_texts(spark: SparkSession, folder: str) -> DataFrame:
-    labels = table(spark, folder, "labels").select(
+def _labels(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "labels").select(
         F.col("doc_id").alias("_row_key"), F.col("quality").cast("bigint").alias("label")
     )
-    return texts(spark, folder).join(labels, "_row_key", "left")
+
+
+def labelled_texts(spark: SparkSession, folder: str) -> DataFrame:
+    return texts(spark, folder).join(_labels(spark, folder), "_row_key", "left")
+
+
+def labelled_documents(spark: SparkSession, folder: str) -> DataFrame:
+    """The labelled texts with every other column of their documents."""
+    documents = table(spark, folder, "documents").withColumnsRenamed({"doc_id": "_row_key", "text": "text_content", "lang": "content_type"})
+    joined = documents.join(_labels(spark, folder), "_row_key", "left")
+    return joined.select("_row_key", "text_content", "content_type", "label", "source", "n_chars")
 
 
 def with_features(df: DataFrame) -> DataFrame:

@@ -16,7 +16,8 @@ from assayer.operators import reports
 from assayer.operators.curate import make_batches
 from assayer.plans import inputs, workspace
 from assayer.plans.registry import query, r, with_
-from assayer.plans.shared_sql import LABELLED, TO_RAW, TO_STAGING
+from assayer.plans.shared_sql import LABELLED_DOCUMENTS, TO_RAW, TO_STAGING
+from assayer.spec import DOUBLE
 from assayer.scratch import new_path, written
 from assayer.sources import csv_files, files, fingerprint, ledger, tables
 from assayer.sources.audit import Run, with_audit
@@ -94,13 +95,13 @@ def csv_arrivals(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "jsonl_roundtrip",
-    with_(LABELLED, select="SELECT _row_key, md5(text_content) AS text_md5, content_type, label FROM labelled"),
+    with_(LABELLED_DOCUMENTS, select="SELECT _row_key, md5(text_content) AS text_md5, content_type, label, source, n_chars FROM labelled"),
 )
 def jsonl_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
-    rows = inputs.labelled_texts(spark, folder)
+    rows = inputs.labelled_documents(spark, folder)
     path = files.export_jsonl(rows, new_path(spark, "jsonl"))
     back = files.read_jsonl(spark, path, rows.schema)
-    return back.select("_row_key", F.md5("text_content").alias("text_md5"), "content_type", "label")
+    return back.select("_row_key", F.md5("text_content").alias("text_md5"), "content_type", "label", "source", "n_chars")
 
 
 def _sum_of(digest: str) -> str:
@@ -109,7 +110,10 @@ def _sum_of(digest: str) -> str:
     return f"CAST(sum({' + '.join(halves)}) AS VARCHAR)"
 
 
-_PUBLIC = "md5(text_content || '|' || content_type || '|' || CAST(label AS VARCHAR) || '|' || CAST(word_count AS VARCHAR))"
+_PUBLISHED = ("text_content", "content_type", "label", *inputs.SPEC.numeric)
+_PUBLIC = " || '|' || ".join(
+    f"coalesce(CAST({f'CAST({c} AS DECIMAL(18,6))' if inputs.SPEC.types.get(c) == DOUBLE else c} AS VARCHAR), '<NA>')" for c in _PUBLISHED
+)
 
 
 @query(
@@ -117,24 +121,24 @@ _PUBLIC = "md5(text_content || '|' || content_type || '|' || CAST(label AS VARCH
     with_(
         *TO_STAGING,
         select=f"""
-SELECT format, count(*) AS row_count, CAST(4 AS BIGINT) AS column_count,
-       {_sum_of(_PUBLIC)} AS fingerprint
+SELECT format, count(*) AS row_count, CAST({len(_PUBLISHED)} AS BIGINT) AS column_count,
+       {_sum_of(f"md5({_PUBLIC})")} AS fingerprint
 FROM staging, (VALUES ('parquet'), ('csv'), ('jsonl')) f(format) GROUP BY format""",
     ),
 )
 def publish_projection(spark: SparkSession, folder: str) -> DataFrame:
-    columns = ["text_content", "content_type", "label", "word_count"]
-    staging = workspace.staging(spark, folder).select("_row_key", "_row_hash", *columns)
+    """Every public column of staging in three formats, read back and fingerprinted."""
+    columns, staging = list(_PUBLISHED), workspace.staging(spark, folder)
     paths = files.publish(staging, new_path(spark, "published"))
     public = T.StructType([staging.schema[c] for c in columns])
     back = {
         "parquet": spark.read.parquet(paths["parquet"]),
-        "csv": files.read_csv(spark, paths["csv"], columns),
+        "csv": csv_files.read_arrived(spark, paths["csv"], columns).rows,
         "jsonl": files.read_jsonl(spark, paths["jsonl"], public),
     }
-    prints = [
-        fingerprint.table_fingerprint(df.select(*columns)).withColumn("format", F.lit(name)) for name, df in back.items()
-    ]
+    # Fractions in a form that every engine writes alike.
+    form = [F.col(c).cast("double").cast("decimal(18,6)").alias(c) if inputs.SPEC.types.get(c) == DOUBLE else F.col(c) for c in columns]
+    prints = [fingerprint.table_fingerprint(df.select(*form)).withColumn("format", F.lit(name)) for name, df in back.items()]
     return reduce(DataFrame.unionByName, prints)
 
 

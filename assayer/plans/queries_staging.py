@@ -13,7 +13,7 @@ from assayer.operators.curate import feature_projection as project
 from assayer.operators.ranking import medians
 from assayer.plans import inputs, workspace
 from assayer.plans.registry import query, r, with_
-from assayer.plans.shared_sql import LABELLED, RAW, SOURCE, TO_RAW, TO_STAGING, UNIQUE
+from assayer.plans.shared_sql import LABELLED, LABELLED_DOCUMENTS, RAW, SOURCE, TO_RAW, TO_STAGING, UNIQUE
 from assayer.scratch import written
 from assayer.spec import DOUBLE, LONG
 
@@ -130,17 +130,17 @@ def quarantine_null_target(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     "quarantine_json",
     with_(
-        LABELLED,
+        LABELLED_DOCUMENTS,
         select="""
 SELECT '2024-01-31' AS quarantine_date, 'null_target' AS reason, 'documents.parquet' AS source_file,
-       CAST(json_object('_row_key', _row_key, 'content_type', content_type, 'label', label,
-                        '_source_file', 'documents.parquet') AS VARCHAR) AS raw_data
+       CAST(json_object('_row_key', _row_key, 'text_content', text_content, 'content_type', content_type, 'label', label,
+                        'source', source, 'n_chars', n_chars, '_source_file', 'documents.parquet') AS VARCHAR) AS raw_data
 FROM labelled WHERE label IS NULL""",
     ),
 )
 def quarantine_json(spark: SparkSession, folder: str) -> DataFrame:
-    rows = inputs.labelled_texts(spark, folder).withColumn("_source_file", F.lit("documents.parquet"))
-    _, quarantined = ops.split_on_target(rows.drop("text_content"), "label")
+    rows = inputs.labelled_documents(spark, folder).withColumn("_source_file", F.lit("documents.parquet"))
+    _, quarantined = ops.split_on_target(rows, "label")
     log = ops.quarantine_log(quarantined, F.lit("2024-01-31"))
     return log.withColumn("quarantine_date", F.date_format("quarantine_date", "yyyy-MM-dd"))
 

@@ -11,6 +11,12 @@ labelled AS (
   FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id)
 """
 
+LABELLED_DOCUMENTS = """
+labelled AS (
+  SELECT d.doc_id AS _row_key, d.text AS text_content, d.lang AS content_type, CAST(l.quality AS BIGINT) AS label, d.source, d.n_chars
+  FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id)
+"""
+
 SOURCE = r"""
 words AS (
   SELECT *, regexp_extract_all(lower(text_content), '\S+') AS w,
