@@ -19,7 +19,7 @@ from assayer.plans.registry import query, r, with_
 from assayer.plans.shared_sql import LABELLED_DOCUMENTS, TO_RAW, TO_STAGING
 from assayer.spec import DOUBLE
 from assayer.scratch import new_path, written
-from assayer.sources import csv_files, files, fingerprint, ledger, tables
+from assayer.sources import content_ledger, csv_files, files, fingerprint, ledger, tables
 from assayer.sources.audit import Run, with_audit
 from assayer.sources.landing import Landing, ingest_batches
 from assayer.sources.landing import ingest_full as land_full
@@ -231,6 +231,24 @@ def table_fingerprint(spark: SparkSession, folder: str) -> DataFrame:
     return reduce(DataFrame.unionByName, prints)
 
 
+@query(
+    "partition_verification",
+    """
+SELECT 'o_orderpriority=' || o_orderpriority AS "partition", count(*) AS row_count,
+       CASE o_orderpriority WHEN '1-URGENT' THEN 'CHANGED' WHEN '2-HIGH' THEN 'REWRITTEN' ELSE 'SAME' END AS status
+FROM orders GROUP BY o_orderpriority""",
+)
+def partition_verification(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders by priority, of which one partition gets other prices and one is only written anew."""
+    orders, path, kept = inputs.table(spark, folder, "orders"), new_path(spark, "orders"), new_path(spark, "kept")
+    files.replace_partitions(orders.hint("rebalance", "o_orderpriority"), path, "o_orderpriority")
+    content_ledger.keep(written(content_ledger.verify(spark, path, kept), "verified"), kept)
+    dearer = F.when(F.col("o_orderpriority") == "1-URGENT", F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))
+    again = orders.where("o_orderpriority in ('1-URGENT', '2-HIGH')").withColumn("o_totalprice", dearer)
+    files.replace_partitions(again.hint("rebalance", "o_orderpriority"), path, "o_orderpriority")
+    return content_ledger.verify(spark, path, kept).select("partition", "row_count", "status")
+
+
 # ---------------------------------------------------------------------------
 # audit columns and hashes
 # ---------------------------------------------------------------------------

@@ -7,14 +7,14 @@ from pyspark.sql import functions as F
 
 from assayer.functions.numbers import rounded
 from assayer.functions.text import with_burstiness, with_readability, with_stylometrics
-from assayer.operators import reports
+from assayer.operators import reports, sketches
 from assayer.operators import staging as ops
 from assayer.operators.curate import feature_projection as project
 from assayer.operators.ranking import medians
 from assayer.plans import inputs, workspace
 from assayer.plans.registry import query, r, with_
 from assayer.plans.shared_sql import LABELLED, LABELLED_DOCUMENTS, RAW, SOURCE, TO_RAW, TO_STAGING, UNIQUE
-from assayer.scratch import written
+from assayer.scratch import new_path, written
 from assayer.spec import DOUBLE, LONG
 
 _COUNTS = "word_count, character_count, sentence_count"
@@ -181,6 +181,26 @@ def column_medians(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumn("median", rounded(F.col("median"), 6))
 
 
+@query(
+    "sketched_medians",
+    "\nUNION ALL\n".join(
+        f"SELECT '{c}' AS column_name, count(DISTINCT l_orderkey % 5) AS batches, count({c}) AS n, true AS within FROM lineitem" for c in _MEASURES
+    ),
+)
+def sketched_medians(spark: SparkSession, folder: str) -> DataFrame:
+    """Medians of lineitem from states landed in two increments, and whether their exact ranks are within the bound."""
+    rows, path = inputs.table(spark, folder, "lineitem").withColumn("_batch", F.col("l_orderkey") % 5), new_path(spark, "states")
+    for increment in (F.col("_batch") < 3, F.col("_batch") >= 3):
+        states = sketches.keep_states(sketches.quantile_states(rows.where(increment), _MEASURES, "_batch"), path)
+    found = written(sketches.sketched_medians(states), "sketched")
+    middle = {x.column_name: x["median"] for x in found.collect()}
+    ranks = [F.struct(F.lit(c).alias("column_name"), F.count_if(F.col(c) < m).alias("below"), F.count_if(F.col(c) <= m).alias("upto")) for c, m in middle.items()]
+    counted = rows.agg(F.array(*ranks).alias("r")).select(F.inline("r"))
+    error = sketches.rank_error()
+    within = (F.col("below") <= (0.5 + error) * F.col("n")) & (F.col("upto") >= (0.5 - error) * F.col("n"))
+    return found.join(counted, "column_name").select("column_name", "batches", "n", within.alias("within"))
+
+
 _ROUNDED = ", ".join(f"{r(c, 6)} AS {c}" if inputs.SPEC.types[c] == DOUBLE else c for c in inputs.SPEC.numeric)
 
 
