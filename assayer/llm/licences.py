@@ -4,6 +4,9 @@ A text is split into sentences, a sentence is normalised, and a known one is rep
 identifier. Rules are ordered: each is a sequence of identifiers, and the rules tried first are the longer and
 more specific ones; what a rule has matched is not matched again by a later rule. All of it is DataFrame
 operations without a shuffle; sentences and rules are parameters of a fixed size.
+
+The table has the notices and warranty paragraphs of the common licences in their usual wording; short notices, Creative Commons
+licences and SPDX lines are built from names. Whole licence bodies beyond the sentences below are not in it.
 """
 
 from __future__ import annotations
@@ -41,8 +44,83 @@ SENTENCES = {
     "cc-by-notice": "Licensed under CC BY 4.0.",
     "cc-by-full": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
     "rights": "All rights reserved.",
+    "apache-conditions": "WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.",
+    "apache-language": "See the License for the specific language governing permissions and limitations under the License.",
+    "mit-warranty": 'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT.',
+    "mit-liability": "IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
+    "mit0-grant": 'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so.',
+    "bsd-warranty": 'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED.',
+    "bsd-liability": "IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.",
+    "isc-grant": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+    "isc-warranty": 'THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS.',
+    "isc-liability": "IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.",
+    "0bsd-grant": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted.",
+    "gpl2-later": "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
+    "gpl2-only": "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License version 2 as published by the Free Software Foundation.",
+    "gpl-received": "You should have received a copy of the GNU General Public License along with this program.",
+    "lgpl21-later": "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.",
+    "lgpl-warranty": "This library is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.",
+    "lgpl-details": "See the GNU Lesser General Public License for more details.",
+    "lgpl3-later": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "agpl3-later": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "agpl-details": "See the GNU Affero General Public License for more details.",
+    "mpl-notice": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+    "mpl-copy": "If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
+    "unlicense-public": "This is free and unencumbered software released into the public domain.",
+    "unlicense-grant": "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.",
+    "cc0-waiver": "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.",
+    "cc0-title": "CC0 1.0 Universal",
+    "boost-notice": "Distributed under the Boost Software License, Version 1.0.",
+    "zlib-warranty": "This software is provided 'as-is', without any express or implied warranty.",
+    "zlib-grant": "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:",
 }
 
+# Names in short notices, Creative Commons licences, and SPDX identifiers.
+NAMES = {
+    "BSD-2-Clause": "BSD 2-Clause License", "BSD-3-Clause": "BSD 3-Clause License", "BSL-1.0": "Boost Software License 1.0",
+    "EPL-2.0": "Eclipse Public License 2.0", "GPL-2.0-only": "GNU General Public License v2.0", "GPL-3.0-only": "GNU General Public License v3.0",
+    "ISC": "ISC License", "MIT": "MIT License", "MPL-2.0": "Mozilla Public License 2.0", "Unlicense": "Unlicense", "Zlib": "zlib License",
+}
+CREATIVE_COMMONS = {
+    "BY": "Attribution", "BY-SA": "Attribution-ShareAlike", "BY-ND": "Attribution-NoDerivatives", "BY-NC": "Attribution-NonCommercial",
+    "BY-NC-SA": "Attribution-NonCommercial-ShareAlike", "BY-NC-ND": "Attribution-NonCommercial-NoDerivatives",
+}
+CC_VERSIONS = {"3.0": "Unported", "4.0": "International"}
+SPDX = (
+    "0BSD AFL-3.0 AGPL-3.0-only AGPL-3.0-or-later Apache-1.1 Apache-2.0 Artistic-2.0 BSD-2-Clause BSD-3-Clause BSD-4-Clause BSL-1.0 BUSL-1.1 "
+    "CC-BY-3.0 CC-BY-4.0 CC-BY-NC-4.0 CC-BY-NC-ND-4.0 CC-BY-NC-SA-4.0 CC-BY-ND-4.0 CC-BY-SA-3.0 CC-BY-SA-4.0 CC0-1.0 CDDL-1.0 CDDL-1.1 "
+    "ECL-2.0 EPL-1.0 EPL-2.0 EUPL-1.2 GFDL-1.3-or-later GPL-2.0-only GPL-2.0-or-later GPL-3.0-only GPL-3.0-or-later ISC LGPL-2.1-only "
+    "LGPL-2.1-or-later LGPL-3.0-only LGPL-3.0-or-later MIT MIT-0 MPL-1.1 MPL-2.0 MS-PL MS-RL NCSA ODbL-1.0 OFL-1.1 OSL-3.0 PostgreSQL "
+    "PSF-2.0 Unlicense UPL-1.0 W3C WTFPL Zlib"
+).split()
+
+
+def _built() -> dict[str, tuple[str, str]]:
+    """The sentences that follow from names alone: identifier to (licence, sentence)."""
+    built = {}
+    for licence, name in NAMES.items():
+        for verb in ("Licensed", "Released", "Distributed"):
+            built[f"{verb.lower()}-{licence}"] = licence, f"{verb} under the {name}."
+    for code, name in CREATIVE_COMMONS.items():
+        for version, place in CC_VERSIONS.items():
+            licence = f"CC-{code}-{version}"
+            built[f"short-{licence}"] = licence, f"Licensed under CC {code} {version}."
+            built[f"full-{licence}"] = licence, f"This work is licensed under a Creative Commons {name} {version} {place} License."
+    for licence in SPDX:
+        built[f"spdx-{licence}"] = licence, f"SPDX-License-Identifier: {licence}"
+    return built
+
+
+def plain(sentence: str) -> str:
+    """What is left of a sentence: ASCII letters and digits in lower case, with single spaces between."""
+    out = "".join(c if c.isascii() and c.isalnum() else " " for c in sentence)
+    return " ".join(out.lower().split())
+
+
+_SPELLED = {plain(text) for text in SENTENCES.values()}
+_BUILT = {name: pair for name, pair in _built().items() if plain(pair[1]) not in _SPELLED}
+SENTENCES |= {name: text for name, (_, text) in _BUILT.items()}
+
 
 @dataclass(frozen=True)
 class LicenceRule:
@@ -52,8 +130,24 @@ class LicenceRule:
 
 # In the order in which they are tried.
 RULES = (
+    LicenceRule("GPL-3.0-or-later", ("gpl-free", "gpl-warranty", "gpl-details", "gpl-received")),
     LicenceRule("GPL-3.0-or-later", ("gpl-free", "gpl-warranty", "gpl-details")),
-    LicenceRule("GPL-3.0-or-later", ("gpl-free",)),
+    LicenceRule("GPL-2.0-or-later", ("gpl2-later", "gpl-warranty", "gpl-details", "gpl-received")),
+    LicenceRule("GPL-2.0-or-later", ("gpl2-later", "gpl-warranty", "gpl-details")),
+    LicenceRule("GPL-2.0-only", ("gpl2-only", "gpl-warranty", "gpl-details")),
+    LicenceRule("LGPL-2.1-or-later", ("lgpl21-later", "lgpl-warranty", "lgpl-details")),
+    LicenceRule("LGPL-3.0-or-later", ("lgpl3-later", "gpl-warranty", "lgpl-details")),
+    LicenceRule("AGPL-3.0-or-later", ("agpl3-later", "gpl-warranty", "agpl-details")),
+    LicenceRule("Apache-2.0", ("apache-notice-the", "apache-comply", "apache-copy", "apache-as-is", "apache-conditions", "apache-language")),
+    LicenceRule("BSD-3-Clause", ("bsd-grant", "bsd-source", "bsd-binary", "bsd-endorse", "bsd-warranty", "bsd-liability")),
+    LicenceRule("BSD-2-Clause", ("bsd-grant", "bsd-source", "bsd-binary", "bsd-warranty", "bsd-liability")),
+    LicenceRule("MIT", ("mit-grant", "mit-condition", "mit-warranty", "mit-liability")),
+    LicenceRule("MIT-0", ("mit0-grant", "mit-warranty", "mit-liability")),
+    LicenceRule("ISC", ("isc-grant", "isc-warranty", "isc-liability")),
+    LicenceRule("0BSD", ("0bsd-grant", "isc-warranty", "isc-liability")),
+    LicenceRule("MPL-2.0", ("mpl-notice", "mpl-copy")),
+    LicenceRule("Unlicense", ("unlicense-public", "unlicense-grant")),
+    LicenceRule("Zlib", ("zlib-warranty", "zlib-grant")),
     LicenceRule("Apache-2.0", ("apache-notice-the", "apache-comply", "apache-copy", "apache-as-is")),
     LicenceRule("Apache-2.0", ("apache-notice-the", "apache-comply")),
     LicenceRule("BSD-3-Clause", ("bsd-grant", "bsd-source", "bsd-binary", "bsd-endorse")),
@@ -72,19 +166,29 @@ RULES = (
     LicenceRule("CC-BY-NC-4.0", ("cc-by-nc-full",)),
     LicenceRule("CC-BY-4.0", ("cc-by-notice",)),
     LicenceRule("CC-BY-4.0", ("cc-by-full",)),
+    LicenceRule("GPL-3.0-or-later", ("gpl-free",)),
     LicenceRule("proprietary", ("rights",)),
+    LicenceRule("GPL-2.0-or-later", ("gpl2-later",)),
+    LicenceRule("GPL-2.0-only", ("gpl2-only",)),
+    LicenceRule("LGPL-2.1-or-later", ("lgpl21-later",)),
+    LicenceRule("LGPL-3.0-or-later", ("lgpl3-later",)),
+    LicenceRule("AGPL-3.0-or-later", ("agpl3-later",)),
+    LicenceRule("MIT-0", ("mit0-grant",)),
+    LicenceRule("ISC", ("isc-grant",)),
+    LicenceRule("0BSD", ("0bsd-grant",)),
+    LicenceRule("MPL-2.0", ("mpl-notice",)),
+    LicenceRule("Unlicense", ("unlicense-public",)),
+    LicenceRule("CC0-1.0", ("cc0-waiver",)),
+    LicenceRule("CC0-1.0", ("cc0-title",)),
+    LicenceRule("BSL-1.0", ("boost-notice",)),
+    LicenceRule("Zlib", ("zlib-grant",)),
+    *(LicenceRule(licence, (name,)) for name, (licence, _) in _BUILT.items()),
 )
 
 # A sentence ends with its line, or after . ! ? : ; , if space follows.
 _ENDS = r"[\n\r]+|(?<=[.!?:;,])[\x20\t]+"
 
 
-def plain(sentence: str) -> str:
-    """What is left of a sentence: ASCII letters and digits in lower case, with single spaces between."""
-    out = "".join(c if c.isascii() and c.isalnum() else " " for c in sentence)
-    return " ".join(out.lower().split())
-
-
 def _normal(part: Column) -> Column:
     return F.btrim(F.regexp_replace(F.lower(part), "[^a-z0-9]+", " "))
 
@@ -137,18 +241,30 @@ def identified(text: Column, sentences: dict[str, str]) -> Column:
 
 
 def matched(ids: Column, rules: Sequence[LicenceRule]) -> tuple[Column, Column]:
-    """The rules' licences in rule order, and the identifiers that no rule has used.
+    """The licences of the rules that match, and the identifiers that no rule has used.
 
     The sequence is held as text, `,a,,b,`; a rule removes its occurrences, leaving a mark, so that
-    sentences that were apart do not become neighbours.
+    sentences that were apart do not become neighbours. The rules of one sentence at the end of the list cannot take anything
+    from each other, so these are one lookup.
     """
+    ordered = list(rules)
+    single: dict[str, str] = {}
+    while ordered and len(ordered[-1].sentences) == 1:
+        last = ordered.pop()
+        single[last.sentences[0]] = last.licence
     rest = F.concat(F.lit(","), F.array_join(ids, ",,"), F.lit(","))
     used = []
-    for rule in rules:
+    for rule in ordered:
         sequence = F.lit("".join(f",{name}," for name in rule.sentences))
-        used.append((rule.licence, rest, sequence))
+        used.append(F.when(F.contains(rest, sequence), F.lit(rule.licence)))
         rest = F.replace(rest, sequence, F.lit("/"))
-    return F.array(*[F.when(F.contains(before, s), F.lit(licence)) for licence, before, s in used]), rest
+    none = F.array().cast("array<string>")
+    left = F.filter(F.split(F.translate(rest, "/", ","), ","), lambda x: x != "")
+    if not single:
+        return F.array(*used) if used else none, left
+    table = F.create_map(*[F.lit(x) for item in single.items() for x in item])
+    looked_up = F.transform(left, lambda x: table[x])
+    return F.concat(F.array(*used) if used else none, looked_up), F.filter(left, lambda x: table[x].isNull())
 
 
 def scan(docs: DataFrame, keep: Sequence[str] = ("doc_id",), text: str = "text", sentences: dict[str, str] = SENTENCES, rules: Sequence[LicenceRule] = RULES) -> DataFrame:
@@ -161,9 +277,9 @@ def scan(docs: DataFrame, keep: Sequence[str] = ("doc_id",), text: str = "text",
     if missing := named - set(sentences):
         raise ValueError(f"rules name unknown sentences: {sorted(missing)}")
     found = docs.select(*keep, identified(F.col(text), sentences).alias("sentences"))
-    licences, rest = matched(F.col("sentences"), rules)
+    licences, unused = matched(F.col("sentences"), rules)
     none = F.array().cast("array<string>")
     some = F.size("sentences") > 0
     every = F.when(some, F.array_sort(F.array_distinct(F.filter(licences, lambda x: x.isNotNull())))).otherwise(none)
-    left = F.when(some, F.filter(F.split(F.translate(rest, "/", ","), ","), lambda x: x != "")).otherwise(none)
+    left = F.when(some, unused).otherwise(none)
     return found.select(*keep, "sentences", every.alias("licences"), left.alias("unmatched"))
