@@ -1,8 +1,8 @@
 """Second-order boosted trees, all folds grown together.
 
 A round adds a tree to each fit. A task computes, from each batch of rows, how many rows, which gradient and which Hessian of the
-logistic loss fall into each bin of each feature of each open node of all fits; Spark adds the tasks' sums, and the driver, which
-sees nothing but sums, splits the nodes. So a level of the trees of all folds costs one scan.
+logistic loss fall into each bin of each feature of each open node of all fits; Spark adds the tasks' sums and takes the best split of
+each node, and the driver, which gets one row a node, splits it. So a level of the trees of all folds costs one scan.
 
 * Rows are binned once (a byte a feature) and written with the margin of every fit; the margins are written anew every `REFRESH` trees,
   so that a scan never walks more trees than these.
@@ -26,9 +26,10 @@ from assayer.operators.many_fits import ALL, FOLD, MAX_BINS, Tree, bin_edges, sc
 from assayer.scratch import written
 
 REFRESH = 10  # trees between two writings of the margins
-CELLS = 1_000_000  # sums of a kind that a task and the driver hold for one scan; more nodes take more scans
+CELLS = 1_000_000  # sums of a kind that a task holds for one scan; more nodes take more scans
 _UNIT = 2.0**32
 _LEAST_GAIN = 1e-9
+_SUMMED = ("n", "g_high", "g_low", "h_high", "h_low")  # a sum is its upper part and its lower 32 bits
 
 
 @dataclass
@@ -122,8 +123,8 @@ def _refreshed(rows: DataFrame, fits: list[Boosted], first: int) -> DataFrame:
 def _sums(
     rows: DataFrame, fits: list[Boosted], folds: Sequence[int], first: int, growing: list[Tree], active: list[tuple[int, int]],
     columns: np.ndarray, subsample: float,
-) -> np.ndarray:
-    """(rows, gradient, Hessian) by active node, drawn column and bin: an array of shape (3, nodes, columns, bins)."""
+) -> DataFrame:
+    """(list, bin, n, g_high, g_low, h_high, h_low): rows, gradient and Hessian by bin, as each task has them. A list is a drawn column of an active node."""
     width, number, fits = len(fits[0].edges), len(fits[0].trees), [f.since(first) for f in fits]
     shape = (len(active), len(columns), MAX_BINS)
     cells = int(np.prod(shape))
@@ -148,36 +149,41 @@ def _sums(
                     # Exact: a batch of 10,000 rows stays far below 2^53.
                     sums[kind] += np.bincount(code, np.repeat(amount, len(columns)), cells).astype(np.int64)
         found = np.flatnonzero(sums[0])
-        parts = [sums[0, found], *(half for kind in (1, 2) for half in (sums[kind, found] >> 32, sums[kind, found] & 0xFFFFFFFF))]
-        yield pa.RecordBatch.from_arrays([pa.array(found), *map(pa.array, parts)], names)
-
-    names = ["code", "n", "g_high", "g_low", "h_high", "h_low"]
-    partial = rows.mapInArrow(batches, ", ".join(f"{c} bigint" for c in names))
-    whole = partial.groupBy("code").agg(*[F.sum(c).alias(c) for c in names[1:]]).toArrow()  # cells of the nodes, not rows
-    code, n, *halves = (whole.column(c).to_numpy().astype(np.int64) for c in names)
-    out = np.zeros((3, cells))
-    out[0, code] = n
-    for kind in (1, 2):
-        out[kind, code] = halves[2 * kind - 2] + halves[2 * kind - 1] / _UNIT
-    return out.reshape(3, *shape)
-
-
-def _best_split(sums: np.ndarray, penalty: float, min_child: float, first_order: bool) -> tuple[tuple, tuple | None]:
-    """((gradient, Hessian, rows) of a node, (gain, column, bin, the same of its left child) or None)."""
-    left = np.cumsum(sums, axis=2)
-    total = left[:, 0, -1]
-    right = total[:, None, None] - left
-
-    def quality(part: np.ndarray) -> np.ndarray:
-        weight = (part[0] if first_order else part[2]) + penalty
-        return np.divide(part[1] ** 2, weight, out=np.zeros_like(weight), where=weight > 0)
-
-    allowed = (left[0] > 0) & (right[0] > 0) & (left[2] >= min_child) & (right[2] >= min_child)
-    gain = np.where(allowed, quality(left) + quality(right) - quality(total[:, None, None]), -np.inf)
-    at = np.unravel_index(np.argmax(gain), gain.shape)  # the first column and bin of equals
-    order = lambda s: (float(s[1]), float(s[2]), int(s[0]))
-    found = (float(gain[at]), int(at[0]), int(at[1]), order(left[(slice(None), *at)])) if gain[at] > _LEAST_GAIN else None
-    return order(total), found
+        parts = [found // MAX_BINS, found % MAX_BINS, sums[0, found], *(half for kind in (1, 2) for half in (sums[kind, found] >> 32, sums[kind, found] & 0xFFFFFFFF))]
+        yield pa.RecordBatch.from_arrays(list(map(pa.array, parts)), names)
+
+    names = ["list", "bin", *_SUMMED]
+    return rows.mapInArrow(batches, ", ".join(f"{c} bigint" for c in names))
+
+
+def _quality(side: str, weight: str) -> str:
+    return f"if({weight} > 0, {side}_g * {side}_g / {weight}, 0D)"
+
+
+def _best_splits(sums: DataFrame, width: int, penalty: float, min_child: float, first_order: bool) -> dict[int, tuple[tuple, tuple | None]]:
+    """By place of an active node with rows: ((gradient, Hessian, rows), (gain, column, bin, the same of its left child) or None).
+
+    The driver gets a row for each node, however many columns and bins it has. Text, as columns built one by one take longer than the job.
+    """
+    # One shuffle serves the sums and the windows, which hold the bins of a list each.
+    cells = sums.repartition("list").groupBy("list", "bin").agg(*[F.expr(f"sum({c}) as {c}") for c in _SUMMED])
+    windows = (("l", "partition by list order by bin rows unbounded preceding"), ("t", "partition by list"))
+    upto = cells.selectExpr("list", "bin", *[f"sum({c}) over ({w}) as {s}_{c}" for s, w in windows for c in _SUMMED])
+    real = [f"cast({s}_{k}_high as double) + cast({s}_{k}_low as double) / {_UNIT!r}D as {s}_{k}" for s in "lt" for k in "gh"]
+    sides = upto.selectExpr("list", "bin", "l_n", "t_n", *real).selectExpr("*", *[f"t_{c} - l_{c} as r_{c}" for c in "ngh"])
+    gain = [_quality(s, f"({s}_{'n' if first_order else 'h'} + {float(penalty)!r}D)") for s in "lrt"]
+    allowed = f"l_n > 0 and r_n > 0 and l_h >= {float(min_child)!r}D and r_h >= {float(min_child)!r}D"
+    # The first column and bin of equals.
+    split = f"struct({gain[0]} + {gain[1]} - {gain[2]} as gain, -(list % {width}) as column, -bin as bin, l_g, l_h, l_n)"
+    best = sides.groupBy(F.expr(f"list div {width} as at")).agg(
+        F.expr("max(struct(t_g, t_h, t_n)) as total"), F.expr(f"max(if({allowed}, {split}, null)) as best")
+    )
+    found = {}
+    for row in best.collect():  # a row for each active node
+        m = row.best
+        split = (m.gain, -m["column"], -m.bin, (m.l_g, m.l_h, m.l_n)) if m is not None and m.gain > _LEAST_GAIN else None
+        found[row["at"]] = tuple(row.total), split
+    return found
 
 
 def boosted_trees(
@@ -214,8 +220,9 @@ def boosted_trees(
             for start in range(0, len(opened), at_once):
                 active = opened[start : start + at_once]
                 sums = _sums(rows, fits, folds, first, growing, active, columns, subsample)
+                splits = _best_splits(sums, len(columns), penalty, min_child, first_order)
                 for at, (i, node) in enumerate(active):
-                    counts, split = _best_split(sums[:, at], penalty, min_child, first_order)
+                    counts, split = splits.get(at, ((0.0, 0.0, 0), None))
                     tree = growing[i]
                     if depth == 0:
                         tree.counts[node] = counts

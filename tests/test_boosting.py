@@ -106,3 +106,27 @@ def test_one_label_and_no_rows(spark):
     fit = boosting.boosted_trees(none, FEATURES, [ALL, 0], "k", 2)[1]
     assert fit.base == 0 and [v.tolist() for v in fit.values] == [[0.0], [0.0]]
     assert boosting.score_boosted(none, FEATURES, {ALL: fit}, "m", "k").collect() == []
+
+
+def test_the_driver_gets_a_row_for_each_node(spark):
+    x, y, fold = make(16, 3000)
+    rows = table(spark, x, y, fold)
+    edges = boosting.bin_edges(rows, FEATURES)
+    fits = [boosting.Boosted(0.0, edges) for _ in range(2)]
+    binned = boosting._binned_table(rows, FEATURES, "k", fits, 1)
+    trees = [boosting.Tree() for _ in fits]
+    for tree in trees:
+        tree.add((0.0, 0.0, 0), 0)
+    sums = boosting._sums(binned, fits, [ALL, 0], 0, trees, [(0, 0), (1, 0)], np.arange(3), 1.0)
+    assert sums.count() > 100  # cells, which stay in Spark
+    found = boosting._best_splits(sums, 3, 1.0, 1.0, False)
+    assert sorted(found) == [0, 1] and found[0][0][2] == 3000 and found[1][0][2] == (fold != 0).sum()
+    for at, rows_of in ((0, fold >= 0), (1, fold != 0)):
+        g, cells = 0.5 - y[rows_of], boosting._bins(x, edges)[rows_of]
+        gains = {
+            (j, b): sum(g[s].sum() ** 2 / (s.sum() / 4 + 1) for s in (cells[:, j] <= b, cells[:, j] > b)) - g.sum() ** 2 / (len(g) / 4 + 1)
+            for j in range(3) for b in range(len(edges[j]))
+        }
+        gain, column, cut, left = found[at][1]
+        assert gain == pytest.approx(max(gains.values())) and gains[column, cut] == pytest.approx(gain)
+        assert left[2] == (cells[:, column] <= cut).sum()
