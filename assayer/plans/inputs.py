@@ -54,9 +54,17 @@ def with_features(df: DataFrame) -> DataFrame:
     return with_burstiness(with_readability(with_stylometrics(df), english=english))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """The same rows dealt out evenly by their contents.
+
+    A Parquet row group is read by one task, and a file may be a single one; a join with a small table leaves it so.
+    """
+    return df.repartition(F.xxhash64(*df.columns))
+
+
 def source(spark: SparkSession, folder: str) -> DataFrame:
     """What the original pipeline receives as its source file."""
-    return with_features(labelled_texts(spark, folder))
+    return with_features(spread(labelled_texts(spark, folder)))
 
 
 def raw(spark: SparkSession, folder: str) -> DataFrame:
