@@ -46,3 +46,18 @@ def test_a_table_without_partitions_and_one_without_rows(spark, tmp_path):
     assert states(spark, table, kept) == {"": ("CHANGED", 4)}
     spark.range(0).write.mode("overwrite").parquet(table)
     assert states(spark, table, kept) == {"": ("CHANGED", 0)}
+
+
+def test_paths_are_taken_apart_by_file(spark, tmp_path):
+    table = str(tmp_path / "t")
+    rows = spark.range(60).select(F.when(F.col("id") % 7 > 0, F.col("id") % 5).alias("id"), F.when(F.col("id") < 30, ODD).otherwise("1").alias("p"))
+    replace_partitions(rows.repartition(3), table, "p")
+    folders = sorted(p.name for p in (tmp_path / "t").iterdir() if "=" in p.name)
+    found = ledger.contents(spark, table, [r.partition for r in ledger.stamps(spark, table).collect()])
+    by_row = spark.read.option("basePath", table).parquet(table)
+    expected = by_row.groupBy("p").agg(F.sum(ledger.content_number(by_row.columns)).cast("string").alias("f")).collect()
+    assert len(folders) == 2 and sorted(r.row_count for r in found.collect()) == [30, 30]
+    assert sorted(r.fingerprint for r in found.collect()) == sorted(r.f for r in expected)
+    # The first aggregate is by file, so no row's path is taken apart.
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.rindex("regexp_extract") < plan.rindex("Aggregate [")
