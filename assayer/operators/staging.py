@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from assayer.functions.numbers import nan_to_null
 from assayer.functions.typed import present, to_double, to_long, whole
 from assayer.operators.ranking import medians
+from assayer.scratch import written
 from assayer.spec import DOUBLE, LONG
 
 
@@ -65,11 +66,17 @@ def cast_failures(df: DataFrame, types: dict[str, str]) -> DataFrame:
 def keep_first(df: DataFrame, key: str, order: str | Sequence[str]) -> DataFrame:
     """The first row of each `key` by `order`, which must be unique within the key.
 
-    A hot key is reduced to one row per task before the shuffle.
+    Only rows whose key occurs more than once are shuffled whole, and a hot key is reduced to one row per task before;
+    all others stay where they are. `df` should be a written table: it is read to find the repeated keys and for the rows.
     """
     orders = [order] if isinstance(order, str) else list(order)
+    coded = df.withColumn("_key_code", F.xxhash64(key))  # of 8 bytes; two keys that share one are told apart below
+    counted = coded.groupBy("_key_code").agg(F.count(F.lit(1)).alias("_n"))
+    repeated = written(counted.where("_n > 1").select("_key_code"), "repeated-keys")
+    alone = coded.join(repeated, "_key_code", "left_anti").select(*df.columns)
+    several = coded.join(repeated, "_key_code", "left_semi").select(*df.columns)
     first = F.min_by(F.struct(*df.columns), F.struct(*orders)).alias("_row")
-    return df.groupBy(F.col(key).alias("_key")).agg(first).select("_row.*")
+    return alone.union(several.groupBy(F.col(key).alias("_key")).agg(first).select("_row.*"))
 
 
 def keep_distinct(df: DataFrame, order: str) -> DataFrame:

@@ -37,12 +37,8 @@ def _labels(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def labelled_texts(spark: SparkSession, folder: str) -> DataFrame:
-    return texts(spark, folder).join(_labels(spark, folder), "_row_key", "left")
-
-
 def labelled_documents(spark: SparkSession, folder: str) -> DataFrame:
-    """The labelled texts with every other column of their documents."""
+    """The texts with their labels and every other column of their documents."""
     documents = table(spark, folder, "documents").withColumnsRenamed({"doc_id": "_row_key", "text": "text_content", "lang": "content_type"})
     joined = documents.join(_labels(spark, folder), "_row_key", "left")
     return joined.select("_row_key", "text_content", "content_type", "label", "source", "n_chars")
@@ -54,17 +50,24 @@ def with_features(df: DataFrame) -> DataFrame:
     return with_burstiness(with_readability(with_stylometrics(df), english=english))
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """The same rows dealt out evenly by their contents.
+PARTS = 8  # tasks among which the rows of one key are dealt out
+
+
+def dealt_with_labels(documents: DataFrame, labels: DataFrame) -> DataFrame:
+    """`documents` with their labels, dealt out evenly by the one shuffle that also brings the labels to them.
 
-    A Parquet row group is read by one task, and a file may be a single one; a join with a small table leaves it so.
+    A Parquet row group is read by one task, and a file may be a single one; a join with a small table leaves it so. Texts
+    cross the network once and are not sorted: the labels, narrow, are copied to each part of a key and looked up by hash.
     """
-    return df.repartition(F.xxhash64(*df.columns))
+    part = F.pmod(F.xxhash64(*documents.columns), F.lit(PARTS)).cast("int")
+    dealt = documents.withColumn("_part", part).repartition("_row_key", "_part")
+    copied = labels.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
+    return dealt.join(copied.hint("shuffle_hash"), ["_row_key", "_part"], "left").drop("_part")
 
 
 def source(spark: SparkSession, folder: str) -> DataFrame:
     """What the original pipeline receives as its source file."""
-    return with_features(spread(labelled_texts(spark, folder)))
+    return with_features(dealt_with_labels(texts(spark, folder), _labels(spark, folder)))
 
 
 def raw(spark: SparkSession, folder: str) -> DataFrame:

@@ -34,6 +34,22 @@ def test_a_hot_key_survives_once(spark, partitions):
     assert kept.where("_row_hash = 'hot'").first().ord == 0
 
 
+def test_only_repeated_rows_are_shuffled_whole(spark, rows, tmp_path):
+    df = spark.range(400).select(
+        F.col("id").alias("ord"), F.when(F.col("id") % 9 > 0, F.when(F.col("id") < 40, F.col("id") % 5).otherwise(F.col("id"))).cast("string").alias("_row_hash"),
+        F.repeat(F.lit("x"), 1000).alias("text"),
+    )
+    df.repartition(3).write.parquet(f"{tmp_path}/rows")
+    kept = staging.deduplicate(spark.read.parquet(f"{tmp_path}/rows"), "ord")
+    first = {}
+    for r in df.collect():
+        first.setdefault(r._row_hash, (r.ord, r._row_hash, r.text))
+    assert rows(kept) == sorted(first.values(), key=lambda t: tuple((v is None, str(v)) for v in t))
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    alone = plan.split("Aggregate")[0]
+    assert "LeftAnti" in alone and "text" in alone  # the others do not pass the aggregate
+
+
 def test_copies_of_two_batches_are_kept_once(spark):
     df = spark.createDataFrame([(1, "full", "h"), (1, "batch_01", "h")], "ord int, _batch_id string, _row_hash string")
     assert [r._batch_id for r in staging.deduplicate(df, ["ord", "_batch_id"]).collect()] == ["batch_01"]
