@@ -61,19 +61,30 @@ class Encoder:
         """Fills the caches with what occurs in many texts, merging all new pieces together."""
         for cache in (self.cache, self.chunks, self.merged, self._stable):
             _room(cache)
-        known, new = self.chunks.keys(), set()
+        seen: set[str] = set()
         for text in texts:
-            new.update(c for c in text.split(" ")[1:] if c not in known)
-        found = {c: self.pieces(" " + c) for c in new if 0 < len(c) <= CACHED_BYTES and not (c[0].isspace() or c[-1].isspace())}
-        pieces = [p for p in set(chain.from_iterable(found.values())) if p not in self.cache]
-        data = [p.encode() for p in pieces]
-        short = [i for i, piece in enumerate(data) if len(piece) <= LEAF]
-        for i, ids in zip(short, self.merge_all([data[i] for i in short])):
-            _room(self.cache)
-            self.cache[pieces[i]] = ids
+            seen.update(text.split(" ")[1:])
+        new = seen.difference(self.chunks.keys())
+        if len(self.chunks) + len(new) > CACHED:  # emptied before the texts and not among them, or they would miss what they have filled in
+            self.chunks.clear()
+            new = seen
+        if len(self.cache) + len(new) > CACHED:
+            self.cache.clear()
+        found = {c: self.pieces(" " + c) for c in new if c and len(c) <= CACHED_BYTES and c.strip() == c}
+        pieces = {p: p.encode() for p in set(chain.from_iterable(found.values())) if p not in self.cache}
+        short = [p for p, data in pieces.items() if len(data) <= LEAF]
+        fresh = dict(zip(short, self.merge_all([pieces[p] for p in short])))
         for chunk, parts in found.items():
-            _room(self.chunks)
-            self.chunks[chunk] = tuple(chain.from_iterable(map(self.cache.__getitem__, parts)))
+            if len(self.chunks) >= CACHED:
+                _room(self.chunks)
+            if len(parts) == 1 and parts[0] in fresh:
+                self.chunks[chunk] = fresh[parts[0]]  # the chunk stands for its only piece, which is not kept twice
+                continue
+            for part in parts:
+                if part in fresh and part not in self.cache:
+                    _room(self.cache)
+                    self.cache[part] = fresh[part]
+            self.chunks[chunk] = tuple(chain.from_iterable([fresh[p] if p in fresh else self.cache[p] for p in parts]))
 
     def encode(self, text: str) -> list[int]:
         """The ids of a text: each match of the pattern by itself.

@@ -94,3 +94,14 @@ def test_parts_of_a_batch(monkeypatch):
     texts = pa.array(["abc", None, "x" * 50, "", "y" * 10, "z"])
     assert list(bpe._parts(texts)) == [(0, 2), (2, 1), (3, 2), (5, 1)]
     assert list(bpe._parts(pa.array([[1], None, [1, 2], [], [1]], pa.list_(pa.int32())))) == [(0, 2), (2, 2), (4, 1)]
+
+
+def test_texts_do_not_miss_what_they_have_filled_in(monkeypatch, library):
+    monkeypatch.setattr(bpe, "CACHED", 50)
+    own = bpe.Encoder(bpe.read_ranks(PATH), public_tokenizers.PATTERN)
+    for batch in ("first", "second", "third"):
+        words = [f"{batch}{chr(97 + i)}" for i in range(26)] + [f"{batch}{i}," for i in range(4)]
+        texts = ["begin " + " ".join(words), "again " + " ".join(reversed(words))]
+        own.learn(texts)
+        assert own.chunks.keys() >= set(words) and len(own.chunks) <= 50
+        assert list(own.encode_all(texts)) == [library.encode_ordinary(t) for t in texts]
