@@ -13,6 +13,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
+import sys
 from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 from itertools import chain
@@ -26,7 +27,8 @@ from pyspark.sql import DataFrame
 LEAF = 32  # bytes that are merged at once
 WIDTHS = (8, 16, LEAF)  # bytes of the tables in which many pieces are merged together
 NONE = np.iinfo(np.int32).max  # the rank of a pair that is not merged
-CACHED = 150_000  # entries of each cache of a Python worker, about 60 MB in all; a full cache is emptied
+ROWS = 8_192  # rows of such a table, which bounds its memory
+CACHED = 150_000  # entries of each cache of a Python worker, ids as bytes; a full cache is emptied
 AT_ONCE = 1_000_000  # bytes of texts or ids whose results are made together, or one row
 CACHED_BYTES = 64  # longer texts are not kept
 
@@ -56,6 +58,7 @@ class Encoder:
         )
         self._pair_keys, self._pair_ranks = np.array(pairs, np.int64).reshape(-1, 2).T.copy()
         self._byte_ids = np.array([self.ids[bytes([i])] for i in range(256)], np.int32)
+        self._byte_ranks = self._ranks(np.repeat(self._byte_ids, 256), np.tile(self._byte_ids, 256))  # of two bytes
 
     def learn(self, texts: list[str]) -> None:
         """Fills the caches with what occurs in many texts, merging all new pieces together."""
@@ -70,24 +73,39 @@ class Encoder:
             new = seen
         if len(self.cache) + len(new) > CACHED:
             self.cache.clear()
-        found = {c: self.pieces(" " + c) for c in new if c and len(c) <= CACHED_BYTES and c.strip() == c}
-        pieces = {p: p.encode() for p in set(chain.from_iterable(found.values())) if p not in self.cache}
-        short = [p for p, data in pieces.items() if len(data) <= LEAF]
-        fresh = dict(zip(short, self.merge_all([pieces[p] for p in short])))
-        for chunk, parts in found.items():
+        chunks = [c for c in new if c and len(c) <= CACHED_BYTES and c.strip() == c]
+        joined = " ".join(["", *chunks])
+        parts = self.pieces(joined)  # in one go, as a single space always begins a match
+        if sum(map(len, parts)) != len(joined):  # the pattern leaves characters out: lengths do not tell where a chunk ends
+            chunks, parts = [], []
+        pieces = [p for p in set(parts) if p not in self.cache]
+        fresh = dict(zip(pieces, self._packed_all([p.encode() for p in pieces])))
+        at = 0
+        for chunk in chunks:
             if len(self.chunks) >= CACHED:
                 _room(self.chunks)
-            if len(parts) == 1 and parts[0] in fresh:
-                self.chunks[chunk] = fresh[parts[0]]  # the chunk stands for its only piece, which is not kept twice
+            first, left = parts[at], len(chunk) + 1
+            at += 1
+            if len(first) == left and first in fresh:
+                self.chunks[chunk] = fresh[first]  # the chunk stands for its only piece, which is not kept twice
                 continue
-            for part in parts:
+            some, left = [first], left - len(first)
+            while left:
+                some.append(parts[at])
+                left -= len(parts[at])
+                at += 1
+            for part in some:
                 if part in fresh and part not in self.cache:
                     _room(self.cache)
                     self.cache[part] = fresh[part]
-            self.chunks[chunk] = tuple(chain.from_iterable([fresh[p] if p in fresh else self.cache[p] for p in parts]))
+            self.chunks[chunk] = b"".join([fresh[p] if p in fresh else self.cache[p] for p in some])
 
     def encode(self, text: str) -> list[int]:
-        """The ids of a text: each match of the pattern by itself.
+        """The ids of a text: each match of the pattern by itself."""
+        return np.frombuffer(self.packed(text), np.int32).tolist()
+
+    def packed(self, text: str) -> bytes:
+        """The ids of a text, four bytes each.
 
         A single space between two other characters always begins a match, so the chunks that
         stand between such spaces are encoded by themselves and looked up in a cache.
@@ -95,21 +113,22 @@ class Encoder:
         head, *chunks = text.split(" ")
         if not head or head[-1].isspace():
             return self.encode_chunk(text)
-        ids = self.encode_chunk(head)
         try:
-            ids.extend(chain.from_iterable(map(self.chunks.__getitem__, chunks)))
+            return b"".join([self.encode_chunk(head), *map(self.chunks.__getitem__, chunks)])
         except _Spaced:
             return self.encode_chunk(text)
-        return ids
 
-    def encode_all(self, texts: list[str | None]) -> Iterator[list[int]]:
-        """The ids of each text; NULL counts as an empty one."""
+    def packed_all(self, texts: list[str | None]) -> Iterator[bytes]:
+        """The ids of each text, four bytes each; NULL counts as an empty one."""
         texts = [text or "" for text in texts]
         self.learn(texts)
-        return map(self.encode, texts)
+        return map(self.packed, texts)
 
-    def encode_chunk(self, text: str) -> list[int]:
-        return list(chain.from_iterable(map(self.cache.__getitem__, self.pieces(text))))
+    def encode_all(self, texts: list[str | None]) -> Iterator[list[int]]:
+        return (np.frombuffer(ids, np.int32).tolist() for ids in self.packed_all(texts))
+
+    def encode_chunk(self, text: str) -> bytes:
+        return b"".join(map(self.cache.__getitem__, self.pieces(text)))
 
     def encode_piece(self, piece: bytes) -> list[int]:
         """Encodes the halves and joins them, without recursion deeper than the tree."""
@@ -155,30 +174,44 @@ class Encoder:
         return found
 
     def merge_all(self, pieces: list[bytes]) -> list[tuple[int, ...]]:
-        """`merge` of many short pieces: a step merges one pair in each row of a table."""
-        out: list[tuple[int, ...]] = [()] * len(pieces)
-        least = 0
-        for width in WIDTHS:
-            rows = np.array([i for i, p in enumerate(pieces) if least < len(p) <= width], np.int64)
-            least = width
-            if len(rows):
-                data = np.frombuffer(b"".join(pieces[i].ljust(width, b"\0") for i in rows), np.uint8).reshape(-1, width)
-                lengths = np.array([len(pieces[i]) for i in rows])
-                ids = np.where(np.arange(width) < lengths[:, None], self._byte_ids[data], np.int32(-1))
-                self._merge_table(rows, ids, out)
+        """`merge` of many pieces."""
+        return [tuple(np.frombuffer(ids, np.int32).tolist()) for ids in self._packed_all(pieces)]
+
+    def _packed_all(self, pieces: list[bytes]) -> list[bytes]:
+        """The ids of many pieces; short ones are merged together: a step merges one pair in each row of a table."""
+        out = [b""] * len(pieces)
+        groups: dict[int, list[int]] = {width: [] for width in WIDTHS}
+        width_of = [next((w for w in WIDTHS if n <= w), 0) for n in range(LEAF + 1)]
+        for i, piece in enumerate(pieces):
+            whole = self.ids.get(piece)
+            if whole is not None:
+                out[i] = _pack([whole])
+            elif len(piece) > LEAF:
+                out[i] = _pack(self.encode_piece(piece))
+            else:
+                groups[width_of[len(piece)]].append(i)
+        for width, group in groups.items():
+            for at in range(0, len(group), ROWS):
+                rows = group[at : at + ROWS]
+                self._merge_table(np.array(rows), [pieces[i] for i in rows], width, out)
         return out
 
-    def _merge_table(self, rows: np.ndarray, ids: np.ndarray, out: list[tuple[int, ...]]) -> None:
-        ranks = self._ranks(ids[:, :-1], ids[:, 1:])
-        columns = np.arange(ids.shape[1])
+    def _merge_table(self, rows: np.ndarray, pieces: list[bytes], width: int, out: list[bytes]) -> None:
+        data = np.frombuffer(b"".join([p.ljust(width, b"\0") for p in pieces]), np.uint8).reshape(-1, width)
+        columns, lengths = np.arange(width), np.fromiter(map(len, pieces), np.int64, len(pieces))[:, None]
+        ids = np.where(columns < lengths, self._byte_ids[data], np.int32(-1))
+        ranks = np.where(columns[1:] < lengths, self._byte_ranks[data[:, :-1].astype(np.int32) * 256 + data[:, 1:]], np.int32(NONE))
         while len(rows):
             best = ranks.argmin(1)
             token = ranks[np.arange(len(rows)), best]
             done = token == NONE
             if done.any():
-                sizes = (ids[done] >= 0).sum(1).tolist()
-                for i, row, size in zip(rows[done].tolist(), ids[done].tolist(), sizes):
-                    out[i] = tuple(row[:size])
+                ended = ids[done]
+                stops, data = np.cumsum((ended >= 0).sum(1)) * 4, ended[ended >= 0].tobytes()
+                start = 0
+                for i, stop in zip(rows[done].tolist(), stops.tolist()):
+                    out[i] = data[start:stop]
+                    start = stop
                 rows, ids, ranks, best, token = (x[~done] for x in (rows, ids, ranks, best, token))
             every, behind = np.arange(len(rows)), columns > best[:, None]
             ids = np.where(behind, np.pad(ids[:, 1:], ((0, 0), (0, 1)), constant_values=-1), ids)
@@ -252,6 +285,10 @@ class Encoder:
         return self.decode(ids[:middle]) + self.decode(ids[middle:])
 
 
+def _pack(ids: list[int]) -> bytes:
+    return np.array(ids, np.int32).tobytes()
+
+
 def _room(cache: dict) -> None:
     if len(cache) >= CACHED:
         cache.clear()
@@ -263,9 +300,9 @@ class _Cache(dict):
     def __init__(self, encoder: Encoder):
         self._encoder = encoder
 
-    def __missing__(self, piece: str) -> tuple[int, ...]:
+    def __missing__(self, piece: str) -> bytes:
         data = piece.encode()
-        ids = tuple(self._encoder.encode_piece(data))
+        ids = _pack(self._encoder.encode_piece(data))
         if len(data) <= CACHED_BYTES:
             _room(self)
             self[piece] = ids
@@ -282,10 +319,10 @@ class _Chunks(dict):
     def __init__(self, encoder: Encoder):
         self._encoder = encoder
 
-    def __missing__(self, chunk: str) -> tuple[int, ...]:
+    def __missing__(self, chunk: str) -> bytes:
         if not chunk or chunk[0].isspace() or chunk[-1].isspace():
             raise _Spaced
-        ids = tuple(self._encoder.encode_chunk(" " + chunk))
+        ids = self._encoder.encode_chunk(" " + chunk)
         if len(chunk) <= CACHED_BYTES:
             _room(self)
             self[chunk] = ids
@@ -342,7 +379,7 @@ def encode(docs: DataFrame, ranks: bytes, pattern: str, text: str = "text", keep
         encoder = _encoder(shared.value, pattern)
 
         def compute(texts: list[str | None]):
-            return [(np.array(ids, np.int32), len(ids)) for ids in encoder.encode_all(texts)]
+            return [(np.frombuffer(ids, np.int32), len(ids) // 4) for ids in encoder.packed_all(texts)]
 
         return compute
 
@@ -371,13 +408,14 @@ def digests(
     def make():
         encoder = _encoder(shared.value, pattern)
 
-        def digest(ids: list[int]):
-            packed = np.array(ids, dtype="<u4").tobytes()
-            found = len(ids), hashlib.sha256(packed).hexdigest(), hashlib.sha256(encoder.decode(ids)).hexdigest()
-            return (*found, np.array(ids, np.int32)) if with_ids else found
+        def digest(packed: bytes):
+            ids = np.frombuffer(packed, np.int32)
+            stored = packed if sys.byteorder == "little" else ids.astype("<u4").tobytes()
+            found = len(ids), hashlib.sha256(stored).hexdigest(), hashlib.sha256(encoder.decode(ids.tolist())).hexdigest()
+            return (*found, ids) if with_ids else found
 
         def compute(texts: list[str | None]):
-            return map(digest, encoder.encode_all(texts))
+            return map(digest, encoder.packed_all(texts))
 
         return compute
 

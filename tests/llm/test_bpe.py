@@ -105,3 +105,20 @@ def test_texts_do_not_miss_what_they_have_filled_in(monkeypatch, library):
         own.learn(texts)
         assert own.chunks.keys() >= set(words) and len(own.chunks) <= 50
         assert list(own.encode_all(texts)) == [library.encode_ordinary(t) for t in texts]
+
+
+def test_new_chunks_are_matched_in_one_go_and_kept_as_bytes(library):
+    own = bpe.Encoder(bpe.read_ranks(PATH), public_tokenizers.PATTERN)
+    calls, pieces = [], own.pieces
+    own.pieces = lambda text: calls.append(text) or pieces(text)
+    texts = ["begin " + " ".join(f"word{i}'s,x{i}" for i in range(j, j + 50)) for j in range(20)]
+    own.learn(texts)
+    assert len(calls) == 1
+    assert own.chunks and all(type(ids) is bytes for cache in (own.chunks, own.cache) for ids in cache.values())
+    assert list(own.encode_all(texts)) == [library.encode_ordinary(t) for t in texts]
+
+
+def test_a_pattern_that_leaves_characters_out():
+    own = bpe.Encoder(bpe.read_ranks(PATH), r" ?[a-z]+")
+    text = "one two3 4four 5 six"
+    assert own.decode(list(own.encode_all([text]))[0]) == b"one twofour six"
