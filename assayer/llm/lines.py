@@ -41,57 +41,21 @@ def _lines(docs: DataFrame, key: str, text: str, min_chars: int | None) -> DataF
     return found.withColumns({"a": F.xxhash64("line"), "b": F.xxhash64(F.lit(1), "line")})
 
 
-def _segment(length: Column, i: int, edits: int) -> tuple[Column, Column]:
+def _segment(length: Column, i: Column, edits: int) -> tuple[Column, Column]:
     """Where segment i of a line begins, from 0, and how long it is; the last ones are the longer ones."""
     size, longer = F.floor(length / (edits + 1)).cast("int"), length % (edits + 1)
     ahead = F.greatest(longer - (edits + 1 - i), F.lit(0)).cast("int")
     return size * i + ahead, size + F.when(longer >= edits + 1 - i, 1).otherwise(0)
 
 
-def _hash(length: Column, i: int, part: Column) -> Column:
-    return F.xxhash64(length, F.lit(i), part)
-
-
-def _windows(lines: DataFrame, edits: int) -> DataFrame:
-    """Adds the length `n` of a line, and for each segment the part around it that its hashes need, with its place:
-    counted and cut once, as both take a walk through the characters."""
-    counted = lines.withColumn("n", F.length("line"))
-    places = {}
-    for i in range(edits + 1):
-        start, size = _segment(F.col("n"), i, edits)
-        places |= {f"at_{i}": F.greatest(start - 2 * edits, F.lit(0)), f"size_{i}": size + 4 * edits + 1}
-    cut = counted.withColumns(places)
-    return cut.withColumns({f"part_{i}": F.substring(F.col("line"), F.col(f"at_{i}") + 1, F.col(f"size_{i}")) for i in range(edits + 1)})
-
-
-def _piece(i: int, at: Column, size: Column) -> Column:
-    return F.substring(F.col(f"part_{i}"), at - F.col(f"at_{i}") + 1, size)
-
-
-def stored(edits: int) -> list[Column]:
-    """Hashes of the segments of a line with its windows."""
-    n, out = F.col("n"), []
-    for i in range(edits + 1):
-        start, size = _segment(n, i, edits)
-        out.append(_hash(n, i, _piece(i, start, size)))
-    return out
-
-
-def probes(edits: int) -> list[Column]:
-    """Hashes of the substrings that may equal a segment of a line that is 0 to `edits` characters shorter.
+def _moves(i: int, edits: int) -> list[tuple[int, int]]:
+    """(d, shift): how much shorter another line may be, and how far its segment i may stand from its place there.
 
     For segment i, counted from 0, and a difference d in length, edits before and after the segment bound how far
     it can have moved: by i edits at most if counted from the start, by edits - i if counted from the end.
     """
-    n, out = F.col("n"), []
-    for d in range(edits + 1):
-        for i in range(edits + 1):
-            start, size = _segment(n - d, i, edits)
-            low, high = max(-i, d - (edits - i)), min(i, d + (edits - i))
-            for shift in range(low, high + 1):
-                at = start + shift
-                out.append(F.when((at >= 0) & (at + size <= n), _hash(n - d, i, _piece(i, at, size))))
-    return out
+    ranges = {d: range(max(-i, d - (edits - i)), min(i, d + (edits - i)) + 1) for d in range(edits + 1)}
+    return [(d, shift) for d, some in ranges.items() for shift in some]
 
 
 def within(one: Column, two: Column, edits: int) -> Column:
@@ -159,7 +123,7 @@ _LETTERS = "etaonishrld "
 
 
 def _counts(line: Column) -> Column:
-    return F.array(*[F.length(line) - F.length(F.translate(line, c, "")) for c in _LETTERS])
+    return F.array(*[F.length(line) - F.length(F.replace(line, F.lit(c), F.lit(""))) for c in _LETTERS])
 
 
 def _alike(one: Column, two: Column, edits: int) -> Column:
@@ -169,29 +133,48 @@ def _alike(one: Column, two: Column, edits: int) -> Column:
 
 
 def _hashes(lines: DataFrame, edits: int) -> DataFrame:
-    """(a, hash, probe): a row for each segment and each substring of a line."""
-    first, second = stored(edits), probes(edits)
-    each = _windows(lines.select("a", "line"), edits).select("a", F.posexplode(F.array(*first, *second)).alias("n", "hash"))
-    return each.where(F.col("hash").isNotNull()).select("a", "hash", (F.col("n") >= len(first)).alias("probe"))
+    """(a, hash, segment): a row for each substring of a line that may equal a segment of a line that is 0 to `edits`
+    characters shorter. Those of its own segments, which have not moved, are marked.
 
-
-def near_lines(lines: DataFrame, edits: int) -> DataFrame:
+    The part around a segment that its hashes need is counted and cut once, as both take a walk through the characters.
+    A row for each hash, and not a column, keeps what Spark generates small enough to be compiled to machine code.
+    """
+    each = lines.select("a", "line", F.length("line").alias("n"), F.explode(F.array(*map(F.lit, range(edits + 1)))).alias("i"))
+    start, size = _segment(F.col("n"), F.col("i"), edits)
+    each = each.withColumns({"from": F.greatest(start - 2 * edits, F.lit(0)), "size": size + 4 * edits + 1})
+    each = each.select("a", "n", "i", "from", F.substring(F.col("line"), F.col("from") + 1, F.col("size")).alias("part"))
+    moves = [F.array(*[F.struct(F.lit(d).alias("d"), F.lit(shift).alias("shift")) for d, shift in _moves(i, edits)]) for i in range(edits + 1)]
+    chosen = F.when(F.col("i") == 0, moves[0])
+    for i in range(1, edits + 1):
+        chosen = chosen.when(F.col("i") == i, moves[i])
+    moved = each.select("a", "n", "i", "from", "part", F.explode(chosen).alias("move")).select("*", "move.*")
+    start, size = _segment(F.col("n") - F.col("d"), F.col("i"), edits)
+    moved = moved.withColumns({"at": start + F.col("shift"), "size": size}).where((F.col("at") >= 0) & (F.col("at") + F.col("size") <= F.col("n")))
+    piece = F.substring(F.col("part"), F.col("at") - F.col("from") + 1, F.col("size"))
+    return moved.select("a", F.xxhash64(F.col("n") - F.col("d"), "i", piece).alias("hash"), ((F.col("d") == 0) & (F.col("shift") == 0)).alias("segment"))
+
+
+def near_lines(docs: DataFrame, places: DataFrame, edits: int, min_chars: int | None, key: str, text: str) -> DataFrame:
     """(a, b, since): lines that are within `edits` edits of a line that occurs first in an earlier
-    document, and the first such document."""
+    document, and the first such document. `places` are the lines without their text."""
+    long = F.length("line") > 2 * edits
+    lines = _lines(docs, key, text, min_chars).where(long)
     hashes = written(_hashes(lines, edits), "line-hashes")
-    role = F.bit_or(F.when(F.col("probe"), 2).otherwise(1))
-    met = hashes.groupBy("hash").agg(F.min("a").alias("low"), F.max("a").alias("high"), role.alias("roles"))
-    met = written(met.where((F.col("low") != F.col("high")) & (F.col("roles") == 3)).select("hash"), "met")
+    met = hashes.groupBy("hash").agg(F.min("a").alias("low"), F.max("a").alias("high"), F.max("segment").alias("segment"))
+    met = written(met.where((F.col("low") != F.col("high")) & F.col("segment")).select("hash"), "met")
 
-    again = perhaps_in(hashes, "hash", met).groupBy("a", "hash", "probe").agg(F.count("*").alias("n")).drop("n")
+    again = perhaps_in(hashes, "hash", met).groupBy("a", "hash", "segment").agg(F.count("*").alias("n")).drop("n")
     again = written(again, "hits")
-    texts = perhaps_in(lines.select("key", "a", "b", "line"), "a", again.select("a"))
-    found = texts.groupBy("a", "b").agg(F.min("key").alias("first"), F.max("line").alias("line"))
-    found = written(found.withColumn("counts", _counts(F.col("line"))), "candidates")
+    # A line's text is read in the first document that has it.
+    first = perhaps_in(places, "a", again.select("a")).groupBy("a", "b").agg(F.min("key").alias("first"))
+    first = written(first, "first-places")
+    texts = _lines(perhaps_in(docs.select(key, text), key, first.select("first")), key, text, min_chars).where(long)
+    texts = perhaps_in(texts.select("a", "b", "line"), "a", again.select("a")).groupBy("a", "b").agg(F.max("line").alias("line"))
+    found = written(texts.join(first, ["a", "b"]).withColumn("counts", _counts(F.col("line"))), "candidates")
     entry = written(again.join(found, "a"), "entries")
     names = ("a", "b", "first", "line", "counts")
-    one = entry.where("not probe").select("hash", *[F.col(c).alias(f"{c}_1") for c in names])
-    two = entry.where("probe").select("hash", *[F.col(c).alias(f"{c}_2") for c in names])
+    one = entry.where("segment").select("hash", *[F.col(c).alias(f"{c}_1") for c in names])
+    two = entry.select("hash", *[F.col(c).alias(f"{c}_2") for c in names])
     other = (F.col("a_1") != F.col("a_2")) | (F.col("b_1") != F.col("b_2"))
     # Of two lines of one length either finds the other; one way is enough.
     once = (F.length("line_1") != F.length("line_2")) | (F.struct("a_1", "b_1") < F.struct("a_2", "b_2"))
@@ -210,10 +193,9 @@ def gone_lines(docs: DataFrame, edits: int = EDITS, min_chars: int | None = None
     """(key, gone): for documents that lose lines, an array of (line number from 0, hash of the line)."""
     if min_chars is not None and min_chars <= 2 * edits:
         raise ValueError("lines must be longer than twice the edits")
-    lines = _lines(docs, key, text, min_chars)
-    narrow = lines.select("key", "line_no", "a", "b")
+    narrow = written(_lines(docs, key, text, min_chars).select("key", "line_no", "a", "b"), "lines")
     repeated = narrow.groupBy("a", "b").agg(F.min("key").alias("since"), F.max("key").alias("last")).where("since < last").drop("last")
-    since = repeated.union(near_lines(lines.where(F.length("line") > 2 * edits), edits)).groupBy("a", "b").agg(F.min("since").alias("since"))
+    since = repeated.union(near_lines(docs, narrow, edits, min_chars, key, text)).groupBy("a", "b").agg(F.min("since").alias("since"))
     since = written(since, "line-since")
     dropped = perhaps_in(narrow, "a", since.select("a")).join(since, ["a", "b"]).where("key > since")
     return written(dropped.groupBy("key").agg(F.array_sort(F.collect_set(F.struct("line_no", "a"))).alias("gone")), "gone")

@@ -129,3 +129,24 @@ def test_default_lines_equal_all_pairs(spark):
         gone.setdefault(k, set()).update(i for i, x in enumerate(parts) if counts(x) and since[x] < k)
     for r in lines.dedup(docs).where("doc_id IS NOT NULL").collect():
         assert set(r.gone_lines) == gone[r.doc_id], r.doc_id
+
+
+def test_hashes_are_rows_and_what_makes_them_is_compiled(spark):
+    """A segment that has not moved is one row, and no generated method is too long for the JVM's compiler (8,000 bytes)."""
+    docs = spark.createDataFrame([(1, "a line of some forty characters, no more"), (2, "short")], "doc_id bigint, text string")
+    found = lines._hashes(lines._lines(docs, "doc_id", "text", 5), 2)
+    assert [(r["count"], r.own) for r in found.groupBy("a").agg(F.count("*").alias("count"), F.expr("count_if(segment)").alias("own")).collect()] == [(12, 3)] * 2
+    code = spark._jvm.PythonSQLUtils.explainString(found._jdf.queryExecution(), "codegen")
+    sizes = [int(part.split(";")[0].split(")")[0]) for part in code.split("maxMethodCodeSize:")[1:]]
+    assert sizes and max(sizes) < 8000
+
+
+def test_texts_are_read_in_the_first_documents_only(spark, rows, monkeypatch):
+    kept = {}
+    written = lines.written
+    monkeypatch.setattr(lines, "written", lambda df, name: kept.setdefault(name, written(df, name)))
+    line = "the quick brown fox jumps over the lazy dog"
+    docs = spark.createDataFrame([(3, line), (5, line.replace("quick", "quack")), (7, line), (9, line + "!"), (None, line)], "doc_id bigint, text string")
+    found = lines.dedup(docs).select("doc_id", "n_gone")
+    assert rows(found) == sorted([(3, 0), (5, 1), (7, 1), (9, 1), (None, 0)], key=lambda t: (t[0] is None, str(t[0])))
+    assert sorted(r["first"] for r in kept["first-places"].collect()) == [3, 5, 9]
