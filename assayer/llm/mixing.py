@@ -150,9 +150,9 @@ def route(patterns: DataFrame, targets: DataFrame, copies: int = COPIES) -> Data
     )
 
 
-def select(sized: DataFrame, flows: DataFrame) -> DataFrame:
-    """Adds `copies`: the whole copies that a pattern's flow makes, and one more of the rows that come
-    first in the pattern's seeded order for as long as they fit, and of one that fills the rest best.
+def cuts(sized: DataFrame, flows: DataFrame) -> DataFrame:
+    """(pattern, full, low, fill, fill_size): the whole copies that a pattern's flow makes, and where in the pattern's
+    seeded order one more ends: before `low`, and with one row that fills the rest best.
 
     The order is that of a seeded hash. Sums by parts of the hash tell in which part the flow ends,
     and sums within that part where exactly, so that no task ever sees all rows of a pattern.
@@ -191,17 +191,25 @@ def select(sized: DataFrame, flows: DataFrame) -> DataFrame:
     off = F.abs(F.col("size") - F.col("rest"))
     beyond = sized.join(ends, "pattern").where((F.col("code") >= F.col("low")) & (off < F.col("rest")))
     fillers = beyond.groupBy("pattern").agg(F.min(F.struct(off.alias("off"), "code", "size")).alias("filler"))
-    ends = written(
-        ends.join(fillers, "pattern", "left").select(
-            "pattern", "low", F.col("filler.code").alias("fill"), F.col("filler.size").alias("fill_size")
-        ),
-        "flow-fills",
+    ends = ends.join(fillers, "pattern", "left").select(
+        "pattern", "low", F.col("filler.code").alias("fill"), F.col("filler.size").alias("fill_size")
     )
-    filling = (F.col("code") == F.col("fill")) & (F.col("size") == F.col("fill_size"))
+    return written(rest.select("pattern", "full").join(ends, "pattern", "left"), "flow-cuts")
+
+
+def select(sized: DataFrame, flows: DataFrame) -> DataFrame:
+    """Adds `copies`: the whole copies that a pattern's flow makes, and one more of the rows that come
+    first in the pattern's seeded order for as long as they fit, and of one that fills the rest best."""
+    return _counted(sized, cuts(sized, flows), F.col("size"))
+
+
+def _counted(rows: DataFrame, ends: DataFrame, size: Column) -> DataFrame:
+    """Adds `copies` to rows with `pattern` and `code`, by the `cuts` of their patterns; `size` is only looked at where a
+    row may be the one that fills a rest."""
+    filling = (F.col("code") == F.col("fill")) & (size == F.col("fill_size"))
     once = F.coalesce((F.col("code") < F.col("low")) | filling, F.lit(False))
-    found = sized.join(rest.select("pattern", "full"), "pattern", "left").join(ends, "pattern", "left")
-    copies = F.coalesce("full", F.lit(0)) + once.cast("bigint")
-    return found.withColumn("copies", copies).drop("full", "low", "fill", "fill_size")
+    found = rows.join(ends, "pattern", "left")
+    return found.withColumn("copies", F.coalesce("full", F.lit(0)) + once.cast("bigint")).drop("full", "low", "fill", "fill_size")
 
 
 def _step(at: Column, part: Column) -> Column:
@@ -215,16 +223,29 @@ def _step(at: Column, part: Column) -> Column:
     return F.when(at["found"], at).when(part["size"] > at["rest"], here).otherwise(past)
 
 
+def _placed(sources: Column, key: str, text: str, seed: int) -> tuple[Column, Column]:
+    """(pattern, code) of a row."""
+    pattern = F.coalesce(F.array_sort(F.array_distinct(sources)), F.array(F.lit(None).cast("string")))
+    code = F.pmod(F.xxhash64(F.lit(seed), key, F.xxhash64(F.coalesce(text, F.lit("")))), F.lit(2**60))
+    return pattern.alias("pattern"), code.alias("code")
+
+
 def measured(docs: DataFrame, sources: Column, key: str = "doc_id", text: str = "text", seed: int = SEED) -> DataFrame:
     """(doc_id, pattern, size, code): the narrow table that every later step reads, written once.
 
     `sources` is an array; its order and repeats do not matter, and a NULL array means a NULL source.
     """
-    pattern = F.coalesce(F.array_sort(F.array_distinct(sources)), F.array(F.lit(None).cast("string")))
-    code = F.pmod(F.xxhash64(F.lit(seed), key, F.xxhash64(F.coalesce(text, F.lit("")))), F.lit(2**60))
-    return written(
-        docs.select(F.col(key), pattern.alias("pattern"), word_count(F.col(text)).alias("size"), code.alias("code")), "sizes"
-    )
+    pattern, code = _placed(sources, key, text, seed)
+    return written(docs.select(F.col(key), pattern, word_count(F.col(text)).alias("size"), code), "sizes")
+
+
+def _solved(docs: DataFrame, weights: Sequence[float], copies: int, key: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The sizes of documents, the targets of sources and the cuts of patterns."""
+    sized = measured(docs, F.array("source"), key)
+    single = F.element_at("pattern", 1)
+    targets = written(weighed_sources(sized.select(single.alias("source"), "size"), weights, copies), "targets")
+    patterns = sized.groupBy("pattern").agg(F.sum("size").cast("bigint").alias("supply"))
+    return sized, targets, cuts(sized, written(route(patterns, targets, copies), "routes"))
 
 
 def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, copies: int = COPIES, key: str = "doc_id") -> DataFrame:
@@ -234,12 +255,28 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, copies: int = COPIE
     no words, a NULL source is a source of its own. Rows that repeat key and text stand together in the
     seeded order. An empty table gives an empty table. The same rows give the same mix.
     """
-    sized = measured(docs, F.array("source"), key)
-    single = F.element_at("pattern", 1)
-    targets = written(weighed_sources(sized.select(single.alias("source"), "size"), weights, copies), "targets")
-    patterns = sized.groupBy("pattern").agg(F.sum("size").cast("bigint").alias("supply"))
-    chosen = select(sized, written(route(patterns, targets, copies), "routes"))
+    sized, targets, ends = _solved(docs, weights, copies, key)
+    chosen = _counted(sized, ends, F.col("size"))
     by_source = targets.withColumn("pattern", F.array("source")).drop("source")
     return chosen.join(by_source, "pattern", "left").select(
         key, "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken")
     )
+
+
+def mixed(docs: DataFrame, weights: Sequence[float] = WEIGHTS, copies: int = COPIES, key: str = "doc_id") -> DataFrame:
+    """The rows of `docs`, each as often as `mix` takes it; rows that share a key are taken alike, as often as the one
+    that is taken most.
+
+    A row tells its place in the order itself, so whole rows meet tables of a row for each source, and of the keys
+    whose rows stand apart in the order, but are not shuffled to meet their copies.
+    """
+    sized, _, ends = _solved(docs, weights, copies, key)
+    by_key = _counted(sized, ends, F.col("size")).groupBy(F.col(key).alias("_key"))
+    by_key = by_key.agg(F.min("copies").alias("_least"), F.max("copies").alias("_most"))
+    unlike = written(by_key.where("_least < _most").drop("_least"), "unlike-copies")
+    pattern, code = _placed(F.array("source"), key, "text", SEED)
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
+    rows = docs.select(whole, F.col(key).alias("_of"), F.col("text").alias("_text"), pattern, code)
+    found = _counted(rows, ends, word_count(F.col("_text"))).join(unlike, F.col("_of").eqNullSafe(F.col("_key")), "left")
+    found = found.select("_row", F.coalesce("_most", "copies").cast("int").alias("_copies")).where("_copies > 0")
+    return found.select("_row", F.explode(F.sequence(F.lit(1), "_copies"))).select("_row.*")

@@ -38,11 +38,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix: a document stands in it as often as it is taken. Rows that share a key are taken alike."""
-    taken = mixing.mix(docs).groupBy(F.col("doc_id").alias("_id")).agg(F.max("copies").alias("_copies"))
-    taken = written(taken.where("_copies > 0"), "mix")
-    both = docs.join(taken, F.col("doc_id").eqNullSafe(F.col("_id")))
-    repeated = both.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))))
-    return repeated.select(*docs.columns)
+    return mixing.mixed(docs)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

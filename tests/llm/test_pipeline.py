@@ -2,11 +2,12 @@
 
 import hashlib
 import random
+from collections import Counter
 
 import corpus_pipeline
 import public_tokenizers
 
-from assayer.llm import bpe
+from assayer.llm import bpe, mixing
 from assayer.scratch import written
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
@@ -65,3 +66,28 @@ def test_null_columns_go_through(spark):
     for _, stage in corpus_pipeline.STAGES[:4]:
         docs = written(stage(spark, docs, ""), "stage")
     assert {r.text for r in docs.collect()} <= {text}
+
+
+def test_mixing_shuffles_no_texts(spark):
+    """However many documents there are, whole rows only meet small tables."""
+    rng = random.Random(9)
+    words = ["".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(500)]
+    rows = [(i, " ".join(rng.choices(words, k=rng.randint(1, 9))), "en", f"s{i % 3}", 7) for i in range(8000)]
+    rows += [(3, "another text under a key", "en", "s1", 7), (None, "no key", "en", None, None), (None, "no key either", None, "s2", 1), (7, *rows[7][1:])]
+    docs = written(spark.createDataFrame(rows, SCHEMA), "docs")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "16k")  # less than a table of all keys
+    try:
+        found = corpus_pipeline.mix_sources(spark, docs, "")
+        got = Counter(map(tuple, found.collect()))
+        plan = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "Exchange hashpartitioning" not in plan and "SortMergeJoin" not in plan
+    most = {}
+    for r in mixing.mix(docs).collect():
+        most[r.doc_id] = max(most.get(r.doc_id, 0), r.copies)
+    wanted = Counter()
+    for r in rows:
+        wanted[r] += most[r[0]]
+    assert got == +wanted and found.dtypes == docs.dtypes
