@@ -9,6 +9,8 @@ bit-parallel edit distance. A line goes if it, or a line within `edits` edits of
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,7 +26,10 @@ def _split(text: Column) -> Column:
 
 
 def _trim(line: Column) -> Column:
-    return F.btrim(line, F.lit(" \t\x0b\x0c\r"))
+    """A line without the space around it. Trimming walks through a whole line, so only lines that may need it are trimmed."""
+    ends = [line.endswith(c) for c in " \t\x0b\x0c\r"]
+    around = reduce(Column.__or__, ends, line < "!")  # space sorts before all that is printed
+    return F.when(around, F.btrim(line, F.lit(" \t\x0b\x0c\r"))).otherwise(line)
 
 
 def _counts_as_line(line: Column, min_chars: int | None) -> Column:
@@ -136,22 +141,29 @@ def _hashes(lines: DataFrame, edits: int) -> DataFrame:
     """(a, hash, segment): a row for each substring of a line that may equal a segment of a line that is 0 to `edits`
     characters shorter. Those of its own segments, which have not moved, are marked.
 
-    The part around a segment that its hashes need is counted and cut once, as both take a walk through the characters.
+    A line of ASCII characters is cut as bytes, at once; the pieces have the same hash as those of a text. Of other lines the
+    part around a segment that its hashes need is counted and cut once, as both take a walk through the characters.
     A row for each hash, and not a column, keeps what Spark generates small enough to be compiled to machine code.
     """
-    each = lines.select("a", "line", F.length("line").alias("n"), F.explode(F.array(*map(F.lit, range(edits + 1)))).alias("i"))
+    each = lines.select("a", "line", F.length("line").alias("n"))
+    each = each.withColumn("raw", F.when(F.octet_length("line") == F.col("n"), F.col("line").cast("binary")))
+    each = each.select("*", F.explode(F.array(*map(F.lit, range(edits + 1)))).alias("i"))
     start, size = _segment(F.col("n"), F.col("i"), edits)
     each = each.withColumns({"from": F.greatest(start - 2 * edits, F.lit(0)), "size": size + 4 * edits + 1})
-    each = each.select("a", "n", "i", "from", F.substring(F.col("line"), F.col("from") + 1, F.col("size")).alias("part"))
+    part = F.when(F.col("raw").isNull(), F.substring(F.col("line"), F.col("from") + 1, F.col("size")))
+    each = each.select("a", "n", "raw", "i", "from", part.alias("part"))
     moves = [F.array(*[F.struct(F.lit(d).alias("d"), F.lit(shift).alias("shift")) for d, shift in _moves(i, edits)]) for i in range(edits + 1)]
     chosen = F.when(F.col("i") == 0, moves[0])
     for i in range(1, edits + 1):
         chosen = chosen.when(F.col("i") == i, moves[i])
-    moved = each.select("a", "n", "i", "from", "part", F.explode(chosen).alias("move")).select("*", "move.*")
+    moved = each.select("*", F.explode(chosen).alias("move")).select("*", "move.*")
     start, size = _segment(F.col("n") - F.col("d"), F.col("i"), edits)
     moved = moved.withColumns({"at": start + F.col("shift"), "size": size}).where((F.col("at") >= 0) & (F.col("at") + F.col("size") <= F.col("n")))
-    piece = F.substring(F.col("part"), F.col("at") - F.col("from") + 1, F.col("size"))
-    return moved.select("a", F.xxhash64(F.col("n") - F.col("d"), "i", piece).alias("hash"), ((F.col("d") == 0) & (F.col("shift") == 0)).alias("segment"))
+    of = lambda piece: F.xxhash64(F.col("n") - F.col("d"), "i", piece)
+    cut = of(F.substring(F.col("raw"), F.col("at") + 1, F.col("size")))
+    walked = of(F.substring(F.col("part"), F.col("at") - F.col("from") + 1, F.col("size")))
+    segment = (F.col("d") == 0) & (F.col("shift") == 0)
+    return moved.select("a", F.when(F.col("raw").isNotNull(), cut).otherwise(walked).alias("hash"), segment.alias("segment"))
 
 
 def near_lines(docs: DataFrame, places: DataFrame, edits: int, min_chars: int | None, key: str, text: str) -> DataFrame:

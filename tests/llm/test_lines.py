@@ -150,3 +150,18 @@ def test_texts_are_read_in_the_first_documents_only(spark, rows, monkeypatch):
     found = lines.dedup(docs).select("doc_id", "n_gone")
     assert rows(found) == sorted([(3, 0), (5, 1), (7, 1), (9, 1), (None, 0)], key=lambda t: (t[0] is None, str(t[0])))
     assert sorted(r["first"] for r in kept["first-places"].collect()) == [3, 5, 9]
+
+
+def test_lines_are_walked_through_only_where_they_must_be(spark):
+    """Only lines with space around them are trimmed, and pieces of ASCII lines are cut as bytes."""
+    texts = ["café au lait, a line of some length", "\tcafe au lait, a line of some length\r", "\x01cafe au lait\x7f, a line", "日本語 の 長い 行", " \x0b\x0c "]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id bigint, text string")
+    found = lines._lines(docs, "doc_id", "text", 1)
+    assert {r.key: r.line for r in found.collect()} == {i: t.strip(" \t\x0b\x0c\r") for i, t in enumerate(texts[:4])}
+    hashes = lines._hashes(found, 2)
+    plan = hashes._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("trim(") == plan.count("THEN trim(") > 0
+    assert "substring(raw" in plan
+    of = {a: {r.hash for r in hashes.where(F.col("a") == a).collect()} for a in (r.a for r in found.where("key < 2").collect())}
+    one, two = of.values()
+    assert one & two  # the last segments of a line in ASCII and of one that is not
