@@ -1,4 +1,6 @@
+import gzip
 import hashlib
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -87,6 +89,34 @@ def test_checksums_against_a_manifest(spark, tmp_path):
         fingerprint.require_match(found)
 
 
+def test_files_longer_than_a_value_are_hashed_as_well(spark, tmp_path):
+    rng = random.Random(3)
+    noise = rng.randbytes(300_000)
+    mark = b"\xef\xbb\xbf"
+    files_ = {
+        "noise.parquet": noise, "noise end.parquet": noise + b"\n", "{two}[1]*.parquet": noise[:70_000] + b"\n\n", "none.parquet": b"x" * 50_000,
+        "ends.parquet": b"\n" * 5_000, "crlf.csv": b"a,\xff\r\n" * 9_000, "marked.csv": mark + noise, "marked end.csv": mark * 2 + noise + b"\n",
+        "line first.csv": b"\n" + mark + noise, "mark.csv": mark, "mark line.csv": mark + b"\n" * 2_000, "packed.csv.gz": gzip.compress(noise),
+        "packed.zst": noise, "short.bin": b"one\n", "plain": b"no ending",
+    }
+    for name, content in files_.items():
+        (tmp_path / name).write_bytes(content)
+    (tmp_path / "inner").mkdir()
+    (tmp_path / "inner" / "below.parquet").write_bytes(noise)
+    limits = {fingerprint.LIMIT: "1000", "spark.sql.files.maxPartitionBytes": "100000"}  # 2 GB and 128 MB else
+    before = {name: spark.conf.get(name) for name in limits}
+    for name, value in limits.items():
+        spark.conf.set(name, value)
+    try:
+        found = {(r.file, r.bytes, r.sha256) for r in fingerprint.file_checksums(spark, str(tmp_path)).collect()}
+        some = [r.file for r in fingerprint.file_checksums(spark, str(tmp_path), "noise*").collect()]
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert found == {(name, len(content), hashlib.sha256(content).hexdigest()) for name, content in files_.items()}
+    assert sorted(some) == ["noise end.parquet", "noise.parquet"]
+
+
 def test_fingerprint_ignores_order_and_sees_duplicates(spark):
     df = spark.createDataFrame(TEXTS, "id int, t string")
     first = fingerprint.table_fingerprint(df).first()
